@@ -7,12 +7,14 @@ import struct
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline.functions.geo import METRES_PER_DEGREE, haversine
 from tramline.session import cut_lineage
 
 HALF_EARTH_M = 20_100_000.0
 RADIUS_GROWTH = 4.0
+EDGES = T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("x1", "y1", "x2", "y2")]))
 
 
 def _lon_width(band: Column, height: float) -> Column:
@@ -120,7 +122,7 @@ def read_wkb(blob: bytes) -> list[dict[str, float]]:
     return edges
 
 
-@F.pandas_udf("array<struct<x1:double,y1:double,x2:double,y2:double>>")
+@F.pandas_udf(EDGES)
 def wkb_edges(blobs: pd.Series) -> pd.Series:
     return blobs.map(lambda b: None if b is None else read_wkb(bytes(b)))
 
@@ -157,3 +159,13 @@ def points_in_regions(
     keyed = points.withColumns({"_cx": F.floor(x / g), "_cy": F.floor(y / g)})
     inside = keyed.join(cells, ["_cx", "_cy"]).where(F.size(crossed) % 2 == 1)
     return inside.select(*points.columns, region_id)
+
+
+def nearest_others(
+    points: DataFrame, point_id: str, sites: DataFrame, site_id: str, k: int, start_metres: float = 2000.0
+) -> DataFrame:
+    """``nearest`` where a site is no neighbour of the point with the same id."""
+    got = nearest(points, point_id, sites, site_id, k + 1, start_metres)
+    others = got.where(F.col(point_id) != F.col(site_id)).drop("rank")
+    w = Window.partitionBy(point_id).orderBy("metres", site_id)
+    return others.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -3,6 +3,6 @@
 import importlib
 
 for _name in (
-    "sources", "shaping",
+    "sources", "shaping", "joins",
 ):
     importlib.import_module(f"tramline.plans.{_name}")
