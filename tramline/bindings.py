@@ -377,9 +377,6 @@ def with_bindings(sql: str) -> str:
     if not order:
         return sql
     ctes = ",\n".join(f"{n} AS ({SQL_BINDINGS[n]})" for n in order)
-    stripped = sql.lstrip()
-    if stripped[:15].upper() == "WITH RECURSIVE ":
-        return f"WITH RECURSIVE {ctes},\n{stripped[15:]}"
-    if stripped[:5].upper() == "WITH ":
-        return f"WITH {ctes},\n{stripped[5:]}"
-    return f"WITH {ctes}\n{sql}"
+    stripped = re.sub(r"^\s*WITH\s+(RECURSIVE\s+)?", "", sql)
+    joint = ",\n" if stripped != sql else "\n"
+    return f"WITH RECURSIVE {ctes}{joint}{stripped}"

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline.session import broadcast_if_small, cut_lineage
 
@@ -191,5 +192,6 @@ def _apply_scan(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     placed = df.repartition(*group).sortWithinPartitions(
         *group, *[F.col(c).asc_nulls_first() for c in order]
     )
-    schema = placed.schema.add("_y", "double").add("_p", "double")
+    extra = [T.StructField("_y", T.DoubleType()), T.StructField("_p", T.DoubleType())]
+    schema = T.StructType(placed.schema.fields + extra)
     return placed.mapInArrow(_scan, schema)
