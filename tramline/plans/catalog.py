@@ -3,6 +3,6 @@
 import importlib
 
 for _name in (
-    "sources", "shaping", "joins", "aggregates", "windows", "scalars",
+    "sources", "shaping", "joins", "aggregates", "windows", "scalars", "transit",
 ):
     importlib.import_module(f"tramline.plans.{_name}")
