@@ -357,9 +357,15 @@ SQL_BINDINGS: dict[str, str] = {
 }
 
 
-def register_sql(name: str, text: str) -> None:
+# recursive relations that keep one row per key
+KEYED: dict[str, str] = {}
+
+
+def register_sql(name: str, text: str, keyed: str = "") -> None:
     """Add a derived relation that only check SQL uses."""
     SQL_BINDINGS[name] = text
+    if keyed:
+        KEYED[name] = keyed
 
 
 def with_bindings(sql: str) -> str:
@@ -376,7 +382,7 @@ def with_bindings(sql: str) -> str:
     visit(sql)
     if not order:
         return sql
-    ctes = ",\n".join(f"{n} AS ({SQL_BINDINGS[n]})" for n in order)
+    ctes = ",\n".join(f"{n}{KEYED.get(n, '')} AS ({SQL_BINDINGS[n]})" for n in order)
     stripped = re.sub(r"^\s*WITH\s+(RECURSIVE\s+)?", "", sql)
     joint = ",\n" if stripped != sql else "\n"
     return f"WITH RECURSIVE {ctes}{joint}{stripped}"

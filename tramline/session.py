@@ -31,17 +31,14 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder the session names.
+    """Write ``df`` once below the shared checkpoint folder and read it back.
 
-    The folder comes from ``spark.checkpoint.dir``. Only where neither the
-    setting nor the context has one (tests) a temporary folder is used.
+    Unlike cached blocks the rows survive the loss of executors, and the file
+    sizes give the planner exact statistics for the next join.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tramline-ckpt-"))
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
