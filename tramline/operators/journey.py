@@ -120,6 +120,16 @@ def segment_durations(conns: DataFrame) -> DataFrame:
     )
 
 
+def _improve(old: DataFrame | None, new: DataFrame, key: list[str], rank: str) -> DataFrame:
+    """Best row per key of both frames, with ``_new`` where the new one won; written out."""
+    rest = [c for c in new.columns if c not in key]
+    tagged = new.withColumn("_new", F.lit(1))
+    if old is not None:
+        tagged = old.select(*new.columns).withColumn("_new", F.lit(0)).unionByName(tagged)
+    best = F.struct(rank, "_new", *[c for c in rest if c != rank])
+    return cut_lineage(tagged.groupBy(*key).agg(F.min(best).alias("_b")).select(*key, "_b.*"))
+
+
 def earliest_arrival(
     queries: DataFrame, timetable: DataFrame, walks: DataFrame, max_duration: int,
     change_s: int = CHANGE_SECONDS,
@@ -127,59 +137,56 @@ def earliest_arrival(
     """Earliest arrival at every stop within ``max_duration`` seconds of each request.
 
     ``queries``: query_id, source, depart_at; ``timetable``: run_id, seq, stop_id,
-    arr_s, dep_s; ``walks``: from_stop, to_stop, walk_s. A label is the time at
-    which a passenger can board at a stop; after a ride this includes the change
-    time, so staying on a run needs none. Rounds end when no label improves.
+    arr_s, dep_s, times not decreasing along a run; ``walks``: from_stop, to_stop,
+    walk_s. A journey walks at most once before, between and after rides. Changing
+    between rides takes ``change_s``; staying on a run takes nothing. A run is
+    boarded by a request again only further up the line, and rounds end when no
+    boarding improves, so the answer is exact without a limit on rounds.
     """
-    key = ["query_id", "stop_id", "ridden"]
-    state = queries.select(
-        "query_id", F.col("source").alias("stop_id"), F.lit(0).alias("ridden"),
-        F.col("depart_at").alias("ready"), F.lit(0).cast("bigint").alias("walk_s"),
-        F.lit(0).cast("bigint").alias("ride_s"), (F.col("depart_at") + max_duration).alias("horizon"),
-    )
-    labels = open_labels = cut_lineage(state)
-    boarded = None
+    key = ["query_id", "stop_id"]
+    hops = walks.select(F.col("from_stop").alias("stop_id"), "to_stop", F.col("walk_s").alias("hop_s"))
     at_stop = timetable.select("run_id", "seq", "stop_id", "dep_s")
     along = timetable.select("run_id", F.col("seq").alias("to_seq"), F.col("stop_id").alias("to_stop"), "arr_s")
-    hops = walks.select(F.col("from_stop").alias("stop_id"), "to_stop", F.col("walk_s").alias("hop_s"))
-    best = F.struct("ready", "walk_s", "ride_s", "horizon")
-    while not open_labels.isEmpty():
+    zero = F.lit(0).cast("bigint")
+
+    def on_foot(places: DataFrame) -> DataFrame:
+        """(query, stop, arrival) after one walk."""
+        j = places.join(hops, "stop_id").where(F.col("arrival") + F.col("hop_s") <= F.col("horizon"))
+        return j.select(
+            "query_id", F.col("to_stop").alias("stop_id"), (F.col("arrival") + F.col("hop_s")).alias("arrival"),
+            (F.col("walk_s") + F.col("hop_s")).alias("walk_s"), "ride_s", "horizon",
+        )
+
+    origin = queries.select(
+        "query_id", F.col("source").alias("stop_id"), F.col("depart_at").alias("arrival"),
+        zero.alias("walk_s"), zero.alias("ride_s"), (F.col("depart_at") + max_duration).alias("horizon"),
+    )
+    first = cut_lineage(origin.unionByName(on_foot(origin)))
+    ready = _improve(None, first.withColumn("ready", F.col("arrival")), key, "ready")
+    boarded = landed = None
+    while True:
+        open_labels = ready.where("_new = 1")
         boards = open_labels.join(at_stop, "stop_id").where("dep_s >= ready AND dep_s <= horizon")
-        boards = boards.groupBy("query_id", "run_id").agg(
-            F.min_by(F.struct("seq", "dep_s", "walk_s", "ride_s", "ready", "horizon"), F.struct("seq", "ready")).alias("b")
-        ).select("query_id", "run_id", "b.*")
-        if boarded is not None:
-            boards = boards.join(boarded, ["query_id", "run_id"], "left")
-        else:
-            boards = boards.withColumn("old_seq", F.lit(None).cast("bigint"))
-        boards = cut_lineage(boards.where("old_seq IS NULL OR seq < old_seq"))
-        # a run boarded before is ridden again only up to its old boarding point
-        rides = boards.join(along, "run_id").where(
-            "to_seq > seq AND (old_seq IS NULL OR to_seq <= old_seq) AND arr_s >= dep_s AND arr_s <= horizon"
-        )
+        # the earliest stop of a run that can be boarded serves all later ones
+        boarded = _improve(
+            boarded, boards.select("query_id", "run_id", "seq", "dep_s", "walk_s", "ride_s", "horizon"),
+            ["query_id", "run_id"], "seq",
+        )
+        rides = boarded.where("_new = 1").join(along, "run_id").where("to_seq > seq AND arr_s <= horizon")
         reached = rides.select(
-            "query_id", F.col("to_stop").alias("stop_id"), F.lit(1).alias("ridden"),
-            (F.col("arr_s") + change_s).alias("ready"), "walk_s",
+            "query_id", F.col("to_stop").alias("stop_id"), F.col("arr_s").alias("arrival"), "walk_s",
             (F.col("ride_s") + F.col("arr_s") - F.col("dep_s")).alias("ride_s"), "horizon",
         )
-        walked = open_labels.join(hops, "stop_id").select(
-            "query_id", F.col("to_stop").alias("stop_id"), "ridden", (F.col("ready") + F.col("hop_s")).alias("ready"),
-            (F.col("walk_s") + F.col("hop_s")).alias("walk_s"), "ride_s", "horizon",
-        ).where(F.col("ready") - F.col("ridden") * change_s <= F.col("horizon"))
-        new = reached.unionByName(walked).groupBy(*key).agg(F.min(best).alias("n"))
-        old = labels.select(*key, F.col("ready").alias("old_ready"))
-        better = new.join(old, key, "left").where("old_ready IS NULL OR n.ready < old_ready")
-        open_labels = cut_lineage(better.select(*key, "n.*"))
-        merged = labels.unionByName(open_labels).groupBy(*key).agg(F.min(best).alias("n"))
-        labels = cut_lineage(merged.select(*key, "n.*"))
-        seen = boards.select("query_id", "run_id", F.col("seq").alias("old_seq"))
-        if boarded is not None:
-            seen = seen.unionByName(boarded).groupBy("query_id", "run_id").agg(F.min("old_seq").alias("old_seq"))
-        boarded = cut_lineage(seen)
-    arrival = (F.col("ready") - F.col("ridden") * change_s).alias("arrival")
-    out = labels.select("query_id", "stop_id", arrival, "walk_s", "ride_s")
-    first = out.groupBy("query_id", "stop_id").agg(F.min(F.struct("arrival", "walk_s", "ride_s")).alias("a"))
-    return first.select("query_id", "stop_id", "a.*")
+        landed = _improve(landed, reached, key, "arrival")
+        better = landed.where("_new = 1").drop("_new")
+        if better.isEmpty():
+            break
+        changing = better.unionByName(on_foot(better)).withColumn("ready", F.col("arrival") + change_s)
+        ready = _improve(ready, changing, key, "ready")
+    landed = landed.drop("_new")
+    everywhere = first.unionByName(landed).unionByName(on_foot(landed))
+    best = everywhere.groupBy(*key).agg(F.min(F.struct("arrival", "walk_s", "ride_s")).alias("a"))
+    return best.select(*key, "a.*")
 
 
 def isochrone(arrivals: DataFrame, queries: DataFrame, stops: DataFrame, minutes: int = 15) -> DataFrame:

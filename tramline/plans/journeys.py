@@ -121,10 +121,7 @@ register_sql(
     """SELECT run_id, stop_id, event_id, trip_id, arr_s, least(dep_s, COALESCE(lead(arr_s) OVER w, dep_s)) AS dep_s,
        row_number() OVER w AS seq FROM stop_times WINDOW w AS (PARTITION BY run_id ORDER BY arr_s, event_id)""",
 )
-register_sql(
-    "arrivals",
-    """SELECT query_id, stop_id, min(ready - 120 * ridden) AS arrival FROM labels_found GROUP BY 1, 2""",
-)
+register_sql("arrivals", "SELECT query_id, stop_id, min(reach) AS arrival FROM labels_found GROUP BY 1, 2")
 register_sql("ride_pairs", """
    SELECT a.stop_id AS from_stop, b.stop_id AS to_stop, a.dep_s, b.arr_s FROM runs a JOIN runs b
    ON a.run_id = b.run_id AND b.seq > a.seq AND b.arr_s >= a.dep_s""")
@@ -148,19 +145,23 @@ def arrivals(spark, root):
     )
 
 
-_LABELS = f"""
-  SELECT query_id, source AS stop_id, 0 AS ridden, depart_at AS ready, depart_at + {HORIZON} AS horizon
-  FROM journey_queries
-  UNION
-  SELECT n.query_id, n.stop_id, n.ridden, min(n.ready), any_value(n.horizon) FROM (
-    SELECT l.query_id, h.to_stop AS stop_id, CASE WHEN h.walk_s IS NULL THEN 1 ELSE l.ridden END AS ridden,
-           CASE WHEN h.walk_s IS NULL THEN h.arr_s + 120 ELSE l.ready + h.walk_s END AS ready, l.horizon
-    FROM labels_found l JOIN hops h ON h.from_stop = l.stop_id
-    WHERE (h.walk_s IS NULL AND h.dep_s >= l.ready AND h.dep_s <= l.horizon AND h.arr_s <= l.horizon)
-       OR (h.walk_s IS NOT NULL AND l.ready + h.walk_s - 120 * l.ridden <= l.horizon)) n
-  LEFT JOIN recurring.labels_found o ON o.query_id = n.query_id AND o.stop_id = n.stop_id AND o.ridden = n.ridden
-  WHERE o.ready IS NULL OR n.ready < o.ready GROUP BY n.query_id, n.stop_id, n.ridden"""
-register_sql("labels_found", _LABELS, "(query_id, stop_id, ridden, ready, horizon) USING KEY (query_id, stop_id, ridden)")
+# kinds of label: 0 origin, 1 after a ride, 2 walked before any ride, 3 walked after a ride
+register_sql(
+    "labels_found",
+    f"""SELECT query_id, source AS stop_id, 0 AS kind, depart_at AS reach, depart_at + {HORIZON} AS horizon
+        FROM journey_queries
+        UNION
+        SELECT n.query_id, n.stop_id, n.kind, min(n.reach), any_value(n.horizon) FROM (
+          SELECT l.query_id, h.to_stop AS stop_id, CASE WHEN h.walk_s IS NULL THEN 1 ELSE l.kind + 2 END AS kind,
+                 CASE WHEN h.walk_s IS NULL THEN h.arr_s ELSE l.reach + h.walk_s END AS reach, l.horizon
+          FROM labels_found l JOIN hops h ON h.from_stop = l.stop_id
+          WHERE (h.walk_s IS NULL AND h.dep_s >= l.reach + 120 * (l.kind % 2) AND h.dep_s <= l.horizon
+                 AND h.arr_s <= l.horizon)
+             OR (h.walk_s IS NOT NULL AND l.kind < 2 AND l.reach + h.walk_s <= l.horizon)) n
+        LEFT JOIN recurring.labels_found o ON o.query_id = n.query_id AND o.stop_id = n.stop_id AND o.kind = n.kind
+        WHERE o.reach IS NULL OR n.reach < o.reach GROUP BY n.query_id, n.stop_id, n.kind""",
+    "(query_id, stop_id, kind, reach, horizon) USING KEY (query_id, stop_id, kind)",
+)
 
 
 @query("earliest_arrival", "SELECT query_id, stop_id, arrival FROM arrivals")
