@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: ASCII punctuation
-PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
+# separators: ASCII punctuation and any Unicode white space
+SEPARATORS = r"[\p{Punct}\s\x0B\x1C-\x1F\x{85}\p{Z}]+"
+
+# fixed values: common English function words
+STOP_WORDS = """
+a about above after again against all am an and any are as at be because been before being below between both but by
+can could did do does doing down during each few for from further had has have having he her here hers herself him
+himself his how i if in into is it its itself just me more most my myself no nor not now of off on once only or other
+our ours ourselves out over own same she should so some such than that the their theirs them themselves then there
+these they this those through to too under until up very was we were what when where which while who whom why will
+with would you your yours yourself yourselves
+""".split()
 
 
 def _c(x) -> Column:
@@ -21,7 +31,7 @@ def first_number(text) -> Column:
 
 def words(text) -> Column:
     """Lower-cased words; ASCII punctuation and white space separate them."""
-    clean = F.regexp_replace(F.lower(_c(text)), r"[\p{Punct}\s]+", " ")
+    clean = F.regexp_replace(F.lower(_c(text)), SEPARATORS, " ")
     return F.filter(F.split(clean, " "), lambda w: w != "")
 
 
