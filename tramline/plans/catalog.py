@@ -3,6 +3,6 @@
 import importlib
 
 for _name in (
-    "sources", "shaping", "joins", "aggregates", "windows", "scalars", "transit", "journeys", "texts",
+    "sources", "shaping", "joins", "aggregates", "windows", "scalars", "transit", "journeys", "texts", "models",
 ):
     importlib.import_module(f"tramline.plans.{_name}")
