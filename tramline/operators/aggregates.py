@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tramline.session import broadcast_if_small, cut_lineage
+
 
 def is_blank(name: str) -> Column:
     c = F.col(name)
@@ -51,10 +53,11 @@ def null_fractions(df: DataFrame, columns: list[str], keep_below: float = 0.5) -
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Attach ``total / (classes * count(label))`` to every row."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    counts = cut_lineage(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))
     totals = counts.agg(F.sum("_n") / F.count(F.lit(1)))
     weights = counts.select(label, (totals.scalar() / F.col("_n")).alias(out))
-    return df.join(weights, label)
+    # one row per class: broadcast, so that a frequent class is not one shuffle partition
+    return df.join(broadcast_if_small(weights), label)
 
 
 def describe_numeric(df: DataFrame, column: str) -> DataFrame:

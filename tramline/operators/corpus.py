@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tramline.functions import text
 from tramline.operators import timeseries
 from tramline.operators.shaping import dense_index
+from tramline.session import broadcast_if_small
 
 VOCABULARY = 100_000
 
@@ -35,7 +36,14 @@ def vectorize(words: DataFrame, vocab: DataFrame) -> DataFrame:
     Words are counted per document before they meet the vocabulary.
     """
     counts = words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(vocab.select("word", "idx"), "word").select("doc_id", "idx", "n")
+    return match_vocabulary(counts, vocab)
+
+
+def match_vocabulary(counts: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(doc_id, word, n) -> (doc_id, idx, n); a vocabulary of counted size is broadcast, so
+    frequent words do not become hot shuffle keys."""
+    words = broadcast_if_small(vocab.select("word", "idx"))
+    return counts.join(words, "word").select("doc_id", "idx", "n")
 
 
 def ngrams(docs: DataFrame, sizes: list[int], vocab: DataFrame | None = None) -> DataFrame:

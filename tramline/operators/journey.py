@@ -110,7 +110,7 @@ def next_departure(requests: DataFrame, conns: DataFrame, max_rows: int = ordere
         *on, "t", F.lit(0).alias("_kind"), F.col("request_id").alias("_tie"), "request_id"
     )
     both = rq.unionByName(c, allowMissingColumns=True)
-    got = ordered.carry(both, on, ["t", "_kind", "_tie"], {"_n": F.col("_c")}, False, max_rows)
+    got = ordered.carry(both, on, ["t", "_kind", "_tie"], following={"_n": F.col("_c")}, max_rows=max_rows)
     return got.where("_kind = 0").select("request_id", *on, "t", "_n.dep_s", "_n.arr_s", "_n.run_id")
 
 
@@ -387,7 +387,7 @@ def option_confidence(legs: DataFrame, visits: DataFrame) -> DataFrame:
     ).unionByName(
         shares.select("line_id", F.col("delay_s").alias("x"), F.lit(0).alias("_kind"), "share"), allowMissingColumns=True
     )
-    got = ordered.carry(both, ["line_id"], ["x", "_kind"], {"_p": F.col("share")}, True).where("_kind = 1")
+    got = ordered.carry(both, ["line_id"], ["x", "_kind"], last={"_p": F.col("share")}).where("_kind = 1")
     p = got.select("_c.option_id", F.coalesce("_p", F.lit(0.0)).alias("p"))
     held = p.groupBy("option_id").agg(
         F.when(F.min("p") <= 0, 0.0).otherwise(F.exp(F.sum(F.log(F.when(F.col("p") > 0, F.col("p")))))).alias("confidence")

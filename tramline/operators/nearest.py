@@ -28,8 +28,7 @@ def nearest_in_time(
     es = events.select(key, t, F.lit(1).alias("_kind"), F.struct(*ev_cols).alias("_ev"))
     both = rs.unionByName(es, allowMissingColumns=True)
     order = [t, "_kind"]
-    both = ordered.carry(both, [key], order, {"_prev": F.col("_r")}, True, max_rows)
-    both = ordered.carry(both, [key], order, {"_next": F.col("_r")}, False, max_rows)
+    both = ordered.carry(both, [key], order, {"_prev": F.col("_r")}, {"_next": F.col("_r")}, max_rows)
     back = F.col(t) - F.col("_prev.reading_t")
     ahead = F.col("_next.reading_t") - F.col(t)
     use_prev = (back <= tolerance) & (F.col("_next").isNull() | (back <= ahead))

@@ -66,6 +66,12 @@ def _after(keys: list[str]):
     return Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
 
 
+def _with_borders(rows: DataFrame, borders: DataFrame, keys: list[str]) -> DataFrame:
+    """Join the state at chunk borders, at most one row per chunk of a hot key; written
+    first, so that counting it for the broadcast decision does not recompute it."""
+    return rows.join(broadcast_if_small(cut_lineage(borders)), [*keys, "_chunk"], "left")
+
+
 def running_sum(
     df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, max_rows: int = MAX_ROWS
 ) -> DataFrame:
@@ -76,9 +82,7 @@ def running_sum(
     if cut:
         totals = c.groupBy(*keys, "_chunk").agg(F.sum("_v").alias("_s"))
         offs = totals.withColumn("_off", F.sum("_s").over(_before(keys))).where("_off IS NOT NULL").drop("_s")
-        res = res.join(broadcast_if_small(offs), [*keys, "_chunk"], "left").withColumn(
-            out, F.col(out) + F.coalesce("_off", F.lit(0))
-        )
+        res = _with_borders(res, offs, keys).withColumn(out, F.col(out) + F.coalesce("_off", F.lit(0)))
     return res.select(*df.columns, out)
 
 
@@ -90,33 +94,36 @@ def row_numbers(
 
 
 def carry(
-    df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column],
-    forward: bool = True, max_rows: int = MAX_ROWS,
+    df: DataFrame, keys: list[str], order: list[str], last: dict[str, Column] | None = None,
+    following: dict[str, Column] | None = None, max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Last non-null (forward) or next non-null (backward) value, the current row included."""
+    """The last non-null (``last``) and next non-null (``following``) values, the current row included."""
     c, cut = chunked(df, keys, order[0], max_rows)
-    for out, value in values.items():
-        c = c.withColumn(f"_in_{out}", value)
     w = _window(keys, order)
-    pick = F.last if forward else F.first
-    span = (
-        w.rowsBetween(Window.unboundedPreceding, 0) if forward else w.rowsBetween(0, Window.unboundedFollowing)
-    )
-    res = c.withColumns({o: pick(f"_in_{o}", ignorenulls=True).over(span) for o in values})
+    sides = [
+        (last or {}, F.last, w.rowsBetween(Window.unboundedPreceding, 0), F.max_by, _before(keys)),
+        (following or {}, F.first, w.rowsBetween(0, Window.unboundedFollowing), F.min_by, _after(keys)),
+    ]
+    names = [o for values, *_ in sides for o in values]
+    for values, *_ in sides:
+        c = c.withColumns({f"_in_{o}": v for o, v in values.items()}) if values else c
+    res = c
+    for values, pick, span, _, _ in sides:
+        if values:
+            res = res.withColumns({o: pick(f"_in_{o}", ignorenulls=True).over(span) for o in values})
     if cut:
         rank = F.struct(*order)
-        best = F.max_by if forward else F.min_by
-        edge = c.groupBy(*keys, "_chunk").agg(
-            *[best(f"_in_{o}", F.when(F.col(f"_in_{o}").isNotNull(), rank)).alias(f"_e_{o}") for o in values]
-        )
-        side = _before(keys) if forward else _after(keys)
-        edge = edge.withColumns({f"_b_{o}": pick(f"_e_{o}", ignorenulls=True).over(side) for o in values})
-        edge = edge.select(*keys, "_chunk", *[f"_b_{o}" for o in values]).where(
-            " OR ".join(f"_b_{o} IS NOT NULL" for o in values)
-        )
-        res = res.join(broadcast_if_small(edge), [*keys, "_chunk"], "left")
-        res = res.withColumns({o: F.coalesce(o, f"_b_{o}") for o in values})
-    return res.select(*df.columns, *values)
+        ends, borders = [], {}
+        for values, pick, _, best, across in sides:
+            for o in values:
+                at = F.when(F.col(f"_in_{o}").isNotNull(), rank)
+                ends.append(best(f"_in_{o}", at).alias(f"_e_{o}"))
+                borders[f"_b_{o}"] = pick(f"_e_{o}", ignorenulls=True).over(across)
+        edge = c.groupBy(*keys, "_chunk").agg(*ends).withColumns(borders)
+        edge = edge.select(*keys, "_chunk", *borders).where(" OR ".join(f"{b} IS NOT NULL" for b in borders))
+        res = _with_borders(res, edge, keys)
+        res = res.withColumns({o: F.coalesce(o, f"_b_{o}") for o in names})
+    return res.select(*df.columns, *names)
 
 
 def neighbour(
@@ -135,9 +142,7 @@ def neighbour(
         )
         across = Window.partitionBy(*keys).orderBy("_chunk")
         ends = ends.withColumn("_end", F.lag("_end").over(across) if step < 0 else F.lead("_end").over(across))
-        res = res.join(
-            broadcast_if_small(ends.where("_end IS NOT NULL")), [*keys, "_chunk"], "left"
-        ).withColumn(out, F.coalesce(out, "_end"))
+        res = _with_borders(res, ends.where("_end IS NOT NULL"), keys).withColumn(out, F.coalesce(out, "_end"))
     return res.select(*df.columns, out)
 
 
@@ -182,7 +187,7 @@ def linear_scan(
         ends = ends.withColumn("_first", F.row_number().over(across) == 1)
         ends = _apply_scan(ends, keys, ["_chunk"])
         ends = ends.select(*keys, "_chunk", F.lag("_y").over(across).alias("_y0")).where("_y0 IS NOT NULL")
-        res = res.join(broadcast_if_small(ends), [*keys, "_chunk"], "left").withColumn(
+        res = _with_borders(res, ends, keys).withColumn(
             "_y", F.col("_y") + F.col("_p") * F.coalesce("_y0", F.lit(0.0))
         )
     return res.select(*df.columns, F.col("_y").alias(out))

@@ -16,8 +16,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RIDGE = 1e-9
-
 
 def gramian(df: DataFrame, keys: list[str], features: list[str], target: str) -> DataFrame:
     """Per key the upper triangle of ``Z'Z`` as one array, with Z = [1, features, target]."""
@@ -54,8 +52,8 @@ def solve(gram: np.ndarray, use: list[int] | None = None) -> np.ndarray:
     xx, xy = gram[np.ix_(cols, cols)], gram[cols, -1]
     # scale before solving so that features of different size are treated alike
     scale = np.sqrt(np.maximum(np.diag(xx), 1e-300))
-    a = xx / np.outer(scale, scale) + RIDGE * np.eye(len(cols))
-    part = np.linalg.solve(a, xy / scale) / scale
+    # minimum-norm answer where features are collinear
+    part = np.linalg.lstsq(xx / np.outer(scale, scale), xy / scale, rcond=1e-12)[0] / scale
     beta = np.zeros(d + 1)
     beta[cols] = part
     return beta

@@ -79,8 +79,8 @@ def nearest(
         radius = min(radius, HALF_EARTH_M)
         hits = pairs_within(left, sites, radius)
         top = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        full = top.groupBy("_loc").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= wanted).select("_loc")
-        top = cut_lineage(top.join(full, "_loc", "left_semi"))
+        full = F.max("rank").over(Window.partitionBy("_loc")) >= wanted
+        top = cut_lineage(top.withColumn("_full", full).where("_full").drop("_full"))
         found = top if found is None else found.unionByName(top)
         left = cut_lineage(left.join(top.select("_loc").distinct(), "_loc", "left_anti"))
         if left.isEmpty() or radius >= HALF_EARTH_M:

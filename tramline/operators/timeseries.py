@@ -44,8 +44,7 @@ def interpolate(
     if mode == "position":
         base, at = ordered.row_numbers(df, keys, [t], "_pos", max_rows), "_pos"
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(at).alias("at"), F.col(value).alias("v")))
-    both = ordered.carry(base, keys, [t], {"_prev": known}, True, max_rows)
-    both = ordered.carry(both, keys, [t], {"_next": known}, False, max_rows)
+    both = ordered.carry(base, keys, [t], {"_prev": known}, {"_next": known}, max_rows)
     p, n = F.col("_prev"), F.col("_next")
     share = (F.col(at) - p.at) / (n.at - p.at)
     inner = p.v + (n.v - p.v) * share

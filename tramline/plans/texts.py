@@ -107,13 +107,13 @@ def vectors(spark, root):
     """Tokens are read twice (vocabulary and vectors), so they are counted and written once."""
     t = tokens(spark, root).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
     counts = cut_lineage(t)
-    v = corpus.vocabulary(counts.groupBy("word").agg(F.sum("n").alias("n")))
-    return counts.join(v.select("word", "idx"), "word").select("doc_id", "idx", "n"), v
+    v = cut_lineage(corpus.vocabulary(counts.groupBy("word").agg(F.sum("n").alias("n"))))
+    return corpus.match_vocabulary(counts, v)
 
 
 @query("text_vectorize", "SELECT doc_id, idx, n FROM vectors")
 def text_vectorize(spark, root):
-    return vectors(spark, root)[0]
+    return vectors(spark, root)
 
 
 def pub_years(spark, root):
@@ -127,7 +127,7 @@ def text_pub_year(spark, root):
 
 @query("text_year_sums", "SELECT year, idx, n FROM sums_by_year")
 def text_year_sums(spark, root):
-    return corpus.year_sums(vectors(spark, root)[0], pub_years(spark, root))
+    return corpus.year_sums(vectors(spark, root), pub_years(spark, root))
 
 
 _HW = ", ".join(f"({i - 5}, CAST({w:.17g} AS DOUBLE))" for i, w in enumerate(corpus.timeseries.hann_weights(11)))
@@ -148,7 +148,7 @@ _HW = ", ".join(f"({i - 5}, CAST({w:.17g} AS DOUBLE))" for i, w in enumerate(cor
         JOIN p ON p.idx = s.idx AND p.pos = s.pos + w.o GROUP BY s.year, s.idx, s.n""",
 )
 def text_word_trend(spark, root):
-    sums = cut_lineage(corpus.year_sums(vectors(spark, root)[0], pub_years(spark, root)))
+    sums = cut_lineage(corpus.year_sums(vectors(spark, root), pub_years(spark, root)))
     t = corpus.word_trend(sums, [0, 1, 2])
     return t.select("year", "idx", "n", *[r(c, 9).alias(c) for c in ("share", "odds", "smoothed")])
 

@@ -179,7 +179,7 @@ def ts_interpolate(spark, root):
     f"SELECT sensor, t, round({_FILL.format('last_value', 'value', _BACK)}, 6) AS value FROM grid",
 )
 def ts_ffill(spark, root):
-    out = ordered.carry(gridded(spark, root), ["sensor"], ["t"], {"filled": F.col("value")}, True)
+    out = ordered.carry(gridded(spark, root), ["sensor"], ["t"], last={"filled": F.col("value")})
     return out.select("sensor", "t", r("filled").alias("value"))
 
 
@@ -188,7 +188,7 @@ def ts_ffill(spark, root):
     f"SELECT sensor, t, round({_FILL.format('first_value', 'value', _AHEAD)}, 6) AS value FROM grid",
 )
 def ts_bfill(spark, root):
-    out = ordered.carry(gridded(spark, root), ["sensor"], ["t"], {"filled": F.col("value")}, False)
+    out = ordered.carry(gridded(spark, root), ["sensor"], ["t"], following={"filled": F.col("value")})
     return out.select("sensor", "t", r("filled").alias("value"))
 
 

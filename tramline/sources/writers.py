@@ -25,15 +25,14 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_by_date(df: DataFrame, path: str, day: str, files_per_day: int = 1) -> str:
+def write_by_date(df: DataFrame, path: str, day: str) -> str:
     """Lay rows out as ``year=/month=/day=``; a second run replaces only its own days.
 
-    Rows of one day are spread over ``files_per_day`` tasks, so a heavy day is
-    not written by one task.
+    Rebalancing on the day lets adaptive execution split a heavy day over several
+    tasks and put light days together.
     """
     parts = {"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)}
-    spread = df.withColumns(parts).withColumn("_salt", F.floor(F.rand(7) * files_per_day))
-    placed = spread.repartition("year", "month", "day", "_salt").drop("_salt")
+    placed = df.withColumns(parts).hint("rebalance", "year", "month", "day")
     writer = placed.write.partitionBy("year", "month", "day").mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     return path
