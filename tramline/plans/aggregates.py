@@ -14,13 +14,13 @@ from tramline.session import table
 @query(
     "agg_basic",
     """SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty,
-       round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, round(avg(l_discount), 6) AS avg_disc,
+       round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue, round(avg(l_discount), 6) AS avg_disc,
        count(*) AS n, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem GROUP BY 1, 2""",
 )
 def agg_basic(spark, root):
     price = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return table(spark, root, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        r(F.sum("l_quantity"), 2).alias("sum_qty"), r(F.sum(price), 2).alias("revenue"),
+        r(F.sum("l_quantity"), 2).alias("sum_qty"), r(F.sum(price), 4).alias("revenue"),
         r(F.avg("l_discount")).alias("avg_disc"), F.count(F.lit(1)).alias("n"),
         F.min("l_extendedprice").alias("lo"), F.max("l_extendedprice").alias("hi"),
     )

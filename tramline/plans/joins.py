@@ -136,7 +136,7 @@ def join_multi_key(spark, root):
 
 @query(
     "join_star",
-    """SELECT n.n_name, p.p_brand, count(*) AS lines, round(sum(l.l_extendedprice * (1 - l.l_discount)), 2) AS revenue
+    """SELECT n.n_name, p.p_brand, count(*) AS lines, round(sum(l.l_extendedprice * (1 - l.l_discount)), 4) AS revenue
        FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
        JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN part p ON p.p_partkey = l.l_partkey
        WHERE o.o_orderdate >= TIMESTAMP '1996-01-01' AND l.l_shipdate >= TIMESTAMP '1996-06-01'
@@ -153,7 +153,7 @@ def join_star(spark, root):
         .join(p, li.l_partkey == p.p_partkey)
     )
     revenue = F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    return j.groupBy("n_name", "p_brand").agg(F.count(F.lit(1)).alias("lines"), r(revenue, 2).alias("revenue"))
+    return j.groupBy("n_name", "p_brand").agg(F.count(F.lit(1)).alias("lines"), r(revenue, 4).alias("revenue"))
 
 
 @query(
