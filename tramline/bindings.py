@@ -11,7 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions.timefn import epoch_seconds, format_seconds, plus_seconds
+from tramline.functions.timefn import epoch_seconds, format_seconds, plus_seconds, whole_second
 from tramline.session import table
 
 DNA_FROM = "abcdefghijklmnopqrstuvwxyz "
@@ -29,7 +29,7 @@ def visits(spark: SparkSession, root: str) -> DataFrame:
         F.to_date("ts").alias("operating_day"),
         F.expr("user_id * 10 + (event_id * 7) % 10").alias("stop_id"),
         F.col("event_type").alias("product_id"),
-        F.date_trunc("second", "ts").cast("timestamp_ntz").alias("sched"),
+        whole_second("ts").alias("sched"),
         (F.floor("value").cast("bigint") - 30).alias("delay_s"),
         F.expr("event_id % 53 = 0").alias("failed"),
         F.expr("event_id % 47 = 0").alias("unplanned"),
@@ -101,10 +101,12 @@ def weather(spark: SparkSession, root: str) -> DataFrame:
         F.col("value").alias("temp"),
         F.expr("CASE WHEN event_id % 6 = 0 THEN value / 50 ELSE 0D END").alias("precip"),
     )
-    best = rows.groupBy("station_id", "t").agg(
-        F.min_by(F.struct("event_id", "temp", "precip"), "event_id").alias("r")
+    # one primitive aggregate per column keeps this a hash aggregate
+    return rows.groupBy("station_id", "t").agg(
+        F.min("event_id").alias("reading_id"),
+        F.min_by("temp", "event_id").alias("temp"),
+        F.min_by("precip", "event_id").alias("precip"),
     )
-    return best.select("station_id", "t", F.col("r.event_id").alias("reading_id"), "r.temp", "r.precip")
 
 
 def readings(spark: SparkSession, root: str) -> DataFrame:
@@ -114,7 +116,7 @@ def readings(spark: SparkSession, root: str) -> DataFrame:
         "event_id",
         F.col("user_id").alias("sensor"),
         F.col("event_type").alias("site"),
-        F.date_trunc("second", "ts").cast("timestamp_ntz").alias("ts"),
+        whole_second("ts").alias("ts"),
         epoch_seconds("ts").alias("t"),
         F.when(F.col("event_id") % 11 != 0, F.col("value")).alias("value"),
     )

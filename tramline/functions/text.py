@@ -31,8 +31,7 @@ def first_number(text) -> Column:
 
 def words(text) -> Column:
     """Lower-cased words; ASCII punctuation and white space separate them."""
-    clean = F.regexp_replace(F.lower(_c(text)), SEPARATORS, " ")
-    return F.filter(F.split(clean, " "), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(_c(text)), SEPARATORS), "")
 
 
 def ngrams(tokens, n: int, sep: str = " ") -> Column:

@@ -12,18 +12,27 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
 def epoch_seconds(ts) -> Column:
     """Whole seconds since 1970 of a zone-less timestamp; no session zone involved."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.date_trunc("second", _c(ts)).cast("timestamp_ntz"))
+    return F.floor((_c(ts) - _epoch()).cast("decimal(20,6)")).cast("bigint")
 
 
 def plus_seconds(ts, secs) -> Column:
     return _c(ts) + F.make_dt_interval(secs=_c(secs).cast("decimal(18,6)"))
 
 
+def whole_second(ts) -> Column:
+    """A zone-less timestamp without its fraction of a second."""
+    return plus_seconds(_epoch(), epoch_seconds(ts))
+
+
 def seconds_between(later, earlier) -> Column:
     """``later - earlier`` in whole seconds; NULL when either is NULL."""
-    return F.timestamp_diff("SECOND", _c(earlier), _c(later))
+    return (_c(later) - _c(earlier)).cast("bigint")
 
 
 def parse_service_time(text) -> Column:
@@ -48,8 +57,7 @@ def format_seconds(secs) -> Column:
 
 def local_time(epoch, zone: str = "Europe/Zurich") -> Column:
     """Epoch seconds -> wall clock of ``zone`` as a zone-less timestamp (DST aware)."""
-    utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=_c(epoch).cast("decimal(18,6)"))
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), plus_seconds(_epoch(), epoch))
 
 
 def iso_weekday(day) -> Column:

@@ -54,6 +54,21 @@ def ngrams(docs: DataFrame, sizes: list[int], vocab: DataFrame | None = None) ->
     return rows if vocab is None else rows.join(vocab, rows.gram == vocab.word, "left_semi")
 
 
+def ngram_profile(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """Grams, distinct grams, first and last gram in word order per document and size.
+
+    All grams of a document are in its row, so nothing is shuffled.
+    """
+    w = docs.select("doc_id", text.words("text").alias("w"))
+    each = F.array(*[F.struct(F.lit(n).alias("n"), text.ngrams("w", n).alias("g")) for n in sizes])
+    rows = w.select("doc_id", F.explode(each).alias("e")).select("doc_id", "e.n", F.col("e.g").alias("g"))
+    return rows.where(F.size("g") > 0).select(
+        "doc_id", "n", F.size("g").cast("bigint").alias("grams"),
+        F.size(F.array_distinct("g")).cast("bigint").alias("distinct_grams"),
+        F.array_min("g").alias("first_gram"), F.array_max("g").alias("last_gram"),
+    )
+
+
 def char_ngrams(df: DataFrame, key: str, column: str, k: int) -> DataFrame:
     return df.select(key, F.explode(text.kmers(column, k)).alias("gram"))
 

@@ -11,7 +11,7 @@ from tramline.operators import corpus, shaping
 from tramline.plans.sources import EXTRA_STOP_WORDS
 from tramline.plans.util import bigint, r
 from tramline.registry import query
-from tramline.session import broadcast_if_small, cut_lineage, table
+from tramline.session import broadcast_if_small, cut_lineage, spread, table
 
 _ALL_STOP = STOP_WORDS + EXTRA_STOP_WORDS
 _SPLIT = (
@@ -45,7 +45,7 @@ register_sql(
 
 
 def docs(spark, root):
-    return table(spark, root, "documents").select("doc_id", "lang", "text")
+    return spread(table(spark, root, "documents").select("doc_id", "lang", "text"), "doc_id")
 
 
 def stop_words(spark):
@@ -95,12 +95,7 @@ def text_vocab(spark, root):
 )
 def text_ngrams(spark, root):
     """All 1- to 3-grams, summarised per document."""
-    grams = corpus.ngrams(docs(spark, root), [1, 2, 3])
-    per = grams.groupBy("doc_id", "n", "gram").agg(F.count(F.lit(1)).alias("c"))
-    return per.groupBy("doc_id", "n").agg(
-        F.sum("c").alias("grams"), F.count(F.lit(1)).alias("distinct_grams"), F.min("gram").alias("first_gram"),
-        F.max("gram").alias("last_gram"),
-    )
+    return corpus.ngram_profile(docs(spark, root), [1, 2, 3])
 
 
 def vectors(spark, root):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -51,9 +51,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if seen <= max_rows else df
 
 
-def scalar(df: DataFrame) -> Column:
-    """A one-row, one-column frame as a scalar subquery."""
-    return df.scalar()
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for heavy work per row when the input has fewer splits than cores.
+
+    Inputs with enough splits, as on a cluster, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
