@@ -199,10 +199,18 @@ def isochrone(arrivals: DataFrame, queries: DataFrame, stops: DataFrame, minutes
 
 
 def _non_dominated(df: DataFrame, part: list[str], order: list[str]) -> DataFrame:
-    """Rows walking less than every row that is at least as early (ties: first row)."""
+    """Rows walking less than every row that is at least as early (ties: first row).
+
+    Of the rows that walk equally far only the first can stay, so they are reduced
+    by an aggregate before the window sees them.
+    """
+    first = [c for c in order if c != "walk_m"]
+    rest = [c for c in df.columns if c not in (*part, *order)]
+    one = df.groupBy(*part, "walk_m").agg(F.min(F.struct(*first, *rest)).alias("_m"))
+    one = one.select(*part, "walk_m", "_m.*")
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     low = F.min("walk_m").over(w)
-    return df.withColumn("_low", low).where("_low IS NULL OR walk_m < _low").drop("_low")
+    return one.withColumn("_low", low).where("_low IS NULL OR walk_m < _low").drop("_low")
 
 
 def robust_paths(
@@ -288,11 +296,11 @@ def robust_paths(
         options.append(landed.where("stop_id = target"))
         rest = landed.where("stop_id <> target").select(*[c if c != "ready" else F.col("arrival").alias("ready") for c in cols])
         after_ride = _non_dominated(rest.withColumn("_tie", tie), part, order).drop("_tie")
-        walked = walk(after_ride)
-        options.append(walked.where("stop_id = target"))
-        on_foot = walked.where("stop_id <> target").withColumnRenamed("arrival", "ready").select(*cols)
+        walked = walk(after_ride).withColumnRenamed("arrival", "ready").select(*cols)
+        step = cut_lineage(after_ride.select(*cols).unionByName(walked))
+        options.append(step.where("stop_id = target").withColumnRenamed("ready", "arrival"))
         # boarding again takes the change time, whether or not the passenger walked
-        new = after_ride.unionByName(on_foot).withColumn("ready", F.col("ready") + change_s)
+        new = step.where("stop_id <> target").withColumn("ready", F.col("ready") + change_s)
         pool = kept.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
         pool = _non_dominated(pool.withColumn("_tie", tie), part, ["ready", "walk_m", "rides", "_new", "_tie"])
         pool = cut_lineage(pool.drop("_tie"))
@@ -301,8 +309,8 @@ def robust_paths(
     found = options[0]
     for o in options[1:]:
         found = found.unionByName(o)
-    found = found.select("query_id", "rides", F.col("arrival").cast("bigint"), "walk_m", "legs")
-    out = found.unionByName(same)
+    found = found.select("query_id", "rides", F.col("arrival").cast("bigint"), "walk_m", "legs").distinct()
+    out = cut_lineage(found.unionByName(same))
     dep = F.coalesce(F.col("legs")[0]["dep_s"], F.col("arrival"))
     trips = F.filter(F.transform("legs", lambda x: x.run_id), lambda x: x.isNotNull())
     changes = F.greatest(F.size(F.array_distinct(trips)) - 1, F.lit(0))
@@ -316,24 +324,29 @@ def diversify(options: DataFrame, k: int, option_id: str = "option_id") -> DataF
     """At most ``k`` options per query: different (15-minute departure, changes, first
     two trips) first, then different leg sequences, each in order of arrival.
 
-    Needs query_id, arrival, departure, changes, first_trips, signature.
+    Needs query_id, arrival, departure, changes, first_trips, signature. The best
+    option per footprint and per leg sequence are aggregates, and each top ``k`` is
+    cut before its shuffle, so a query with very many options is not one task.
     """
     order = ["arrival", "departure", "changes", option_id]
+    rest = [c for c in options.columns if c not in (*order, "query_id")]
+
+    def first(df: DataFrame, *by: str | Column) -> DataFrame:
+        best = df.groupBy("query_id", *by).agg(F.min(F.struct(*order, *rest)).alias("_o"))
+        return best.select("query_id", "_o.*")
+
+    def top(df: DataFrame, *before: Column) -> DataFrame:
+        w = Window.partitionBy("query_id").orderBy(*before, *order)
+        return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k).drop("_n")
+
     print_ = F.struct(F.floor(F.col("departure") / 900), "changes", "first_trips")
-    o = options.withColumn("_f", print_)
-
-    def nth(*part: str | Column) -> Column:
-        return F.row_number().over(Window.partitionBy(*part).orderBy(*order))
-
-    o = o.withColumn("_first", nth("query_id", "_f") == 1)
-    o = o.withColumn("_rank", nth("query_id", "_first"))
-    o = o.withColumn("_chosen", F.col("_first") & (F.col("_rank") <= k))
-    same_legs = Window.partitionBy("query_id", "signature")
-    o = o.withColumn("_sig_taken", F.max("_chosen").over(same_legs)).withColumn("_sig_nth", nth("query_id", "signature"))
-    o = o.where(F.col("_chosen") | (~F.col("_sig_taken") & (F.col("_sig_nth") == 1)))
-    pick = Window.partitionBy("query_id").orderBy(F.desc("_chosen"), *order)
-    o = o.withColumn("_pick", F.row_number().over(pick)).where(F.col("_pick") <= k)
-    return o.withColumn("option_no", nth("query_id")).select(*options.columns, "option_no")
+    chosen = cut_lineage(top(first(options, print_.alias("_f"))))
+    taken = chosen.select("query_id", "signature")
+    others = top(first(options, "signature").join(taken, ["query_id", "signature"], "left_anti"))
+    both = chosen.withColumn("_late", F.lit(0)).unionByName(others.withColumn("_late", F.lit(1)))
+    both = top(both, F.col("_late")).drop("_late")
+    w = Window.partitionBy("query_id").orderBy(*order)
+    return both.withColumn("option_no", F.row_number().over(w)).select(*options.columns, "option_no")
 
 
 def count_changes(legs: DataFrame) -> DataFrame:

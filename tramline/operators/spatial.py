@@ -68,11 +68,15 @@ def nearest(
 
     Search rounds with a growing radius; a place leaves the search as soon as
     ``k`` sites lie within the radius, so dense areas finish with small cells.
-    Points at the same place are searched once. Ties go to the smaller site id.
+    Points at the same place are searched once, and of many sites at one place only
+    ``k`` are looked at. Ties go to the smaller site id.
     """
     wanted = min(k, sites.count())
     left = cut_lineage(points.select("lat", "lon").distinct().withColumn("_loc", F.struct("lat", "lon")))
-    sites = sites.select(site_id, "lat", "lon")
+    # of the sites at one place only the k smallest ids can be chosen
+    place = Window.partitionBy("lat", "lon").orderBy(site_id)
+    sites = sites.select(site_id, "lat", "lon").withColumn("_n", F.row_number().over(place))
+    sites = cut_lineage(sites.where(F.col("_n") <= k).drop("_n"))
     radius, found = start_metres, None
     order = Window.partitionBy("_loc").orderBy("metres", site_id)
     while wanted:

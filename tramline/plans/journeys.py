@@ -11,6 +11,7 @@ from tramline.plans.aggregates import QS
 from tramline.plans.transit import inside
 from tramline.plans.util import bigint, r
 from tramline.registry import query
+from tramline.session import cut_lineage
 
 HORIZON = 10 * 3600
 
@@ -137,8 +138,6 @@ def timetable(spark, root):
 
 
 def arrivals(spark, root):
-    from tramline.session import cut_lineage
-
     walks = cut_lineage(transit.footpaths(B.stops(spark, root)))
     return journey.earliest_arrival(
         B.journey_queries(spark, root), cut_lineage(timetable(spark, root)), walks, HORIZON
@@ -192,8 +191,6 @@ def path_requests(spark, root):
 
 @query("robust_paths")
 def robust_paths(spark, root):
-    from tramline.session import cut_lineage
-
     delays = quantiles.approx_quantiles(B.visits(spark, root), ["line_id"], "delay_s", QS).drop("n")
     options = journey.robust_paths(
         path_requests(spark, root), cut_lineage(timetable(spark, root)),
@@ -313,22 +310,23 @@ def path_transfers(spark, root):
 
 def leg_options(spark, root):
     """One row per option with what the selection needs."""
-    lg = legs(spark, root)
     item = F.struct("leg_no", "from_stop", "to_stop", "kind", "leg_trip")
-    one = lg.groupBy("option_id", "query_id").agg(
+    one = legs(spark, root).groupBy("option_id", "query_id").agg(
         F.min_by("dep_s", "leg_no").alias("departure"), F.max_by("arr_s", "leg_no").alias("arrival"),
         F.sort_array(F.collect_list(item)).alias("l"),
     )
-    rides = F.filter("l", lambda x: x.kind == "PT")
-    sign = F.array_join(
-        F.transform("l", lambda x: F.concat_ws(":", x.from_stop, x.to_stop, x.kind, x.leg_trip)), ";"
-    )
-    one = one.select(
-        "option_id", "query_id", "departure", "arrival",
-        F.array_join(F.transform(F.slice(rides, 1, 2), lambda x: x.leg_trip), ",").alias("first_trips"),
-        sign.alias("signature"),
+    rides = F.transform(F.filter("l", lambda x: x.kind == "PT"), lambda x: x.leg_trip)
+    one = one.withColumn("rides", rides)
+    differs = F.zip_with("rides", F.slice("rides", F.lit(2), F.size("rides")), lambda a, b: F.coalesce(a != b, F.lit(False)))
+    sign = F.transform("l", lambda x: F.concat_ws(":", x.from_stop, x.to_stop, x.kind, x.leg_trip))
+    return cut_lineage(
+        one.select(
+            "option_id", "query_id", "departure", "arrival",
+            F.size(F.filter(differs, lambda x: x)).alias("changes"),
+            F.array_join(F.slice("rides", 1, 2), ",").alias("first_trips"),
+            F.array_join(sign, ";").alias("signature"),
+        )
     )
-    return one.join(journey.count_changes(lg), "option_id")
 
 
 register_sql(

@@ -266,7 +266,7 @@ def rdd_map_filter(spark, root):
     return x.where("squared % 3 = 1")
 
 
-@query("repartition_by_key")
+@query("repartition_by_key", "SELECT line_id, 1 AS partitions, count(*) AS n FROM visits GROUP BY line_id")
 def repartition_by_key(spark, root):
     v = B.visits(spark, root).select("line_id", "event_id")
     placed = v.repartition(16, "line_id").withColumn("part", F.spark_partition_id())

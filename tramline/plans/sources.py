@@ -147,7 +147,12 @@ def temp_view(spark, root):
     return spark.sql("SELECT c_mktsegment, count(*) AS n FROM tramline_customer GROUP BY c_mktsegment")
 
 
-@query("describe_schema")
+@query(
+    "describe_schema",
+    """SELECT CAST(column_index - 1 AS INTEGER) AS position, column_name, CASE data_type WHEN 'INTEGER' THEN 'int'
+       WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type
+       FROM duckdb_columns() WHERE table_name = 'lineitem'""",
+)
 def describe_schema(spark, root):
     return readers.describe(table(spark, root, "lineitem"))
 
@@ -181,7 +186,10 @@ def write_partitioned(spark, root):
     )
 
 
-@query("write_clustered")
+@query(
+    "write_clustered",
+    "SELECT event_id, stop_id, hour(sched) // 6 AS band FROM visits WHERE isodow(sched) = 1",
+)
 def write_clustered(spark, root):
     v = B.visits(spark, root).select("event_id", "stop_id", "sched")
     path = writers.write_clustered(
@@ -190,7 +198,9 @@ def write_clustered(spark, root):
         {"weekday": F.weekday("sched") + 1, "band": F.floor(F.hour("sched") / 6)},
         ["stop_id", "sched"],
     )
-    return readers.read_partitioned(spark, path, F.col("weekday") == 1).select("event_id", "stop_id", "band")
+    return readers.read_partitioned(spark, path, F.col("weekday") == 1).select(
+        "event_id", "stop_id", bigint("band").alias("band")
+    )
 
 
 @query("ctas", "SELECT user_id, count(*) AS n, round(avg(value), 6) AS mean_value FROM events GROUP BY user_id")

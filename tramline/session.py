@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -61,7 +62,17 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for written data: below the shared checkpoint folder, or a
-    temporary folder where none is configured (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{base or tempfile.mkdtemp(prefix='tramline-')}/{name}-{uuid.uuid4().hex}"
+    """A new path for written data, one folder per application so that it can be dropped
+    as a whole afterwards.
+
+    It lies below the shared checkpoint folder the session names; only where none
+    is configured (tests) a temporary folder is used.
+    """
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or _test_folder()
+    return f"{base}/tramline-{sc.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _test_folder() -> str:
+    return tempfile.mkdtemp(prefix="tramline-")
