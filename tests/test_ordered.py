@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tramline.operators import ordered, timeseries, transit
-from tramline.operators.quantiles import exact_quantiles
+from tramline.operators.quantiles import approx_quantiles, discrete_quantiles, exact_quantiles
 from tramline import bindings as B
 
 
@@ -151,3 +151,10 @@ def test_hann_smoothing(spark):
     df = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate(x)], "k string, pos bigint, x double")
     got = [r.y for r in timeseries.hann_smooth(df, ["k"], "pos", "x", "y", n).orderBy("pos").collect()]
     assert np.allclose(got, expected)
+
+
+def test_discrete_quantiles(rows):
+    probs = {"a": 0.25, "b": 0.5, "c": 0.9, "d": 0.95}
+    sketch = sorted(tuple(r) for r in approx_quantiles(rows, ["k"], "v", probs).collect())
+    for limit in (10, 10**6):
+        assert sorted(tuple(r) for r in discrete_quantiles(rows, ["k"], "v", probs, limit).collect()) == sketch

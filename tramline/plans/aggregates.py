@@ -176,7 +176,7 @@ QS = {"q50": 0.5, "q75": 0.75, "q90": 0.9, "q95": 0.95}
     + ", count(value) AS n FROM events GROUP BY event_type",
 )
 def agg_quantiles(spark, root):
-    return quantiles.approx_quantiles(table(spark, root, "events"), ["event_type"], "value", QS)
+    return quantiles.discrete_quantiles(table(spark, root, "events"), ["event_type"], "value", QS)
 
 
 @query(

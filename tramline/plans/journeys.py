@@ -191,7 +191,7 @@ def path_requests(spark, root):
 
 @query("robust_paths")
 def robust_paths(spark, root):
-    delays = quantiles.approx_quantiles(B.visits(spark, root), ["line_id"], "delay_s", QS).drop("n")
+    delays = quantiles.discrete_quantiles(B.visits(spark, root), ["line_id"], "delay_s", QS).drop("n")
     options = journey.robust_paths(
         path_requests(spark, root), cut_lineage(timetable(spark, root)),
         cut_lineage(transit.footpaths(B.stops(spark, root))), delays,

@@ -291,7 +291,7 @@ def hybrid_quantile(df, trees: int = 100, depth: int = 10):
     on the validation part shift the point prediction.
     """
     keys = ["route_id", "stop_id", "sched_hour"]
-    base = quantiles.approx_quantiles(df, keys, "delay", {"q50": 0.5}).drop("n")
+    base = quantiles.discrete_quantiles(df, keys, "delay", {"q50": 0.5}).drop("n")
     data = df.join(base, keys).withColumn("residual_label", F.col("delay") - F.col("q50"))
     parts = shaping.hash_split(data, "event_id", {"train": 70, "valid": 15, "test": 15})
     parts = cut_lineage(VectorAssembler(inputCols=HYBRID, outputCol="features").transform(parts))

@@ -302,7 +302,7 @@ def weather_features(spark, root):
 )
 def hourly_delay_quantiles(spark, root):
     f = transit.delay_facts(B.visits(spark, root)).withColumn("hour", bigint(F.hour("sched")))
-    return quantiles.approx_quantiles(f, ["hour"], "arr_delay", QS)
+    return quantiles.discrete_quantiles(f, ["hour"], "arr_delay", QS)
 
 
 @query(
@@ -310,7 +310,7 @@ def hourly_delay_quantiles(spark, root):
     f"SELECT route_id, stop_id, sched_hour, {_Q_SQL.format('delay')}, count(*) AS n FROM features GROUP BY 1, 2, 3",
 )
 def baseline_quantiles(spark, root):
-    out = quantiles.approx_quantiles(features(spark, root), ["route_id", "stop_id", "sched_hour"], "delay", QS)
+    out = quantiles.discrete_quantiles(features(spark, root), ["route_id", "stop_id", "sched_hour"], "delay", QS)
     return out.withColumn("sched_hour", bigint("sched_hour"))
 
 
@@ -324,7 +324,7 @@ def weather_delay_quantiles(spark, root):
     rows = visit_weather(spark, root).withColumn(
         "weather", F.when(p > 0, "rain").when(p.isNotNull(), "dry").otherwise("unknown")
     )
-    return quantiles.approx_quantiles(rows, ["weather"], "delay_s", QS)
+    return quantiles.discrete_quantiles(rows, ["weather"], "delay_s", QS)
 
 
 @query(
