@@ -370,7 +370,7 @@ def model_store(spark, root):
     """Train once under a key of regions and weekdays, then load the stored model and predict."""
     train, test = split(training_set(spark, root))
     folder = scratch_path(spark, "models")
-    key = writers.model_key(["Lausanne", "Ouest lausannois"], [1, 2, 3, 4, 5])
+    key = writers.model_key(["North district", "South district"], [1, 2, 3, 4, 5])
     pipeline = mlops.logistic(CATEGORIES, NUMBERS)
     writers.load_or_train(spark, folder, key, lambda: pipeline.fit(train))
     model = writers.load_or_train(spark, folder, key, lambda: pipeline.fit(train))
