@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,14 +63,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for written data, one folder per application so that it can be dropped
     as a whole afterwards.
 
-    It lies below the shared checkpoint folder the session names; only where none
-    is configured (tests) a temporary folder is used.
+    It lies in the shared folder that ``spark.checkpoint.dir`` names. Where that
+    is unset it lies below the session's warehouse, which every executor writes
+    tables to as well; a machine-local temporary folder is never used.
     """
     sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or _test_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages"
     return f"{base}/tramline-{sc.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-@functools.cache
-def _test_folder() -> str:
-    return tempfile.mkdtemp(prefix="tramline-")
