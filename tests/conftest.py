@@ -11,7 +11,7 @@ from tramline.session import local_session
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     s = local_session("8", 4)
-    s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("stages")))
+    s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("stages")))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
