@@ -59,31 +59,31 @@ def test_stop_keys(spark):
 
 
 def test_words(spark):
-    assert one(spark, text.words(F.lit("This! Is, A; _Punctuated- Sentence/")))[0] == ["this", "is", "a", "punctuated", "sentence"]
-    said = "The supreme art of war is to subdue the enemy without fighting."
+    assert one(spark, text.words(F.lit("Late? Trams, _wait- at: (Every) Stop!")))[0] == ["late", "trams", "wait", "at", "every", "stop"]
+    said = "A slow tram beats two fast ones that never came."
     shown = F.array_join(F.transform(F.split(F.lit(said), " "), text.capitalise_ends), " ")
-    assert one(spark, shown)[0] == "ThE SupremE ArT OF WaR IS TO SubduE ThE EnemY WithouT Fighting."
+    assert one(spark, shown)[0] == "A SloW TraM BeatS TwO FasT OneS ThaT NeveR Came."
     lengths = F.transform(text.words(F.lit(said)), F.length)
     values = one(spark, lengths)[0]
-    assert len(values) == 12 and sum(values) == sum(len(w) for w in said[:-1].split())
+    assert len(values) == 10 and sum(values) == sum(len(w) for w in said[:-1].split())
 
 
 def test_kmers(spark):
-    r = one(spark, text.kmers(F.lit("AACAT"), 3), text.kmers(F.lit("AC"), 3), text.canonical(F.lit("ttt")))
-    assert r[0] == ["aac", "aca", "cat"] and r[1] == [] and r[2] == "aaa"
+    r = one(spark, text.kmers(F.lit("GGATTC"), 4), text.kmers(F.lit("GAT"), 4), text.canonical(F.lit("tgc")))
+    assert r[0] == ["ggat", "gatt", "attc"] and r[1] == [] and r[2] == "gca"
 
 
 def test_vectorize(spark):
     docs = spark.createDataFrame(
-        [(1, "john likes to watch movies mary likes movies too"), (2, "John also likes to watch football games!")],
+        [(1, "red tram blue tram red line"), (2, "Blue bus, red BUS stop!")],
         "doc_id bigint, text string",
     )
-    words = "john likes to watch movies mary too also football games".split()
-    vocab = spark.createDataFrame(list(zip(words, range(10))), "word string, idx bigint")
-    vec = {1: [0] * 10, 2: [0] * 10}
+    words = "tram red line stop bus blue".split()
+    vocab = spark.createDataFrame(list(zip(words, range(6))), "word string, idx bigint")
+    vec = {1: [0] * 6, 2: [0] * 6}
     for r in corpus.vectorize(corpus.tokens(docs), vocab).collect():
         vec[r.doc_id][r.idx] = r.n
-    assert vec == {1: [1, 2, 1, 1, 2, 1, 1, 0, 0, 0], 2: [1, 1, 1, 1, 0, 0, 0, 1, 1, 1]}
+    assert vec == {1: [2, 2, 1, 0, 0, 1], 2: [0, 1, 0, 1, 2, 1]}
 
 
 def test_ngrams_with_vocabulary(spark):

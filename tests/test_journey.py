@@ -138,7 +138,7 @@ def test_robust_paths_find_the_earliest_arrival(spark, network):
     )
     tt = journey.number_stops(st).withColumn("line_id", F.lit(0).cast("bigint"))
     none = spark.createDataFrame([(0, 0, 0, 0, 0)], "line_id bigint, q50 bigint, q75 bigint, q90 bigint, q95 bigint")
-    got = journey.robust_paths(q, tt, w, none, max_rides=6, max_walk_m=1e9, max_duration=2500)
+    got = journey.robust_paths(q, tt, w, none, max_walk_m=1e9, max_duration=2500)
     best = {r.query_id: r.a for r in got.groupBy("query_id").agg(F.min("arrival").alias("a")).collect()}
     for i, s, t, start, _, _ in asked:
         assert best.get(i) == twin(rows, walks, s, start, 2500).get(t)

@@ -14,7 +14,7 @@ from tramline.operators.transit import footpaths
 def dist(a, b):
     p, q = math.radians(a[0]), math.radians(b[0])
     h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
-    return 2 * 6371000 * math.asin(math.sqrt(h))
+    return 2 * 6371000 * math.asin(math.sqrt(min(1.0, h)))
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,8 @@ def places():
     near = [(46.5 + rng.random() / 20, 6.5 + rng.random() / 20) for _ in range(150)]
     far = [(rng.uniform(-70, 80), rng.uniform(-180, 180)) for _ in range(60)]
     edge = [(10.0 + i / 1000, 179.999 - i / 10000) for i in range(4)] + [(10.0 + i / 1000, -179.999) for i in range(4)]
-    return near + far + edge + [near[0]] * 20
+    poles = [(84.0 + i / 50, 20.0 * i) for i in range(10)] + [(89.5, 10.0), (89.5, -170.0), (89.9, 100.0), (-90.0, 0.0), (-90.0, 77.0), (-89.99, 5.0)]
+    return near + far + edge + poles + [near[0]] * 20
 
 
 def frame(spark, pts, name):

@@ -23,10 +23,11 @@ def number_stops(stop_times: DataFrame) -> DataFrame:
     """Stop times with their position in the run; a departure listed after the
     next arrival is pulled back to it, so times never decrease along a run."""
     order = ["arr_s", "event_id"]
-    placed = ordered.row_numbers(stop_times, ["run_id"], order, "seq")
+    placed = ordered.chunked(stop_times, ["run_id"], order)
+    placed = ordered.row_numbers(placed, ["run_id"], order, "seq")
     placed = ordered.neighbour(placed, ["run_id"], order, F.struct("arr_s"), "_n", step=1)
     dep = F.least(F.col("dep_s"), F.coalesce("_n.arr_s", "dep_s"))
-    return placed.withColumn("dep_s", dep).drop("_n")
+    return placed.withColumn("dep_s", dep).drop("_n", ordered.CHUNK)
 
 
 def consecutive(stop_times: DataFrame) -> DataFrame:
@@ -95,7 +96,7 @@ def transfers_between(transfers: DataFrame, stops: DataFrame) -> DataFrame:
     return a.join(ids.withColumnRenamed("stop_id", "to_stop"), "to_stop", "left_semi")
 
 
-def next_departure(requests: DataFrame, conns: DataFrame, max_rows: int = ordered.MAX_ROWS) -> DataFrame:
+def next_departure(requests: DataFrame, conns: DataFrame, chunks: int | None = None) -> DataFrame:
     """For every (from, to, t) the first connection of that edge leaving at or after ``t``.
 
     Requests and connections are interleaved in time and the next connection is
@@ -110,7 +111,7 @@ def next_departure(requests: DataFrame, conns: DataFrame, max_rows: int = ordere
         *on, "t", F.lit(0).alias("_kind"), F.col("request_id").alias("_tie"), "request_id"
     )
     both = rq.unionByName(c, allowMissingColumns=True)
-    got = ordered.carry(both, on, ["t", "_kind", "_tie"], following={"_n": F.col("_c")}, max_rows=max_rows)
+    got = ordered.carry(both, on, ["t", "_kind", "_tie"], following={"_n": F.col("_c")}, chunks=chunks)
     return got.where("_kind = 0").select("request_id", *on, "t", "_n.dep_s", "_n.arr_s", "_n.run_id")
 
 
@@ -215,7 +216,7 @@ def _non_dominated(df: DataFrame, part: list[str], order: list[str]) -> DataFram
 
 def robust_paths(
     queries: DataFrame, timetable: DataFrame, walks: DataFrame, delays: DataFrame,
-    max_rides: int = 4, max_walk_m: float = MAX_WALK_METRES, max_duration: int = 14400,
+    max_walk_m: float = MAX_WALK_METRES, max_duration: int = 14400,
     arrive_window: int = 7200, change_s: int = CHANGE_SECONDS,
 ) -> DataFrame:
     """Journey options per request with their legs.
@@ -226,7 +227,8 @@ def robust_paths(
     planned times plus the delay quantile of the line. With ``arrive_by`` only,
     the search starts ``arrive_window`` seconds before it. Labels are kept while
     no other label of the stop is as early with as little walking and as few
-    rides. Source = target gives one option without legs.
+    rides; rounds, one ride each, end when no label is new, so journeys may have any
+    number of rides within ``max_duration``. Source = target gives one option without legs.
     """
     q = queries.select(
         "query_id", "source", "target", "confidence",
@@ -283,9 +285,7 @@ def robust_paths(
     onward = first_walk.where("stop_id <> target").withColumnRenamed("arrival", "ready").select(*cols)
     fresh_labels = cut_lineage(start.unionByName(onward))
     kept = fresh_labels
-    for _ in range(max_rides):
-        if fresh_labels.isEmpty():
-            break
+    while not fresh_labels.isEmpty():
         boards = fresh_labels.join(at_stop, "stop_id").where("dep_s >= ready AND dep_s <= limit")
         boards = _non_dominated(boards.withColumn("_tie", tie), ["query_id", "run_id"], ["seq", "walk_m", "ready", "_tie"])
         rides = boards.join(along, "run_id").where("to_seq > seq AND arr_s >= dep_s")
@@ -381,7 +381,7 @@ def changes_of(legs: DataFrame, change_s: int = CHANGE_SECONDS) -> DataFrame:
 
 def delay_shares(visits: DataFrame, keys: list[str], delay: str) -> DataFrame:
     """Share of observations with at most a given delay, per key and observed delay."""
-    counts = visits.groupBy(*keys, delay).agg(F.count(F.lit(1)).alias("_n"))
+    counts = cut_lineage(visits.groupBy(*keys, delay).agg(F.count(F.lit(1)).alias("_n")))
     upto = ordered.running_sum(counts, keys, [delay], F.col("_n"), "_upto")
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_all"))
     return upto.join(totals, keys).select(*keys, delay, (F.col("_upto") / F.col("_all")).alias("share"))

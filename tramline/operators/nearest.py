@@ -10,7 +10,7 @@ from tramline.operators import ordered
 
 def nearest_in_time(
     events: DataFrame, readings: DataFrame, key: str, t: str, tolerance: int,
-    max_rows: int = ordered.MAX_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Every event with its nearest reading of the same key within ``tolerance``.
 
@@ -28,7 +28,7 @@ def nearest_in_time(
     es = events.select(key, t, F.lit(1).alias("_kind"), F.struct(*ev_cols).alias("_ev"))
     both = rs.unionByName(es, allowMissingColumns=True)
     order = [t, "_kind"]
-    both = ordered.carry(both, [key], order, {"_prev": F.col("_r")}, {"_next": F.col("_r")}, max_rows)
+    both = ordered.carry(both, [key], order, {"_prev": F.col("_r")}, {"_next": F.col("_r")}, chunks)
     back = F.col(t) - F.col("_prev.reading_t")
     ahead = F.col("_next.reading_t") - F.col(t)
     use_prev = (back <= tolerance) & (F.col("_next").isNull() | (back <= ahead))

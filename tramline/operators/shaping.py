@@ -90,13 +90,13 @@ def pivot_discovered(df: DataFrame, keys: list[str], column: str, value: Column)
     return typed.groupBy(*keys).pivot(column, values).agg(value)
 
 
-def dense_index(df: DataFrame, order: list[str], out: str, start: int = 0, max_rows: int = ordered.MAX_ROWS) -> DataFrame:
+def dense_index(df: DataFrame, order: list[str], out: str, start: int = 0, chunks: int | None = None) -> DataFrame:
     """Consecutive numbers in a total order over the whole frame.
 
     The frame is one group for ``ordered.row_numbers``, which cuts it into
     ordered chunks as soon as it is large.
     """
-    one = ordered.row_numbers(df.withColumn("_all", F.lit(0)), ["_all"], order, out, max_rows)
+    one = ordered.row_numbers(df.withColumn("_all", F.lit(0)), ["_all"], order, out, chunks)
     return one.withColumn(out, F.col(out) - 1 + start).drop("_all")
 
 

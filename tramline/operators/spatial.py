@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import struct
 
 import pandas as pd
@@ -9,56 +10,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.functions.geo import METRES_PER_DEGREE, haversine
-from tramline.session import cut_lineage
+from tramline.functions.geo import EARTH_M, haversine, unit_sphere
+from tramline.session import broadcast_if_small, cut_lineage
 
 HALF_EARTH_M = 20_100_000.0
 RADIUS_GROWTH = 4.0
 EDGES = T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("x1", "y1", "x2", "y2")]))
 
 
-def _lon_width(band: Column, height: float) -> Column:
-    """Degrees of longitude that ``height`` degrees of arc can span near a latitude band."""
-    edge = F.least(
-        F.greatest(F.abs((band - 1) * height), F.abs((band + 2) * height)), F.lit(90.0)
-    )
-    return F.when(edge > 89, F.lit(1000.0)).otherwise(F.lit(height * 1.001) / F.cos(F.radians(edge)))
+def _cells(size: float) -> dict[str, Column]:
+    """Cube of side ``size`` around a place on the unit sphere, as three whole numbers."""
+    return {f"_c{i}": F.floor(x / size).cast("int") for i, x in enumerate(unit_sphere())}
 
 
 def pairs_within(a: DataFrame, b: DataFrame, metres: float) -> DataFrame:
     """Pairs of rows of ``a`` and ``b`` (both with lat, lon) at most ``metres`` apart.
 
-    ``b`` is copied to the 3 x 3 neighbouring cells, both sides meet in an equi
-    join on the cell, and the exact distance decides. A crowded cell is one hot
-    join key, which adaptive skew handling splits. Columns of ``a`` and ``b``
-    must differ apart from lat and lon.
+    Places are points on the unit sphere, cut into cubes as wide as the chord of ``metres``.
+    ``b`` is copied to its cube and the 26 around it, so a row of ``a``, which lies in one cube,
+    meets each row of ``b`` once at most, at the poles and over the date line as well. Both
+    sides meet in an equi join on the cube, and the exact distance decides. A crowded cube is
+    one hot join key, which adaptive skew handling splits. Columns of ``a`` and ``b`` must
+    differ apart from lat and lon.
     """
-    height = metres / METRES_PER_DEGREE * 1.0001
-    near_edge = _lon_width(F.floor(F.col("lat") / height), height) * 2
-    left = a.withColumn("_band", F.floor(F.col("lat") / height)).withColumn(
-        "_cell", F.floor(F.col("lon") / _lon_width(F.col("_band"), height))
-    )
-    lons = F.array_compact(
-        F.array(
-            F.col("lon"),
-            F.when(F.col("lon") < near_edge - 180, F.col("lon") + 360),
-            F.when(F.col("lon") > F.lit(180) - near_edge, F.col("lon") - 360),
-        )
-    )
-    right = (
-        b.withColumn("_lon", F.explode(lons))
-        .withColumn("_dy", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)])))
-        .withColumn("_band", F.floor(F.col("lat") / height) + F.col("_dy"))
-        .withColumn("_mid", F.floor(F.col("_lon") / _lon_width(F.col("_band"), height)))
-        .withColumn("_cell", F.explode(F.array(*[F.col("_mid") + i for i in (-1, 0, 1)])))
-        .withColumnsRenamed({"lat": "_lat2", "lon": "_lon2"})
-        .drop("_lon", "_dy", "_mid")
-    )
+    chord = 2 * math.sin(min(metres / EARTH_M, math.pi) / 2) * 1.0001
+    size, own = max(chord, 1e-9), ["_c0", "_c1", "_c2"]
+    around = [F.explode(F.array(*[F.col(c) + i for i in (-1, 0, 1)])) for c in own]
+    right = b.withColumns(_cells(size))
+    for c, copies in zip(own, around):
+        right = right.withColumn(c, copies)
+    right = right.withColumnsRenamed({"lat": "_lat2", "lon": "_lon2"})
     dist = haversine("lat", "lon", "_lat2", "_lon2")
-    pairs = left.join(right, ["_band", "_cell"]).withColumn("metres", dist).where(F.col("metres") <= metres)
+    pairs = a.withColumns(_cells(size)).join(right, own).withColumn("metres", dist).where(F.col("metres") <= metres)
     keep = [c for c in a.columns if c not in ("lat", "lon")] + [c for c in b.columns if c not in ("lat", "lon")]
-    # very large radii can reach the same pair over both sides of the date line
-    return pairs.select(*keep, "metres") if metres < 1_000_000 else pairs.select(*keep, "metres").distinct()
+    return pairs.select(*keep, "metres")
 
 
 def nearest(
@@ -136,33 +121,32 @@ def points_in_regions(
 ) -> DataFrame:
     """Rows of ``points`` (lat, lon) with the id of every region that contains them.
 
-    A region's bounding box is cut into grid cells and every cell keeps only the
-    edges that a ray from inside it towards +x can meet. Points join on the
-    cell; an odd number of crossings means inside, so holes need no special case.
+    A region's bounding box is cut into grid cells. Every cell has the edges that a ray from
+    inside it towards +x can meet, one row each. Points join on the cell; an odd number of
+    crossings means inside, so holes need no special case.
     """
     g = cell_degrees
-    edges = regions.select(region_id, F.explode(wkb_edges(F.col(wkb))).alias("e")).select(region_id, "e.*")
-    box = edges.groupBy(region_id).agg(
-        F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x9")
-    )
-    rows = edges.join(box, region_id).withColumn(
-        "_cy", F.explode(F.sequence(F.floor(F.least("y1", "y2") / g), F.floor(F.greatest("y1", "y2") / g)))
-    )
+    decoded = regions.select(region_id, wkb_edges(F.col(wkb)).alias("_e")).where(F.size("_e") > 0)
+    left = F.array_min(F.transform("_e", lambda e: F.least(e.x1, e.x2)))
+    edges = decoded.withColumn("x0", left).select(region_id, "x0", F.explode("_e").alias("e")).select(region_id, "x0", "e.*")
     # an edge matters to all cells of its rows from the box's left side to its own right end
-    rows = rows.withColumn(
-        "_cx", F.explode(F.sequence(F.floor(F.col("x0") / g), F.floor(F.greatest("x1", "x2") / g)))
-    )
-    cells = rows.groupBy(region_id, "_cx", "_cy").agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges")
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    cells = (
+        edges.where("y1 <> y2")
+        .withColumn("_cy", F.explode(F.sequence(F.floor(low / g), F.floor(high / g))))
+        .withColumn("_cx", F.explode(F.sequence(F.floor(F.col("x0") / g), F.floor(F.greatest("x1", "x2") / g))))
+        .drop("x0")
     )
     x, y = F.col("lon"), F.col("lat")
-    crossed = F.filter(
-        "_edges",
-        lambda e: ((e.y1 > y) != (e.y2 > y)) & (x < (e.x2 - e.x1) * (y - e.y1) / (e.y2 - e.y1) + e.x1),
+    crossed = ((F.col("y1") > y) != (F.col("y2") > y)) & (
+        x < (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
     )
-    keyed = points.withColumns({"_cx": F.floor(x / g), "_cy": F.floor(y / g)})
-    inside = keyed.join(cells, ["_cx", "_cy"]).where(F.size(crossed) % 2 == 1)
-    return inside.select(*points.columns, region_id)
+    # equal places are tested once
+    places = points.where("lon IS NOT NULL AND lat IS NOT NULL").select("lon", "lat").distinct()
+    keyed = places.withColumns({"_cx": F.floor(x / g), "_cy": F.floor(y / g)})
+    hits = keyed.join(broadcast_if_small(cut_lineage(cells)), ["_cx", "_cy"]).where(crossed)
+    inside = hits.groupBy("lon", "lat", region_id).count().where("count % 2 = 1").drop("count")
+    return points.join(inside, ["lon", "lat"]).select(*points.columns, region_id)
 
 
 def nearest_others(

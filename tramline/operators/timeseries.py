@@ -23,28 +23,31 @@ def resample_mean(df: DataFrame, keys: list[str], t: str, value: str, step: int)
     return df.groupBy(*keys, bucket(t, step).alias(t)).agg(F.avg(value).alias(value))
 
 
-def time_grid(df: DataFrame, keys: list[str], t: str, start: int, end: int, step: int) -> DataFrame:
-    """``df`` (unique per key and grid time) on the full grid of every key; gaps are NULL."""
+def time_grid(df: DataFrame, keys: list[str], t: str, step: int) -> DataFrame:
+    """``df`` (unique per key and grid time) on the grid from its first to its last time for every key; gaps are NULL."""
+    bounds = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).first()
+    if bounds.lo is None:
+        return df
     grid = df.select(*keys).distinct().withColumn(
-        t, F.explode(F.sequence(F.lit(start).cast("bigint"), F.lit(end).cast("bigint"), F.lit(step).cast("bigint")))
+        t, F.explode(F.sequence(F.lit(bounds.lo).cast("bigint"), F.lit(bounds.hi).cast("bigint"), F.lit(step).cast("bigint")))
     )
     return grid.join(df, [*keys, t], "left")
 
 
 def interpolate(
     df: DataFrame, keys: list[str], t: str, value: str, out: str, mode: str = "time",
-    max_rows: int = ordered.MAX_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Linear fill of interior gaps; leading gaps stay NULL.
 
     ``mode="position"`` weighs by row position and lets trailing gaps repeat the
     last value, as data-frame libraries do by default.
     """
-    base, at = df, t
+    base, at = ordered.chunked(df, keys, [t], chunks), t
     if mode == "position":
-        base, at = ordered.row_numbers(df, keys, [t], "_pos", max_rows), "_pos"
+        base, at = ordered.row_numbers(base, keys, [t], "_pos"), "_pos"
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(at).alias("at"), F.col(value).alias("v")))
-    both = ordered.carry(base, keys, [t], {"_prev": known}, {"_next": known}, max_rows)
+    both = ordered.carry(base, keys, [t], {"_prev": known}, {"_next": known})
     p, n = F.col("_prev"), F.col("_next")
     share = (F.col(at) - p.at) / (n.at - p.at)
     inner = p.v + (n.v - p.v) * share
@@ -59,71 +62,86 @@ def trailing_mean(
 ) -> DataFrame:
     """Mean of ``value`` over ``[t - span, t]`` (or up to ``t - 1``) per key.
 
-    Rows of the same second are summed first and time is cut into buckets of
-    ``span`` seconds, each copied to the following bucket, so a window group has
-    at most ``2 * span`` rows whatever the size of the key. Two growing frames
-    (up to now, and up to the lower bound) give the sum by subtraction.
+    Rows of the same second are summed first. Time is cut into buckets of ``span`` seconds;
+    a window is the end of the bucket before, from ``t - span`` on, and the start of its own,
+    so sums from a bucket's start and from its end give it without a subtraction: large or
+    infinite values leave no trace outside their windows. A window group has at most ``span``
+    rows whatever the size of the key.
     """
-    per = df.groupBy(*keys, t).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-    home = F.floor(F.col(t) / span)
-    both = per.withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn(
-        "_b", F.when(F.col("_own"), home).otherwise(home + 1)
-    )
+    bucket_of = F.floor(F.col(t) / span).cast("bigint")
+    per = df.groupBy(*keys, t).agg(F.sum(value).alias("_s"), F.count(value).alias("_n")).withColumn("_b", bucket_of)
     w = Window.partitionBy(*keys, "_b").orderBy(t)
-    upper = w.rangeBetween(Window.unboundedPreceding, 0 if with_current else -1)
-    lower = w.rangeBetween(Window.unboundedPreceding, -span - 1)
-
-    def over(c: str) -> Column:
-        return F.coalesce(F.sum(c).over(upper), F.lit(0)) - F.coalesce(F.sum(c).over(lower), F.lit(0))
-
-    n = over("_n")
-    means = both.withColumns({"_sum": over("_s"), "_cnt": n}).where("_own")
-    means = means.select(*keys, t, F.when(F.col("_cnt") > 0, F.col("_sum") / F.col("_cnt")).alias(out))
-    return df.join(means, [*keys, t], "left")
+    head = w.rowsBetween(Window.unboundedPreceding, 0 if with_current else -1)
+    tail = w.rowsBetween(0, Window.unboundedFollowing)
+    sums = per.withColumns({
+        "_hs": F.sum("_s").over(head), "_hn": F.sum("_n").over(head),
+        "_ts": F.sum("_s").over(tail), "_tn": F.sum("_n").over(tail),
+    })
+    # a second asks the bucket before its own for what stands there from t - span on
+    ask = sums.select(*keys, (F.col("_b") - 1).alias("_b"), (F.col(t) - span).alias("_at"), F.lit(0).alias("_kind"), F.col(t).alias("_t"), "_hs", "_hn", F.lit(None).cast("struct<s:double,n:bigint>").alias("_end"))
+    told = sums.select(*keys, "_b", F.col(t).alias("_at"), F.lit(1).alias("_kind"), F.col(t).alias("_t"), "_hs", "_hn", F.struct(F.col("_ts").cast("double").alias("s"), F.col("_tn").alias("n")).alias("_end"))
+    ahead = Window.partitionBy(*keys, "_b").orderBy("_at", "_kind").rowsBetween(0, Window.unboundedFollowing)
+    met = ask.unionByName(told).withColumn("_end", F.first("_end", ignorenulls=True).over(ahead)).where("_kind = 0")
+    n = F.coalesce("_hn", F.lit(0)) + F.coalesce("_end.n", F.lit(0))
+    # a sum of no values is null and takes no part
+    total = F.coalesce("_hs", F.lit(0.0)) + F.coalesce("_end.s", F.lit(0.0))
+    means = met.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_t").alias("_kt"), F.when(n > 0, total / n).alias(out))
+    same = [df[k].eqNullSafe(means[f"_k{i}"]) for i, k in enumerate(keys)] + [df[t] == means["_kt"]]
+    return df.join(means, same, "left").select(*df.columns, out)
 
 
 def ema(
     df: DataFrame, keys: list[str], order: list[str], value: str, out: str, alpha: float = 0.1,
-    max_rows: int = ordered.MAX_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Exponential moving average per key, seeded with the first value."""
-    n = ordered.row_numbers(df.where(F.col(value).isNotNull()), keys, order, "_n", max_rows)
+    placed = ordered.chunked(df.where(F.col(value).isNotNull()), keys, order, chunks)
+    n = ordered.row_numbers(placed, keys, order, "_n")
     first = F.col("_n") == 1
     a = F.when(first, 0.0).otherwise(1 - alpha)
     b = F.when(first, F.col(value)).otherwise(alpha * F.col(value))
-    return ordered.linear_scan(n, keys, order, a, b, out, max_rows).drop("_n")
+    return ordered.linear_scan(n, keys, order, a, b, out).drop("_n", ordered.CHUNK)
 
 
-def kalman_gains(q: float, r: float) -> np.ndarray:
-    """Gain of step 1, 2, ... of a scalar random walk, up to where it stops changing.
+def kalman_gains(q: float, r: float) -> tuple[np.ndarray, float]:
+    """Gains of the first steps of a scalar random walk, and the fixed gain of all later ones.
 
-    The gain depends on the step number only, not on the data.
+    The gain depends on the step number only, not on the data. With ``q`` above 0 it approaches
+    the fixed point of the variance; steps are listed until it is reached. With ``q = 0`` it
+    has a closed form, ``kalman_gain``, and none are listed.
     """
-    gains, p = [], 1.0
-    while len(gains) < 2 or abs(gains[-1] - gains[-2]) > 1e-18:
-        pred = p + q
-        gains.append(pred / (pred + r))
-        p = (1 - gains[-1]) * pred
-        if len(gains) >= 1_000_000:
+    if q == 0:
+        return np.zeros(0), 0.0
+    steady = (math.sqrt(q * q + 4 * q * r) + q) / 2
+    fixed, gains, p = steady / (steady + r), [], 1.0
+    while not gains or abs(gains[-1] - fixed) > 1e-15 * fixed:
+        gain = (p + q) / (p + q + r)
+        if gains and gain == gains[-1]:
             break
-    return np.array(gains)
+        gains.append(gain)
+        p = (1 - gain) * (p + q)
+    return np.array(gains), gains[-1]
 
 
 def kalman(
     df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
-    q: float = 1e-5, r: float = 0.1, max_rows: int = ordered.MAX_ROWS,
+    q: float = 1e-5, r: float = 0.1, chunks: int | None = None,
 ) -> DataFrame:
     """Scalar random-walk Kalman filter per key, started at the first value."""
-    gains = kalman_gains(q, r)
+    gains, fixed = kalman_gains(q, r)
 
     @F.pandas_udf(T.DoubleType())
     def gain(step: pd.Series) -> pd.Series:
-        return pd.Series(gains[np.minimum(step.to_numpy(), len(gains)) - 1])
+        n = step.to_numpy()
+        if not len(gains):
+            return pd.Series(1.0 / (n + r))
+        return pd.Series(np.where(n <= len(gains), gains[np.minimum(n, len(gains)) - 1], fixed))
 
-    n = ordered.row_numbers(df.where(F.col(value).isNotNull()), keys, order, "_n", max_rows)
+    placed = ordered.chunked(df.where(F.col(value).isNotNull()), keys, order, chunks)
+    n = ordered.row_numbers(placed, keys, order, "_n")
     n = n.withColumn("_k", F.when(F.col("_n") == 1, 1.0).otherwise(gain(F.greatest(F.col("_n") - 1, F.lit(1)))))
-    out_df = ordered.linear_scan(n, keys, order, 1 - F.col("_k"), F.col("_k") * F.col(value), out, max_rows)
-    return out_df.drop("_n", "_k")
+    out_df = ordered.linear_scan(n, keys, order, 1 - F.col("_k"), F.col("_k") * F.col(value), out)
+    return out_df.drop("_n", "_k", ordered.CHUNK)
 
 
 def drift_flags(
@@ -183,9 +201,9 @@ def hann_smooth(df: DataFrame, keys: list[str], pos: str, value: str, out: str,
     return df.join(smooth, [*keys, pos])
 
 
-def cv_folds(df: DataFrame, order: list[str], folds: int, max_rows: int = ordered.MAX_ROWS) -> DataFrame:
+def cv_folds(df: DataFrame, order: list[str], folds: int, chunks: int | None = None) -> DataFrame:
     """Expanding-window folds: rows of block ``b`` test fold ``b`` and train all later folds."""
-    ranked = dense_index(df, order, "_rank", 0, max_rows)
+    ranked = dense_index(df, order, "_rank", 0, chunks)
     total = df.agg(F.count(F.lit(1)))
     block = F.floor(F.col("_rank") * (folds + 1) / total.scalar()).cast("int")
     roles = F.explode(

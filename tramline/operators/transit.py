@@ -74,7 +74,7 @@ def timetable_counts(subset: DataFrame, days: list[str]) -> DataFrame:
 def service_days(
     calendar: DataFrame, exceptions: DataFrame, first: str, last: str, weekdays_only: bool = True
 ) -> DataFrame:
-    """Dates on which each service runs: weekday flags, plus added, minus removed days."""
+    """Dates from ``first`` to ``last`` on which each service runs: weekday flags, plus added, minus removed days."""
     names = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
     cal = calendar
     if weekdays_only:
@@ -85,7 +85,8 @@ def service_days(
     regular = cal.withColumn("day", F.explode(dates)).where(
         F.element_at(F.array(*names), F.weekday("day") + 1)
     ).select("service_id", "day")
-    mine = exceptions.join(cal.select("service_id"), "service_id", "left_semi")
+    window = F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    mine = exceptions.where(window).join(cal.select("service_id"), "service_id", "left_semi")
     added = mine.where("exception_type = 1").select("service_id", "day")
     removed = mine.where("exception_type = 2").select("service_id", "day")
     return regular.unionByName(added).distinct().join(removed, ["service_id", "day"], "left_anti")
@@ -104,13 +105,13 @@ def clean_visits(visits: DataFrame, trips: DataFrame) -> DataFrame:
     return ran.join(trips.select("trip_id"), "trip_id", "left_semi")
 
 
-def trajectories(visits: DataFrame, max_rows: int = ordered.MAX_ROWS) -> DataFrame:
+def trajectories(visits: DataFrame, chunks: int | None = None) -> DataFrame:
     """Per trip and day: position of each visit, start time, and four intervals since the start.
 
     The start is the first known departure; intervals are NULL where a time is.
     """
     cols = ["event_id", *JOURNEY, "stop_id", "arr_time", "arr_actual", "dep_time", "dep_actual"]
-    seq = ordered.row_numbers(visits.select(*cols), JOURNEY, SEQUENCE, "seq", max_rows)
+    seq = ordered.row_numbers(visits.select(*cols), JOURNEY, SEQUENCE, "seq", chunks)
     starts = (
         visits.where("dep_time IS NOT NULL")
         .groupBy(*JOURNEY)
@@ -199,10 +200,10 @@ def delay_features(facts: DataFrame, stops: DataFrame, routes: DataFrame, transf
     return j.withColumns({"hour_sin": hs, "hour_cos": hc, "doy_sin": ds, "doy_cos": dc})
 
 
-def lag_correlation(visits: DataFrame, max_rows: int = ordered.MAX_ROWS) -> DataFrame:
+def lag_correlation(visits: DataFrame, chunks: int | None = None) -> DataFrame:
     """Correlation of the delay with the delay at the previous stop of the same journey, per line."""
     rows = visits.select("line_id", *JOURNEY, "sched", "event_id", "delay_s")
-    prev = ordered.neighbour(rows, JOURNEY, ["sched", "event_id"], F.struct("delay_s"), "p", -1, max_rows)
+    prev = ordered.neighbour(rows, JOURNEY, ["sched", "event_id"], F.struct("delay_s"), "p", -1, chunks)
     pairs = prev.where("p IS NOT NULL").select(
         "line_id", F.col("delay_s").cast("double").alias("a"), F.col("p.delay_s").cast("double").alias("b")
     )

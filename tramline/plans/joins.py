@@ -93,11 +93,13 @@ def join_all_hows(spark, root):
     e = table(spark, root, "events")
     a = e.select(F.expr("user_id * 1000 + hour(ts) DIV 2 * 2").alias("k")).distinct()
     b = e.select(F.expr("user_id * 1000 + hour(ts) DIV 3 * 3").alias("k")).distinct()
-    counts = [
-        a.join(b, "k", how).agg(F.count(F.lit(1)).alias("n")).select(F.lit(how).alias("how"), "n")
-        for how in ("inner", "left", "right", "outer")
-    ]
-    return shaping.stack_rows(counts)
+    met = a.withColumn("_a", F.lit(1)).join(b.withColumn("_b", F.lit(1)), "k", "outer")
+    counts = {
+        "inner": F.count_if(F.col("_a").isNotNull() & F.col("_b").isNotNull()), "left": F.count("_a"), "right": F.count("_b"),
+        "outer": F.count(F.lit(1)),
+    }
+    one = met.agg(*[n.alias(how) for how, n in counts.items()])
+    return one.unpivot([], list(counts), "how", "n")
 
 
 @query("join_semi", "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT stop_id FROM visits WHERE failed)")

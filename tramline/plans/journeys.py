@@ -189,14 +189,17 @@ def path_requests(spark, root):
     )
 
 
+def path_options(spark, root, requests):
+    delays = quantiles.discrete_quantiles(B.visits(spark, root), ["line_id"], "delay_s", QS).drop("n")
+    return journey.robust_paths(
+        requests, cut_lineage(timetable(spark, root)), cut_lineage(transit.footpaths(B.stops(spark, root))), delays,
+        max_duration=21600, arrive_window=21600,
+    )
+
+
 @query("robust_paths")
 def robust_paths(spark, root):
-    delays = quantiles.discrete_quantiles(B.visits(spark, root), ["line_id"], "delay_s", QS).drop("n")
-    options = journey.robust_paths(
-        path_requests(spark, root), cut_lineage(timetable(spark, root)),
-        cut_lineage(transit.footpaths(B.stops(spark, root))), delays,
-        max_rides=3, max_duration=21600, arrive_window=21600,
-    )
+    options = path_options(spark, root, path_requests(spark, root))
     best = journey.diversify(options.withColumn("option_id", F.col("signature")), 3)
     return best.select(
         "query_id", "option_no", "departure", "arrival", "changes", r("walk_m", 1).alias("walk_m"),
@@ -361,11 +364,8 @@ def path_diversify(spark, root):
     " WHERE source = target",
 )
 def path_same_stop(spark, root):
-    q = B.journey_queries(spark, root).where("source = target")
-    return q.select(
-        "query_id", F.col("depart_at").alias("departure"), F.col("depart_at").alias("arrival"),
-        F.lit(0.0).alias("walk_m"), F.lit(0).alias("n_legs"),
-    )
+    options = path_options(spark, root, path_requests(spark, root).where("source = target"))
+    return options.select("query_id", "departure", "arrival", "walk_m", F.coalesce(F.size("legs"), F.lit(0)).alias("n_legs"))
 
 
 @query(

@@ -198,8 +198,8 @@ def three_models(train):
     return mlops.train_many(
         {
             "lr": mlops.logistic(CATEGORIES, NUMBERS),
-            "rf": mlops.forest(CATEGORIES, NUMBERS, trees=20),
-            "gbt": mlops.boosted(CATEGORIES, NUMBERS, rounds=5),
+            "rf": mlops.forest(CATEGORIES, NUMBERS, trees=100),
+            "gbt": mlops.boosted(CATEGORIES, NUMBERS, rounds=20),
         },
         train,
     )
@@ -254,7 +254,7 @@ def ml_eval_binary(spark, root):
 @query("ml_feature_importance")
 def ml_feature_importance(spark, root):
     train, _ = split(training_set(spark, root))
-    rows = mlops.importances(mlops.forest(CATEGORIES, NUMBERS, trees=20).fit(train), train)[:15]
+    rows = mlops.importances(mlops.forest(CATEGORIES, NUMBERS, trees=100).fit(train), train)
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
@@ -306,7 +306,7 @@ def hybrid_quantile(df, trees: int = 100, depth: int = 10):
 @query("ml_hybrid_quantile")
 def ml_hybrid_quantile(spark, root):
     """RMSE of every quantile prediction on validation and test rows."""
-    scored = hybrid_quantile(features(spark, root), trees=20, depth=5)
+    scored = hybrid_quantile(features(spark, root))
     names = [f"pred_{q[1:]}" for q in QS]
     rmse = scored.groupBy("split").agg(
         *[F.sqrt(F.avg(F.pow(F.col("delay") - F.col(n), 2))).alias(n) for n in names], F.count(F.lit(1)).alias("n")

@@ -152,22 +152,22 @@ def fn_iso_weekday(spark, root):
     return table(spark, root, "orders").select("o_orderkey", bigint(timefn.iso_weekday("o_orderdate")).alias("dow"))
 
 
-# Zurich rule since 1996: +1 h in winter, +2 h from the last Sunday of March to that of October, both at 01:00 UTC
+def _last_sunday(month: int, day: int) -> str:
+    """01:00 UTC on the last Sunday of a month that ends on ``day``, in SQL, for the year of ``u``."""
+    end = f"make_date(year(u), {month}, {day})"
+    return f"(CAST({end} - CAST(dayofweek({end}) AS INTEGER) AS TIMESTAMP) + INTERVAL 1 HOUR)"
+
+
+# Zurich rule since 1981: +1 h in winter, +2 h from the last Sunday of March to that of September, from 1996 of October
 @query(
     "fn_epoch_local",
-    """SELECT o_orderkey, strftime(u + CASE WHEN u >= last_sunday(make_date(year(u), 3, 31)) AND
-       u < last_sunday(make_date(year(u), 10, 31)) THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END, '%Y-%m-%d %H:%M:%S')
-       AS local FROM (SELECT o_orderkey, o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS u FROM orders
-       WHERE o_orderdate >= TIMESTAMP '1996-01-02')""".replace(
-        "last_sunday(make_date(year(u), 3, 31))",
-        "CAST(make_date(year(u), 3, 31) - CAST(dayofweek(make_date(year(u), 3, 31)) AS INTEGER) AS TIMESTAMP) + INTERVAL 1 HOUR",
-    ).replace(
-        "last_sunday(make_date(year(u), 10, 31))",
-        "CAST(make_date(year(u), 10, 31) - CAST(dayofweek(make_date(year(u), 10, 31)) AS INTEGER) AS TIMESTAMP) + INTERVAL 1 HOUR",
-    ),
+    f"""SELECT o_orderkey, strftime(u + CASE WHEN u >= {_last_sunday(3, 31)} AND
+       u < CASE WHEN year(u) < 1996 THEN {_last_sunday(9, 30)} ELSE {_last_sunday(10, 31)} END
+       THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END, '%Y-%m-%d %H:%M:%S')
+       AS local FROM (SELECT o_orderkey, o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS u FROM orders)""",
 )
 def fn_epoch_local(spark, root):
-    o = table(spark, root, "orders").where(F.col("o_orderdate") >= F.lit("1996-01-02").cast("timestamp_ntz"))
+    o = table(spark, root, "orders")
     epoch = timefn.epoch_seconds("o_orderdate") + (F.col("o_orderkey") * 7919) % 86400
     return o.select("o_orderkey", F.date_format(timefn.local_time(epoch), "yyyy-MM-dd HH:mm:ss").alias("local"))
 

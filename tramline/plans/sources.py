@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tramline import bindings as B
@@ -11,6 +13,11 @@ from tramline.session import cut_lineage, scratch_path, table
 from tramline.sources import readers, writers
 
 
+def unique_name(name: str) -> str:
+    """A table name that no other run in the same catalog uses."""
+    return f"tramline_{name}_{uuid.uuid4().hex[:12]}"
+
+
 @query(
     "scan_parquet",
     "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'",
@@ -122,8 +129,9 @@ def scan_word_list(spark, root):
 
 @query("scan_catalog", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def scan_catalog(spark, root):
-    writers.create_table_as(table(spark, root, "nation"), "tramline_nation", scratch_path(spark, "nation"))
-    return readers.read_table(spark, "spark_catalog.default.tramline_nation")
+    name = unique_name("nation")
+    writers.create_table_as(table(spark, root, "nation"), name, scratch_path(spark, "nation"))
+    return readers.read_table(spark, f"spark_catalog.default.{name}")
 
 
 @query(
@@ -157,9 +165,9 @@ def describe_schema(spark, root):
     return readers.describe(table(spark, root, "lineitem"))
 
 
-@query("write_parquet", "SELECT event_id, event_type, value FROM events WHERE value > 100")
+@query("write_parquet", "SELECT event_id, event_type, value FROM events")
 def write_parquet(spark, root):
-    df = table(spark, root, "events").where("value > 100").select("event_id", "event_type", "value")
+    df = table(spark, root, "events").select("event_id", "event_type", "value")
     return readers.read_parquet(spark, writers.write_parquet(df, scratch_path(spark, "parquet")))
 
 
@@ -188,7 +196,7 @@ def write_partitioned(spark, root):
 
 @query(
     "write_clustered",
-    "SELECT event_id, stop_id, hour(sched) // 6 AS band FROM visits WHERE isodow(sched) = 1",
+    "SELECT event_id, stop_id, isodow(sched) AS weekday, hour(sched) // 6 AS band FROM visits",
 )
 def write_clustered(spark, root):
     v = B.visits(spark, root).select("event_id", "stop_id", "sched")
@@ -198,8 +206,8 @@ def write_clustered(spark, root):
         {"weekday": F.weekday("sched") + 1, "band": F.floor(F.hour("sched") / 6)},
         ["stop_id", "sched"],
     )
-    return readers.read_partitioned(spark, path, F.col("weekday") == 1).select(
-        "event_id", "stop_id", bigint("band").alias("band")
+    return readers.read_partitioned(spark, path).select(
+        "event_id", "stop_id", bigint("weekday").alias("weekday"), bigint("band").alias("band")
     )
 
 
@@ -208,22 +216,23 @@ def ctas(spark, root):
     df = table(spark, root, "events").groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"), r(F.avg("value")).alias("mean_value")
     )
-    return writers.create_table_as(df, "tramline_user_stats", scratch_path(spark, "ctas"))
+    return writers.create_table_as(df, unique_name("user_stats"), scratch_path(spark, "ctas"))
 
 
-@query("insert_select", "SELECT stop_id, stop_name, lat FROM stops WHERE lat > 46.55e0")
+@query("insert_select", "SELECT stop_id, stop_name, lat FROM stops")
 def insert_select(spark, root):
-    df = B.stops(spark, root).where("lat > 46.55D").select("stop_id", "stop_name", "lat")
+    df = B.stops(spark, root).select("stop_id", "stop_name", "lat")
     ddl = "stop_id BIGINT, stop_name STRING, lat DOUBLE"
-    return writers.insert_select(df, "tramline_north_stops", ddl, scratch_path(spark, "insert"))
+    return writers.insert_select(df, unique_name("stops"), ddl, scratch_path(spark, "insert"))
 
 
 @query("schema_ddl", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def schema_ddl(spark, root):
     writers.create_schema(spark, "tramline_lab")
     df = table(spark, root, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    writers.create_table_as(df, "tramline_lab.event_counts", scratch_path(spark, "lab"))
-    return spark.table("tramline_lab.event_counts")
+    name = f"tramline_lab.{unique_name('event_counts')}"
+    writers.create_table_as(df, name, scratch_path(spark, "lab"))
+    return spark.table(name)
 
 
 @query("materialize", "SELECT sensor, count(value) AS n, round(max(value), 6) AS top FROM readings GROUP BY sensor")
@@ -243,20 +252,3 @@ def storage_report(spark, root):
         "json": writers.write_json(df, scratch_path(spark, "fmt")),
     }
     return readers.storage_report(spark, roots)
-
-
-@query(
-    "iterate_batches",
-    "SELECT event_type, batch, count(*) AS rows_in_batch FROM (SELECT event_type,"
-    " (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 1000 AS batch"
-    " FROM events) GROUP BY 1, 2",
-)
-def iterate_batches_layout(spark, root):
-    """The batches of 1000 rows that a reader of one query per event type gets."""
-    from tramline.operators import ordered
-
-    e = table(spark, root, "events").select("event_type", "event_id")
-    numbered = ordered.row_numbers(e, ["event_type"], ["event_id"], "rn")
-    return numbered.groupBy("event_type", F.expr("(rn - 1) DIV 1000").alias("batch")).agg(
-        F.count(F.lit(1)).alias("rows_in_batch")
-    )

@@ -143,15 +143,16 @@ def ts_resample_median(spark, root):
 
 register_sql(
     "grid",
-    f"""SELECT g.sensor, g.t, m.value FROM (SELECT sensor, unnest(range({START}, {END + 1}, {STEP})) AS t
-        FROM (SELECT DISTINCT sensor FROM readings)) g LEFT JOIN (SELECT sensor, t // {STEP} * {STEP} AS t,
+    f"""SELECT g.sensor, g.t, m.value FROM (SELECT sensor, unnest(range(lo, hi + 1, {STEP})) AS t
+        FROM (SELECT DISTINCT sensor FROM readings), (SELECT min(t) // {STEP} * {STEP} AS lo, max(t) // {STEP} * {STEP} AS hi
+        FROM readings)) g LEFT JOIN (SELECT sensor, t // {STEP} * {STEP} AS t,
         avg(value) AS value FROM readings GROUP BY 1, 2) m USING (sensor, t)""",
 )
 
 
 def gridded(spark, root):
     mean = timeseries.resample_mean(B.readings(spark, root), ["sensor"], "t", "value", STEP)
-    return timeseries.time_grid(mean, ["sensor"], "t", START, END, STEP)
+    return timeseries.time_grid(mean, ["sensor"], "t", STEP)
 
 
 @query("ts_grid", "SELECT sensor, t, round(value, 6) AS value FROM grid")
