@@ -5,10 +5,9 @@ is bounded: items beyond ``SHARD_CHARS`` are dealt out to several indexes, each
 one pass over the corpus, with document frequencies over all items. A text is cut into
 overlapping passages so that every segment-long run of words lies inside one. Each passage is
 a query of its distinct words; all segments that reach ``threshold`` times the score of their
-own text are retrieved: bounds per block of segments, taken for all passages of a text at
-once, rule out nearly all, and block-max WAND scores what is left. A retrieved item is
-verified: the words of its question and of its answer that are covered by word trigrams of
-the passages must reach ``overlap`` both.
+own text are retrieved by block-max WAND, which works on all passages of a text at once. A
+retrieved item is verified: the words of its question and of its answer that are covered by
+word trigrams of the passages must reach ``overlap`` both.
 """
 
 from __future__ import annotations
@@ -29,12 +28,13 @@ from tramline.session import cut_lineage
 K1, B = 1.2, 0.75
 #: Longest segment of an item; passages are twice as long and start so many words apart.
 SEGMENT_WORDS = 96
-BLOCK = 8
+#: Least number of segments in a block, and most blocks of an index: its maxima are a matrix of terms and blocks.
+BLOCK, BLOCKS = 8, 64
 GRAM = 3
 THRESHOLD = 0.5
 OVERLAP = 0.7
 #: Characters of test items in one index.
-SHARD_CHARS = 8_000_000
+SHARD_CHARS = 1_000_000
 
 _WORD = re.compile(r"\w+")
 _LAST_SENTENCE = re.compile(r"[.!?]\s+(?=[^.!?]*\w[^.!?]*[.!?]*\s*$)")
@@ -80,80 +80,81 @@ def item_segments(items: DataFrame) -> DataFrame:
 
 
 class Index:
-    """Postings of the segments of one shard by term, in the order of segments."""
+    """Postings of the segments of one shard by term; terms are numbered by their largest weight, ascending."""
 
     def __init__(self, rows, frequency: dict[str, int], n: int, mean_length: float):
         self.items = [(r.item, r.item_id) for r in rows]
         self.answer = [r.answer for r in rows]
-        self.term = {w: i for i, w in enumerate(sorted({w for r in rows for w in r.words}))}
-        self.words = [np.array([self.term[w] for w in r.words]) for r in rows]
-        idf = {w: math.log(1 + (n - frequency[w] + 0.5) / (frequency[w] + 0.5)) for w in self.term}
-        postings, self.blocks = defaultdict(list), -(-len(rows) // BLOCK)
+        self.size = len(rows)
+        self.block = max(BLOCK, -(-len(rows) // BLOCKS))
+        self.blocks = -(-len(rows) // self.block)
+        weights: dict[str, list[tuple[int, float]]] = defaultdict(list)
         self.threshold = np.zeros(len(rows))
-        # the row behind the last one stands for words outside the index
-        self.block_max = np.zeros((len(self.term) + 1, self.blocks), np.float32)
         for s, r in enumerate(rows):
             norm = K1 * (1 - B + B * r.length / mean_length)
             for w, tf in Counter(r.words).items():
-                weight, t = idf[w] * tf * (K1 + 1) / (tf + norm), self.term[w]
-                postings[t].append((s, weight))
-                self.threshold[s] += weight
-                self.block_max[t, s // BLOCK] = max(self.block_max[t, s // BLOCK], weight)
-        self.postings = [([s for s, _ in postings[t]], [w for _, w in postings[t]]) for t in range(len(self.term))]
-        self.most = self.block_max.max(1) if len(rows) else np.zeros(1)
+                idf = math.log(1 + (n - frequency[w] + 0.5) / (frequency[w] + 0.5))
+                weights[w].append((s, idf * tf * (K1 + 1) / (tf + norm)))
+                self.threshold[s] += weights[w][-1][1]
+        order = sorted(weights, key=lambda w: (max(x for _, x in weights[w]), w))
+        self.term = {w: t for t, w in enumerate(order)}
+        self.words = [np.array([self.term[w] for w in r.words]) for r in rows]
+        self.first = np.cumsum([0] + [len(weights[w]) for w in order])
+        self.segment = np.array([s for w in order for s, _ in weights[w]], np.int64)
+        self.weight = np.array([x for w in order for _, x in weights[w]])
+        term = np.repeat(np.arange(len(order)), np.diff(self.first))
+        self.block_max = np.zeros((len(order), self.blocks), np.float32)
+        np.maximum.at(self.block_max, (term, self.segment // self.block), self.weight * (1 + 1e-6))
+        self.most = self.block_max.max(1) if len(rows) else np.zeros(0, np.float32)
+        by = np.argsort(self.segment, kind="stable")
+        edges = np.searchsorted(self.segment[by], np.arange(len(rows) + 1))
+        self.own = [(term[by[a:b]], self.weight[by[a:b]]) for a, b in zip(edges, edges[1:], strict=False)]
 
     def at_threshold(self, share: float):
         """Scores that segments, and the easiest segment of every block, must reach."""
         reach = self.threshold * share * (1 - 1e-5)
-        padded = np.full(self.blocks * BLOCK, np.inf)
+        padded = np.full(self.blocks * self.block, np.inf)
         padded[: len(reach)] = reach
-        return reach, padded.reshape(-1, BLOCK).min(1)
+        return reach, padded.reshape(-1, self.block).min(1)
 
 
-def block_max_wand(index: Index, terms: list[int], allowed: np.ndarray, reach: np.ndarray, block_reach: np.ndarray):
-    """Segments of the allowed blocks whose score reaches theirs, with the score.
+def block_max_wand(index: Index, passage: np.ndarray, term: np.ndarray, reach: np.ndarray, block_reach: np.ndarray):
+    """All (passage, segment, score) whose score reaches the segment's, for all passages at once.
 
-    ``terms`` are distinct. Cursors stand on the next segment of each term; the pivot is the
-    first segment at which the terms' maxima add up to the lowest score asked for.
+    ``passage`` and ``term`` are the distinct terms of every passage, sorted by both. Terms of the
+    smallest maxima, which cannot reach the lowest score together, are never pivots: only segments
+    on the other terms' postings are met. Of these, blocks whose maxima over all terms stay
+    below what their segments ask for are skipped, then segments whose pivots' weights and
+    the block maxima of the remaining terms stay below; what is left is scored in full.
     """
-    lowest = float(block_reach[allowed].min())
-    cursors = [[index.postings[t][0][0], 0, t] for t in terms]
-    found, end = [], len(reach)
-
-    def advance(cursor, to):
-        segments, at = index.postings[cursor[2]][0], cursor[1]
-        while at < len(segments) and segments[at] < to:
-            at += 1
-        cursor[0], cursor[1] = (segments[at] if at < len(segments) else end), at
-
-    while True:
-        cursors = sorted(c for c in cursors if c[0] < end)
-        bound, pivot = 0.0, None
-        for i, c in enumerate(cursors):
-            bound += float(index.most[c[2]])
-            if bound >= lowest:
-                pivot = i
-                break
-        if pivot is None:
-            return found
-        segment = cursors[pivot][0]
-        block = segment // BLOCK
-        upto = [c for c in cursors if c[0] <= segment]
-        if not allowed[block] or sum(float(index.block_max[c[2], block]) for c in upto) < block_reach[block]:
-            # nothing from the first cursor to the end of this block, or to the next cursor, can reach it
-            beyond = [c[0] for c in cursors if c[0] > segment]
-            target = min([(block + 1) * BLOCK, *beyond])
-            for c in upto:
-                advance(c, max(target, segment + 1))
-        elif cursors[0][0] == segment:
-            score = sum(index.postings[c[2]][1][c[1]] for c in upto)
-            if score >= reach[segment]:
-                found.append((segment, score))
-            for c in upto:
-                advance(c, segment + 1)
-        else:
-            for c in cursors[:pivot]:
-                advance(c, segment)
+    if not len(term):
+        return []
+    starts = np.nonzero(np.diff(passage, prepend=-1))[0]
+    number = np.repeat(np.arange(len(starts)), np.diff([*starts, len(term)]))
+    upto = np.cumsum(index.most[term], dtype=float)
+    upto -= np.repeat(np.concatenate([[0.0], upto[starts[1:] - 1]]), np.diff([*starts, len(term)]))
+    pivot = upto >= block_reach.min() - 1e-6
+    if not pivot.any():
+        return []
+    maxima = index.block_max[term]
+    able = np.add.reduceat(maxima, starts, axis=0, dtype=float) >= block_reach - 1e-6
+    rest = np.add.reduceat(maxima * ~pivot[:, None], starts, axis=0, dtype=float)
+    at, owner = term[pivot], number[pivot]
+    sizes = index.first[at + 1] - index.first[at]
+    flat = np.repeat(index.first[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+    owner, segment = np.repeat(owner, sizes), index.segment[flat]
+    near = able[owner, segment // index.block]
+    key, place = np.unique(owner[near] * index.size + segment[near], return_inverse=True)
+    score = np.bincount(place, index.weight[flat[near]], len(key))
+    owner, segment = key // index.size, key % index.size
+    met = score + rest[owner, segment // index.block] >= reach[segment] - 1e-6
+    found, ends = [], [*starts[1:].tolist(), len(term)]
+    for p, s in zip(owner[met].tolist(), segment[met].tolist(), strict=True):
+        terms, weights = index.own[s]
+        total = float(weights[np.isin(terms, term[starts[p] : ends[p]])].sum())
+        if total >= reach[s]:
+            found.append((int(passage[starts[p]]), s, total))
+    return found
 
 
 class Searcher:
@@ -168,41 +169,35 @@ class Searcher:
             self.sizes[item][1] += len(words) - answer
 
     def _passages(self, terms: np.ndarray):
-        """Passages with a block that may hold an item: first word, distinct terms, blocks."""
-        index, outside = self.index, len(self.index.term)
-        starts = np.arange(0, len(terms), SEGMENT_WORDS)
-        half = np.repeat(np.arange(len(starts)), np.diff([*starts, len(terms)]))
+        """Passage numbers and distinct index terms of all passages; passage p starts at word p * SEGMENT_WORDS."""
+        outside = len(self.index.term)
+        part = np.arange(len(terms)) // SEGMENT_WORDS
+        last = max(0, int(part[-1]) - 1)
         known = terms < outside
-        pair = np.unique(half[known] * (outside + 1) + terms[known])
-        half, term = pair // (outside + 1), pair % (outside + 1)
-        edges = np.searchsorted(half, np.arange(len(starts) + 1))
-        total = np.zeros((len(pair) + 1, index.blocks))
-        np.cumsum(index.block_max[term], axis=0, out=total[1:], dtype=float)
-        sums = total[edges[1:]] - total[edges[:-1]]
-        if len(starts) > 1:
-            sums = sums[:-1] + sums[1:]
-        able = sums >= self.block_reach - 1e-6
-        for p in np.nonzero(able.any(1))[0].tolist():
-            own = np.unique(term[edges[p] : edges[min(p + 2, len(starts))]])
-            yield p * SEGMENT_WORDS, own.tolist(), able[p]
+        part, terms = part[known], terms[known]
+        # a part of SEGMENT_WORDS words belongs to the passage that it starts and to the one before
+        both = np.concatenate([part, part - 1])
+        key = (both * outside + np.concatenate([terms, terms]))[(both >= 0) & (both <= last)]
+        key = np.unique(key)
+        return key // max(1, outside), key % max(1, outside)
 
     def find(self, text: str):
-        """``item, item_id, score, question overlap, answer overlap, first, last word`` of verified items."""
+        """``item_id, score, question overlap, answer overlap, first, last word`` of verified items."""
         index, words = self.index, words_of(text)
         if not words or not index.items:
             return []
         terms = np.fromiter(map(index.term.get, words, repeat(len(index.term))), np.int64, len(words))
         covered: dict[int, np.ndarray] = {}
         best: dict[int, list] = {}
-        for first, own, able in self._passages(terms):
-            for segment, score in block_max_wand(index, own, able, self.reach, self.block_reach):
-                mask, places = self._covered(segment, terms[first : first + 2 * SEGMENT_WORDS])
-                covered[segment] = covered.get(segment, False) | mask
-                if places:
-                    low, high = first + min(places), first + max(places) + GRAM - 1
-                    seen = best.setdefault(index.items[segment][0], [score, low, high])
-                    if score > seen[0]:
-                        seen[:] = score, low, high
+        for passage, segment, score in block_max_wand(index, *self._passages(terms), self.reach, self.block_reach):
+            first = passage * SEGMENT_WORDS
+            mask, places = self._covered(segment, terms[first : first + 2 * SEGMENT_WORDS])
+            covered[segment] = covered.get(segment, False) | mask
+            if places:
+                low, high = first + min(places), first + max(places) + GRAM - 1
+                seen = best.setdefault(index.items[segment][0], [score, low, high])
+                if score > seen[0]:
+                    seen[:] = score, low, high
         question, answer, ids = Counter(), Counter(), {}
         for segment, mask in covered.items():
             item, ids[index.items[segment][0]] = index.items[segment]
