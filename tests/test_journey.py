@@ -226,3 +226,14 @@ def test_terminal_stop_has_no_onward_connection(spark):
     got = {r.stop_id: r.terminal_only for r in journey.terminal_stops(st).collect()}
     assert got == {7: True, 5: False}
     assert sorted((r.from_stop, r.to_stop) for r in journey.connections(st).collect()) == [(5, 6), (6, 5), (6, 7)]
+
+
+def test_service_days_stay_in_the_window(spark):
+    from tramline.operators import transit
+
+    days = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+    calendar = spark.createDataFrame([(1, *[True] * 5, False, False)], "service_id int, " + ", ".join(f"{d} boolean" for d in days))
+    rows = [(1, "2024-01-06", 1), (1, "2030-01-05", 1), (1, "2023-12-30", 1), (1, "2024-01-03", 2)]
+    exceptions = spark.createDataFrame(rows, "service_id int, day string, exception_type int").withColumn("day", F.to_date("day"))
+    got = sorted(str(r.day) for r in transit.service_days(calendar, exceptions, "2024-01-01", "2024-01-07").collect())
+    assert got == ["2024-01-01", "2024-01-02", "2024-01-04", "2024-01-05", "2024-01-06"]

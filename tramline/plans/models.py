@@ -9,6 +9,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tramline import bindings as B
 from tramline.operators import aggregates, corpus, mlops, quantiles, regression, repair, shaping, spatial, timeseries
@@ -278,10 +279,14 @@ def ml_grid_cv(spark, root):
     return spark.createDataFrame(rows, "depth int, rounds int, step double, auc double")
 
 
-HYBRID = [
-    "scheduled_tt", "sched_hour", "act_hour", "dow", "doy", "hour_sin", "hour_cos", "doy_sin", "doy_cos", "lat", "lon",
-    "transfer_degree", "min_transfer_time", "q50",
-]
+#: Columns of the delay features that are keys, codes or the label.
+NO_INPUTS = {"event_id", "trip_id", "stop_id", "route_id", "route_type", "delay"}
+
+
+def hybrid_inputs(features) -> list[str]:
+    """Numeric delay features and the baseline median."""
+    numeric = [f.name for f in features.schema if isinstance(f.dataType, NumericType) and f.name not in NO_INPUTS]
+    return sorted(numeric) + ["q50"]
 
 
 def hybrid_quantile(df, trees: int = 100, depth: int = 10):
@@ -294,7 +299,7 @@ def hybrid_quantile(df, trees: int = 100, depth: int = 10):
     base = quantiles.discrete_quantiles(df, keys, "delay", {"q50": 0.5}).drop("n")
     data = df.join(base, keys).withColumn("residual_label", F.col("delay") - F.col("q50"))
     parts = shaping.hash_split(data, "event_id", {"train": 70, "valid": 15, "test": 15})
-    parts = cut_lineage(VectorAssembler(inputCols=HYBRID, outputCol="features").transform(parts))
+    parts = cut_lineage(VectorAssembler(inputCols=hybrid_inputs(df), outputCol="features").transform(parts))
     forest = RandomForestRegressor(labelCol="residual_label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=42)
     model = forest.fit(parts.where("split = 'train'"))
     scored = model.transform(parts.where("split <> 'train'")).withColumn("point", F.col("q50") + F.col("prediction"))
@@ -334,7 +339,7 @@ def ml_kmer_classifier(spark, root):
     data = shaping.hash_split(kmer_vectors(spark, root), "seq_id", {"0": 1, "1": 1, "2": 1})
     out = None
     for fold in ("0", "1", "2"):
-        model = RandomForestClassifier(numTrees=20, maxDepth=5, seed=42).fit(data.where(f"split <> '{fold}'"))
+        model = RandomForestClassifier(numTrees=100, maxDepth=5, seed=42).fit(data.where(f"split <> '{fold}'"))
         part = model.transform(data.where(f"split = '{fold}'")).select("label", "prediction")
         out = part if out is None else out.unionByName(part)
     return out.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
