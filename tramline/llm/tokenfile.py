@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tramline.llm import tokens
+from tramline.session import broadcast_if_small, cut_lineage
 
 END_ID = 2
 SCHEMA = "doc_id long, first long, n_tokens long, ids array<int>"
@@ -74,6 +75,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     totals = rows.groupBy("_file").agg(F.sum("n_tokens").alias("_sum"))
     ahead = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("_file", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_before"))
+    # written and counted first: as one row per file it is sent to all tasks, and the ids are not shuffled
+    totals = broadcast_if_small(cut_lineage(totals))
     return rows.join(totals, "_file").withColumn("start", F.col("_before") + F.col("first")).drop("_file", "_before")
 
 
