@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm import tokens
+from tramline.session import cut_lineage
 
 #: Pre-tokens in the broadcast table; of at most MAX_CHARS each.
 TABLE_SIZE = 50_000
@@ -49,16 +50,9 @@ def _frequent(batches):
 
 def frequent_table(docs: DataFrame, tokenizer: str, table_size: int = TABLE_SIZE) -> tuple[str, bytes]:
     """Frequent pre-tokens, space-joined, and their token counts as unsigned 16-bit integers."""
-    top = (
-        docs.select("text")
-        .mapInArrow(_frequent, "part string, n long")
-        .groupBy("part")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "part")
-        .limit(table_size)
-        .select("part")
-    )
-    parts = [row.part for row in top.collect()]
+    counted = docs.select("text").mapInArrow(_frequent, "part string, n long").groupBy("part").agg(F.sum("n").alias("n"))
+    top = tokens.most_frequent(cut_lineage(counted), "n", table_size)
+    parts = sorted(top.select("part").toArrow()["part"].to_pylist())
     counter = tokens.encoder(tokenizer).tokenizer
     lengths = [len(counter.encode(part, add_special_tokens=False).ids) for part in parts]
     return " ".join(parts), np.array(lengths, np.uint16).tobytes()

@@ -16,6 +16,8 @@ import sys
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Units that a worker keeps; when full the cache starts anew.
 CACHED_UNITS = 600_000
@@ -104,3 +106,19 @@ def slices(batches, rows: int = SLICE_ROWS):
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts of a batch with the empty text in place of nulls."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def most_frequent(counts: DataFrame, n: str, at_most: int) -> DataFrame:
+    """The rows of largest ``n``, at most ``at_most`` of them, cut at a step of a logarithmic scale.
+
+    Only the sizes of the steps come to the driver, and no order over all rows is needed.
+    """
+    step = F.floor(F.log2(F.col(n)) * 64).cast("int")
+    sizes = {r.step: r["count"] for r in counts.groupBy(step.alias("step")).count().collect()}
+    least, total = max(sizes, default=0) + 1, 0
+    for s in sorted(sizes, reverse=True):
+        total += sizes[s]
+        if total > at_most:
+            break
+        least = s
+    return counts.filter(step >= least)
