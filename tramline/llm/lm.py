@@ -1,10 +1,12 @@
 """Language-model scores by causal self-attention over subword ids.
 
 Subwords are those of a public byte-level tokenizer over the words of a text (A-Z in lower
-case, joined by single spaces), with one end id behind. A subword's probability is that of
-its class, given by the attention model from the classes before it, times that of the
-subword in its class, from counts over all training documents. The most frequent subwords
-are classes of their own; all others share classes of about equal frequency.
+case, joined by single spaces), with one end id behind. The attention model reads the classes
+of the subwords before a position. The most frequent subwords are classes of their own, in
+groups of about equal rank: their probability is that of the group times that of the member,
+both from the model. All others share classes of about equal frequency: there the model's
+probability of the class is multiplied by the subword's share of it in counts over all
+training documents.
 
 Scoring cuts a text into overlapping windows of ``2 * STRIDE`` positions. Each window scores
 its last ``STRIDE`` positions, so that every position is scored once with at least ``STRIDE``
@@ -19,13 +21,19 @@ text, all others are joined.
 
 from __future__ import annotations
 
+import base64
 import math
 from collections import Counter
-from itertools import repeat
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,16 +42,16 @@ from tramline.session import cut_lineage
 
 STRIDE = 16
 WIDTH = 16
-#: Classes of a single subword, and classes that the other subwords share.
-SINGLE, SHARED = 96, 32
+#: Groups of subwords that are classes of their own, members of each, and classes that the others share.
+GROUPS, MEMBERS, SHARED = 32, 32, 32
 #: Windows in one attention call.
-BATCH = 512
-ROUNDS, SHARES = 3, 24
+BATCH = 256
+ROUNDS, SHARES = 3, 48
 RATE = 0.02
 #: Windows of one gradient step, and steps that a task takes in a round at least.
 TOGETHER, LEAST_STEPS = 256, 60
 #: Words looked up inside tasks, of at most so many bytes each.
-FREQUENT, WORD_BYTES = 200_000, 64
+FREQUENT, WORD_BYTES = 150_000, 64
 #: Words that a task counts before it passes them on.
 COUNTED = 300_000
 
@@ -57,17 +65,25 @@ def remainder() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7
 
 
+@lru_cache(maxsize=1)
+def subwords(path: str) -> tiktoken.Encoding:
+    """The byte-level tokenizer of a file of ranks; the id behind its last is the end id."""
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("subwords", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class WordIds(dict):
     """Packed subword ids of words with a leading space, kept per worker."""
 
     def __init__(self, path: str):
         super().__init__()
-        self.whole = tokens.encoder(path).whole
+        self.encode = subwords(path).encode_ordinary
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= tokens.CACHED_UNITS:
             self.clear()
-        self[word] = ids = self.whole(" " + word.decode())
+        self[word] = ids = tokens.pack_ids(self.encode(" " + word.decode()))
         return ids
 
 
@@ -83,7 +99,7 @@ def _word_ids(path: str) -> WordIds:
 class Vocabulary:
     """Class of each id and the log10 probability of the id inside it, from counts of ids."""
 
-    def __init__(self, counts: np.ndarray, single: int = SINGLE, shared: int = SHARED):
+    def __init__(self, counts: np.ndarray, single: int = GROUPS * MEMBERS, shared: int = SHARED):
         order = np.argsort(-counts, kind="stable")
         self.classes = single + shared
         rest = counts[order[single:]] + 1
@@ -98,13 +114,14 @@ class Vocabulary:
 class Attention:
     """One layer of causal self-attention over classes; the class behind the last stands for the start."""
 
-    def __init__(self, classes: int, seed: int = 0):
+    def __init__(self, groups: int = GROUPS, members: int = MEMBERS, shared: int = SHARED, seed: int = 0):
         rng = np.random.default_rng(seed)
-        table = (classes + 1, WIDTH)
-        shapes = {"q": table, "k": table, "v": table, "r": table, "w": (WIDTH, classes)}
-        self.classes = classes
+        self.groups, self.members, self.classes = groups, members, groups * members + shared
+        table = (self.classes + 1, WIDTH)
+        shapes = {"q": table, "k": table, "v": table, "r": table, "w": (WIDTH, groups + shared), "u": (groups, WIDTH, members)}
         self.p = {n: (rng.standard_normal(s) * 0.2).astype(np.float32) for n, s in shapes.items()}
-        self.p["b"] = np.zeros(classes, np.float32)
+        self.p["b"] = np.zeros(groups + shared, np.float32)
+        self.p["c"] = np.zeros((groups, members), np.float32)
         self.p["near"] = np.zeros((STRIDE, 2 * STRIDE), np.float32)
         # position i of those scored sees the window up to STRIDE + i
         self.hidden = np.arange(2 * STRIDE)[None, :] > STRIDE + np.arange(STRIDE)[:, None]
@@ -119,40 +136,75 @@ class Attention:
             at += v.size
         return self
 
-    def forward(self, x, opening):
-        """Class probabilities at the scored positions of windows ``x``; an opening one has nothing before them."""
+    def states(self, x, opening):
+        """States at the scored positions of windows ``x``; an opening one has nothing before them."""
         p, last = self.p, x[:, STRIDE:]
-        q, k, v = p["q"][last], p["k"][x], p["v"][x]
-        weights = q @ k.transpose(0, 2, 1)
-        weights *= 1 / math.sqrt(WIDTH)
-        weights += np.where(self.hidden, np.float32(-1e9), p["near"])
+        q, k, v = p["q"].take(last, 0), p["k"].take(x, 0), p["v"].take(x, 0)
+        weights = (q * q.dtype.type(1 / math.sqrt(WIDTH))) @ k.transpose(0, 2, 1)
+        weights += np.where(self.hidden, q.dtype.type(-1e9), p["near"])
         weights[opening, :, :STRIDE] = -1e9
-        weights -= weights.max(2, keepdims=True)
-        np.exp(weights, out=weights)
-        weights /= weights.sum(2, keepdims=True)
-        state = np.tanh(weights @ v + p["r"][last])
-        scores = state.reshape(-1, WIDTH) @ p["w"] + p["b"]
-        scores -= scores.max(1, keepdims=True)
-        return scores, state, weights, q, k, v
+        self._softmax(weights)
+        state = weights @ v
+        state += p["r"].take(last, 0)
+        return np.tanh(state, out=state), weights, q, k, v
+
+    def _by_group(self, target):
+        """Outcome of the first choice for every target, and the places and members of each group's targets."""
+        single = self.groups * self.members
+        outcome = np.where(target < single, target // self.members, target - single + self.groups)
+        order = np.argsort(outcome, kind="stable")
+        edges = np.searchsorted(outcome[order], np.arange(self.groups + 1))
+        places = [order[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+        return outcome, [(g, at, target[at] - g * self.members) for g, at in enumerate(places) if len(at)]
+
+    @staticmethod
+    def _softmax(scores):
+        """Over the last axis, in place; shifted only where large numbers ask for it."""
+        if scores.size and scores.max() > 40:
+            scores -= scores.max(-1, keepdims=True)
+        np.exp(scores, out=scores)
+        scores /= np.maximum(scores.sum(-1, keepdims=True), scores.dtype.type(1e-30))
+        return scores
+
+    @staticmethod
+    def _chosen(scores, which):
+        """Softmax over the last axis at one place of each row."""
+        if scores.size and scores.max() > 40:
+            scores -= scores.max(-1, keepdims=True)
+        np.exp(scores, out=scores)
+        return scores[np.arange(len(which)), which] / np.maximum(scores.sum(-1), scores.dtype.type(1e-30))
 
     def log10(self, x, opening, target):
         """log10 probability of the target class at every scored position."""
-        scores = self.forward(x, opening)[0]
-        own = scores[np.arange(len(scores)), target.ravel()]
-        return ((own - np.log(np.exp(scores).sum(1))) / math.log(10)).reshape(target.shape)
+        state, flat = self.states(x, opening)[0].reshape(-1, WIDTH), target.ravel()
+        outcome, groups = self._by_group(flat)
+        scores = state @ self.p["w"]
+        scores += self.p["b"]
+        p = self._chosen(scores, outcome)
+        for g, at, member in groups:
+            p[at] *= self._chosen(state.take(at, 0) @ self.p["u"][g] + self.p["c"][g], member)
+        return np.log10(np.maximum(p, np.float32(1e-30))).reshape(target.shape)
 
     def gradient(self, x, opening, target, inside):
         """Mean loss over the positions that count (``inside``) and its gradient."""
         p, last, n = self.p, x[:, STRIDE:], max(1, int(inside.sum()))
-        scores, state, weights, q, k, v = self.forward(x, opening)
-        prob = np.exp(scores)
-        prob /= prob.sum(1, keepdims=True)
-        flat, rows = target.ravel(), np.arange(target.size)
-        loss = -float((np.log(prob[rows, flat] + 1e-12) * inside.ravel()).sum()) / n
-        prob[rows, flat] -= 1
-        prob *= inside.reshape(-1, 1) / np.float32(n)
-        g = {"w": state.reshape(-1, WIDTH).T @ prob, "b": prob.sum(0)}
-        ds = (prob @ p["w"].T).reshape(state.shape) * (1 - state * state)
+        state, weights, q, k, v = self.states(x, opening)
+        h, flat, counts = state.reshape(-1, WIDTH), target.ravel(), inside.reshape(-1, 1) / state.dtype.type(n)
+        outcome, groups = self._by_group(flat)
+        prob, rows = self._softmax(h @ p["w"] + p["b"]), np.arange(len(flat))
+        loss = -(np.log(prob[rows, outcome] + 1e-12) * counts[:, 0]).sum()
+        prob[rows, outcome] -= 1
+        prob *= counts
+        g = {"w": h.T @ prob, "b": prob.sum(0), "u": np.zeros_like(p["u"]), "c": np.zeros_like(p["c"])}
+        dh = prob @ p["w"].T
+        for i, at, member in groups:
+            own = self._softmax(h[at] @ p["u"][i] + p["c"][i])
+            loss -= (np.log(own[np.arange(len(at)), member] + 1e-12) * counts[at, 0]).sum()
+            own[np.arange(len(at)), member] -= 1
+            own *= counts[at]
+            g["u"][i], g["c"][i] = h[at].T @ own, own.sum(0)
+            dh[at] += own @ p["u"][i].T
+        ds = dh.reshape(state.shape) * (1 - state * state)
         dw = ds @ v.transpose(0, 2, 1)
         dw = weights * (dw - (dw * weights).sum(2, keepdims=True))
         g["near"] = np.where(self.hidden, 0, dw.sum(0))
@@ -164,7 +216,7 @@ class Attention:
             table = np.zeros_like(p[name])
             np.add.at(table, where.ravel(), grad.reshape(-1, WIDTH))
             g[name] = table
-        return loss, g
+        return float(loss), g
 
 
 def windows(sequences: list[np.ndarray], start: int):
@@ -192,7 +244,7 @@ class TextModel:
 
     def __init__(self, path: str, vocabulary: Vocabulary):
         self.path, self.vocabulary = path, vocabulary
-        self.attention = Attention(vocabulary.classes)
+        self.attention = Attention()
 
     def ids(self, words: list[bytes], end: int) -> np.ndarray:
         packed = b"".join(map(_word_ids(self.path).__getitem__, words))
@@ -254,15 +306,16 @@ def word_counts(train: DataFrame) -> DataFrame:
 
 def subword_counts(counts: DataFrame, path: str, ends: int) -> np.ndarray:
     """Occurrences of every id in the training texts, from the counts of their words; the last is the end id."""
-    size = tokens.encoder(path).tokenizer.get_vocab_size()
+    size = subwords(path).n_vocab + 1
 
     def count(batches):
-        total, whole = np.zeros(size, np.int64), tokens.encoder(path).whole
+        total, encode = np.zeros(size), subwords(path).encode_ordinary
         for batch in batches:
-            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                np.add.at(total, np.frombuffer(whole(" " + word.decode()), "<u4"), n)
+            ids = [encode(" " + word.decode()) for word in batch.column("word").to_pylist()]
+            times = np.repeat(batch.column("n").to_numpy(), [len(i) for i in ids])
+            total += np.bincount(list(chain.from_iterable(ids)), times, size)
         some = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some].astype(np.int64))], ["id", "n"])
 
     total = np.zeros(size, np.int64)
     for row in counts.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
@@ -287,10 +340,14 @@ def train_rounds(train: DataFrame, model: TextModel, rounds: int = ROUNDS, share
                 yield pa.RecordBatch.from_arrays([weighted, pa.array([float(seen)])], ["values", "weight"])
 
         updates = train.filter(share == step % shares).select("text").mapInArrow(learn, "values array<double>, weight double")
-        sums = updates.select(F.posexplode("values").alias("i", "x"), "weight").groupBy("i")
-        rows = sums.agg(F.sum("x").alias("x"), F.sum("weight").alias("w")).collect()
-        if rows:
-            model.attention.load(np.array([r.x / r.w for r in sorted(rows)]))
+        updates = cut_lineage(updates.withColumn("bucket", F.pmod(F.spark_partition_id(), F.lit(64))))
+        if updates.isEmpty():
+            continue
+        # first within buckets of tasks, then over these
+        rows = updates.select(array_to_vector("values").alias("v"), "weight", "bucket")
+        sums = Summarizer.sum(F.col("v")).alias("v"), F.sum("weight").alias("weight")
+        total = rows.groupBy("bucket").agg(*sums).agg(*sums).first()
+        model.attention.load(total.v.toArray() / total.weight)
     return model
 
 
@@ -310,9 +367,8 @@ def score_documents(docs: DataFrame, tokenizer: str, rounds: int = ROUNDS, share
     log_all = math.log10(n + 1 * (v + 1))
     model = TextModel(tokenizer, Vocabulary(subword_counts(counts, tokenizer, ends)))
     train_rounds(train, model, rounds, shares)
-    # of equal counts the smaller word comes first, so that both sides draw the same line
-    top = counts.filter(F.length("word") <= WORD_BYTES).orderBy(F.desc("n"), "word").limit(frequent).collect()
-    table = {bytes(r.word): math.log10(r.n + 1) for r in top}
+    top = tokens.most_frequent(counts.filter(F.length("word") <= WORD_BYTES), "n", frequent).select("word", "n").toArrow()
+    table = dict(zip(top["word"].to_pylist(), np.log10(top["n"].to_numpy() + 1).tolist(), strict=True))
     context = docs.sparkSession.sparkContext
     sent_model, sent_table = context.broadcast(model), context.broadcast(table)
     names = ["row", "doc_id", "held_out", "n_tokens", "known", "logs", "score", "rare"]

@@ -45,7 +45,7 @@ def op5_token_counts(spark, root):
 
 @query
 def op6_lm_scores(spark, root):
-    return lm.score_documents(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return lm.score_documents(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 @query
