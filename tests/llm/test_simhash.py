@@ -55,8 +55,8 @@ def near_copies():
             yield " ".join(copy)
 
 
-@pytest.mark.parametrize("k,radius", [(3, 3), (5, 6), (2, 0)])
-def test_near_duplicates(spark, k, radius):
+@pytest.mark.parametrize("k,radius,equal", [(3, 3, 2), (5, 5, 3), (2, 0, 1)])
+def test_near_duplicates(spark, k, radius, equal):
     texts = [*TEXTS, *near_copies(), "one"]
     ids = [None if i in (1, 5) else 7 * i % 100 for i in range(len(texts))]
     docs = spark.createDataFrame(
@@ -64,7 +64,7 @@ def test_near_duplicates(spark, k, radius):
     ).repartition(3)
     prints = [(d, plain_fingerprint(t, k)) for d, t in zip(ids, texts, strict=True)]
     expected = [(d, f"{x:016x}", c) for (d, x), c in zip(prints, plain_components(prints, radius), strict=True)]
-    got = [tuple(r) for r in simhash.near_duplicates(docs, k, radius).collect()]
+    got = [tuple(r) for r in simhash.near_duplicates(docs, k, radius, equal).collect()]
     assert sorted(got, key=repr) == sorted(expected, key=repr)
 
 
@@ -83,7 +83,7 @@ def test_links_in_chunks_connect_every_near_pair(spark, chunk):
     base = [rng.getrandbits(64) for _ in range(3)]
     prints = sorted({b ^ sum(1 << rng.randrange(12) for _ in range(n)) & (2**64 - 1) for b in base for n in range(4) for _ in range(25)})
     frame = spark.createDataFrame([(p - 2**64 if p >= 2**63 else p,) for p in prints], "fingerprint long")
-    tied = {r.node % 2**64: r.root % 2**64 for r in simhash.components(simhash.near_links(frame, 3, chunk)).collect()}
+    tied = {r.node % 2**64: r.root % 2**64 for r in simhash.components(simhash.near_links(frame, 3, chunk=chunk)).collect()}
     groups = plain_components([(p, p) for p in prints], 3)
     mine = [tied.get(p, p) for p in prints]
     assert len(set(zip(groups, mine, strict=True))) == len(set(groups)) == len(set(mine))

@@ -5,10 +5,11 @@
 2. For every distinct fingerprint the Hamming distances to many reference fingerprints
    (pivots) are precomputed. By the triangle inequality two fingerprints within ``radius``
    differ by at most ``radius`` in every one of these coordinates.
-3. Pairs are compared only where they can be near: the bits are cut into ``radius + 2``
-   blocks, so two of the blocks at least are equal in any near pair, which makes an equi
-   join over all choices of two blocks exact. Buckets of one fingerprint are dropped;
-   large ones are dealt out as pairs of bounded chunks.
+3. Pairs are compared only where they can be near: the bits are cut into ``radius + equal``
+   blocks, so ``equal`` of the blocks at least are equal in any near pair, which makes an equi
+   join over all choices of so many blocks exact. More equal blocks give longer keys and more
+   choices. Buckets of one fingerprint are dropped; large ones are dealt out as pairs of
+   bounded chunks.
 4. Inside a chunk pair those of too large a coordinate difference are discarded, survivors
    verified on all bits, and only a spanning forest of the links leaves the task.
 5. Components come from the links by alternating star contraction.
@@ -16,7 +17,7 @@
 
 from __future__ import annotations
 
-from itertools import islice, repeat
+from itertools import combinations, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -72,11 +73,11 @@ def with_fingerprint(docs: DataFrame, shingle_words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, "doc_id long, fingerprint long")
 
 
-def _block_keys(radius: int):
-    """All choices of two out of ``radius + 2`` blocks: number of the choice and the blocks' bits."""
-    edges = np.linspace(0, BITS, radius + 3).astype(int).tolist()
+def _block_keys(radius: int, equal: int):
+    """All choices of ``equal`` out of ``radius + equal`` blocks: number of the choice and the blocks' bits."""
+    edges = np.linspace(0, BITS, radius + equal + 1).astype(int).tolist()
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
-    pairs = [masks[i] | masks[j] for i in range(len(masks)) for j in range(i)]
+    pairs = [sum(chosen) for chosen in combinations(masks, equal)]
     signed = [int(np.uint64(m).astype(np.int64)) for m in pairs]
     return F.explode(
         F.array(*[
@@ -147,12 +148,12 @@ def _match(radius: int):
     return match
 
 
-def near_links(prints: DataFrame, radius: int, chunk: int = CHUNK) -> DataFrame:
+def near_links(prints: DataFrame, radius: int, equal: int = 2, chunk: int = CHUNK) -> DataFrame:
     """Links ``a, b`` between distinct ``fingerprint`` values within ``radius`` bits.
 
     Not every near pair is returned, but every near pair is connected through links.
     """
-    rows = prints.select("fingerprint", _block_keys(radius).alias("k")).select("fingerprint", "k.*")
+    rows = prints.select("fingerprint", _block_keys(radius, equal).alias("k")).select("fingerprint", "k.*")
     shared = rows.groupBy("choice", "bits").agg(F.count("*").alias("n")).filter("n > 1")
     chunks = F.ceil(F.col("n") / chunk).cast("int")
     dealt = (
@@ -195,7 +196,7 @@ def components(links: DataFrame) -> DataFrame:
         edges = cut_lineage(edges)
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 5, radius: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle_words: int = 5, radius: int = 3, equal: int = 2) -> DataFrame:
     """``doc_id, fingerprint`` (hex) ``, component_id`` for every row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links of at most ``radius``
@@ -204,7 +205,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, radius: int = 3) ->
     """
     rows = cut_lineage(with_fingerprint(docs, shingle_words))
     prints = cut_lineage(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    tied = components(near_links(prints, radius)).withColumnRenamed("node", "fingerprint")
+    tied = components(near_links(prints, radius, equal)).withColumnRenamed("node", "fingerprint")
     member = prints.join(tied, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = member.join(ids, "root").select("fingerprint", "component_id")
@@ -213,13 +214,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, radius: int = 3) ->
     )
 
 
-def keep_first(docs: DataFrame, shingle_words: int = 5, radius: int = 3) -> DataFrame:
+def keep_first(docs: DataFrame, shingle_words: int = 5, radius: int = 3, equal: int = 2) -> DataFrame:
     """The document with the smallest ``doc_id`` of each group of near-duplicates, all columns as they are.
 
     Rows that share an id are one document: if it stays, the row of the smallest text hash
     does. Rows without an id cannot be told apart and stay.
     """
-    groups = near_duplicates(docs, shingle_words, radius)
+    groups = near_duplicates(docs, shingle_words, radius, equal)
     stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"))
     one = rows.join(stay, "_id", "left_semi").groupBy("_id").agg(F.min_by("_row", F.xxhash64("_row.text")).alias("_row"))
