@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm import tokens
+from tramline.session import cut_lineage
 
 MIN_SENTENCES = 3
 MIN_WORDS = 20
@@ -124,7 +125,8 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text").select(
         "*", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("version")
     )
-    found = document_spans(docs)
+    # read twice, so written once
+    found = cut_lineage(document_spans(docs))
     first = found.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("last > first")
     repeated = (
         found.join(first.select("hash", "first"), "hash")
