@@ -212,16 +212,3 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, radius: int = 3, eq
     return rows.join(classes, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
-
-
-def keep_first(docs: DataFrame, shingle_words: int = 5, radius: int = 3, equal: int = 2) -> DataFrame:
-    """The document with the smallest ``doc_id`` of each group of near-duplicates, all columns as they are.
-
-    Rows that share an id are one document: if it stays, the row of the smallest text hash
-    does. Rows without an id cannot be told apart and stay.
-    """
-    groups = near_duplicates(docs, shingle_words, radius, equal)
-    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"))
-    one = rows.join(stay, "_id", "left_semi").groupBy("_id").agg(F.min_by("_row", F.xxhash64("_row.text")).alias("_row"))
-    return one.select("_row").union(rows.filter("_id is null").select("_row")).select("_row.*")
