@@ -13,10 +13,10 @@ its last ``STRIDE`` positions, so that every position is scored once with at lea
 before it where the text has them; windows of many texts go through masked attention together.
 
 Training is synchronous and distributed: in each round every task starts from the same
-parameters, takes gradient steps over another ``1 / SHARES`` of the training documents, and
-the results are averaged by the number of windows. Word counts for the unigram baseline cover
-all training documents: the most frequent (bounded) are looked up in the task that reads a
-text, all others are joined.
+parameters, takes gradient steps over another ``1 / ROUNDS`` of the training documents, and
+the results are averaged by the number of windows; each document is read in one round. Word
+counts for the unigram baseline cover all training documents: the most frequent (bounded) are
+looked up in the task that reads a text, all others are joined.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ WIDTH = 16
 GROUPS, MEMBERS, SHARED = 32, 32, 32
 #: Windows in one attention call.
 BATCH = 256
-ROUNDS, SHARES = 3, 24
+ROUNDS = SHARES = 3
 RATE = 0.02
 #: Windows of one gradient step, and steps that a task takes in a round at least.
 TOGETHER, LEAST_STEPS = 256, 60
@@ -245,6 +245,8 @@ class TextModel:
     def __init__(self, path: str, vocabulary: Vocabulary):
         self.path, self.vocabulary = path, vocabulary
         self.attention = Attention()
+        #: Windows that the training has read.
+        self.read = 0
 
     def ids(self, words: list[bytes], end: int) -> np.ndarray:
         packed = b"".join(map(_word_ids(self.path).__getitem__, words))
@@ -325,8 +327,8 @@ def subword_counts(counts: DataFrame, path: str, ends: int) -> np.ndarray:
 
 
 def train_rounds(train: DataFrame, model: TextModel, rounds: int = ROUNDS, shares: int = SHARES) -> TextModel:
-    """Rounds of local steps in every task and averaging; each reads another share of the documents."""
-    share = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(shares))
+    """Rounds of local steps in every task and averaging; each reads other shares, and together they read all documents."""
+    share = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(shares))
     for step in range(rounds):
         flat, rate = model.attention.flat(), RATE * (1 - step / rounds)
 
@@ -339,7 +341,7 @@ def train_rounds(train: DataFrame, model: TextModel, rounds: int = ROUNDS, share
                 weighted = pa.array([(own.attention.flat() * seen).tolist()], pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([weighted, pa.array([float(seen)])], ["values", "weight"])
 
-        updates = train.filter(share == step % shares).select("text").mapInArrow(learn, "values array<double>, weight double")
+        updates = train.filter(share % rounds == step % shares).select("text").mapInArrow(learn, "values array<double>, weight double")
         updates = cut_lineage(updates.withColumn("bucket", F.pmod(F.spark_partition_id(), F.lit(64))))
         if updates.isEmpty():
             continue
@@ -348,6 +350,7 @@ def train_rounds(train: DataFrame, model: TextModel, rounds: int = ROUNDS, share
         sums = Summarizer.sum(F.col("v")).alias("v"), F.sum("weight").alias("weight")
         total = rows.groupBy("bucket").agg(*sums).agg(*sums).first()
         model.attention.load(total.v.toArray() / total.weight)
+        model.read += int(total.weight)
     return model
 
 
