@@ -1,13 +1,15 @@
 """Removal of sentences that lie in spans repeated across documents.
 
-From every sentence on, the shortest run of consecutive sentences with at least
-``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words is one span; its lower-cased words are
+From every sentence on, and up to every sentence, the shortest run of consecutive sentences with
+at least ``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words is one span; its lower-cased words are
 hashed. Spans are joined globally by their hash. A sentence goes if any span that covers
 it was seen before: in a document of a smaller id, or earlier in the same text.
 
 Sentences end at ``.``, ``!`` or ``?`` before white space and at line breaks. A sentence of
-more than ``LONG_WORDS`` words is cut further after words whose hash says so, which depends
-on the words alone, so that a passage is cut alike wherever it stands.
+more than ``LONG_WORDS`` words is cut further after the last word of smallest hash in each window of so
+many words. A part thus has at most so many words, and where it is cut depends on the words of
+a window alone, so that a passage is cut alike wherever it stands, but for ``LONG_WORDS`` words
+at either end. No run of enough words has too few sentences.
 """
 
 from __future__ import annotations
@@ -26,9 +28,7 @@ from tramline.session import cut_lineage
 
 MIN_SENTENCES = 3
 MIN_WORDS = 20
-LONG_WORDS = 16
-#: Of so many words one ends a part of a long sentence.
-PART_WORDS = 8
+LONG_WORDS = 8
 #: Stands for a missing id, which comes after all others.
 NO_ID = 2**63 - 1
 
@@ -36,20 +36,38 @@ _CUT = re.compile(r"(?<=[.!?])[ \t\r]+|[ \t\r]*\n\s*")
 _WORD = re.compile(r"\S+\s*")
 
 
+def window_minima(words: list[str]) -> list[int]:
+    """Places of the last smallest hash in every window of ``LONG_WORDS`` words, in order."""
+    hashes = [zlib.crc32(word.encode()) for word in words]
+    out, least = [], -1
+    for end in range(LONG_WORDS, len(hashes) + 1):
+        start = end - LONG_WORDS
+        if least < start:
+            least = start
+            for i in range(start + 1, end):
+                if hashes[i] <= hashes[least]:
+                    least = i
+        elif hashes[end - 1] <= hashes[least]:
+            least = end - 1
+        else:
+            continue
+        out.append(least)
+    return out
+
+
 def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     """Start, end (with the white space behind) and lower-cased words of the sentences with a word."""
     out, start = [], 0
     for cut in [m.span() for m in _CUT.finditer(text)] + [(len(text), len(text))]:
         words = text[start : cut[0]].lower().split()
         if len(words) > LONG_WORDS:
-            held, at = [], start
-            for m in _WORD.finditer(text, start, cut[1]):
-                held.append(m.group().strip().lower())
-                if zlib.crc32(held[-1].encode()) % PART_WORDS == 0:
-                    out.append((at, m.end(), held))
-                    held, at = [], m.end()
-            if held:
-                out.append((at, cut[1], held))
+            ends = [m.end() for m in _WORD.finditer(text, start, cut[1])]
+            at, first = start, 0
+            for i in window_minima(words):
+                out.append((at, ends[i], words[first : i + 1]))
+                at, first = ends[i], i + 1
+            if first < len(words):
+                out.append((at, cut[1], words[first:]))
         elif words:
             out.append((start, cut[1], words))
         start = cut[1]
@@ -59,16 +77,27 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
 def spans(parts: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, int]]:
     """Hash (signed), first and last-but-one sentence number of every span."""
     joined, sizes = [" ".join(words) for *_, words in parts], [len(words) for *_, words in parts]
-    out, end, held = [], 0, 0
+    runs, end, held = set(), 0, 0
     for i in range(len(parts)):
         while end < len(parts) and (end - i < MIN_SENTENCES or held < MIN_WORDS):
             held += sizes[end]
             end += 1
         if end - i < MIN_SENTENCES or held < MIN_WORDS:
             break
+        runs.add((i, end))
+        held -= sizes[i]
+    first, held = 0, 0
+    for end in range(1, len(parts) + 1):
+        held += sizes[end - 1]
+        while end - first > MIN_SENTENCES and held - sizes[first] >= MIN_WORDS:
+            held -= sizes[first]
+            first += 1
+        if end - first >= MIN_SENTENCES and held >= MIN_WORDS:
+            runs.add((first, end))
+    out = []
+    for i, end in sorted(runs):
         digest = xxhash.xxh64_intdigest(" ".join(joined[i:end]).encode())
         out.append((digest - (1 << 64) if digest >> 63 else digest, i, end))
-        held -= sizes[i]
     return out
 
 
