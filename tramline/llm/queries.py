@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tramline.llm import alignment, counts, decontam, lid, lm, packing, quality, secrets, simhash, spans, spelling, tokenfile
+from tramline.llm import alignment, counts, decontam, lid, lm, packing, puquality, quality, secrets, simhash, spans, spelling, tokenfile
 from tramline.session import scratch_path, table
 
 QUERIES: dict = {}
@@ -73,6 +73,11 @@ def op11_spelling_groups(spark, root):
     return spelling.group_spellings(table(spark, root, "documents"))
 
 
+@query
+def op12_quality_classifier(spark, root):
+    return puquality.quality_scores(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
 @query
 def op13_token_alignment(spark, root):
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
