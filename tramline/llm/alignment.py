@@ -12,10 +12,11 @@ back to their containers and add up each document's scores there.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from array import array
-from collections import Counter
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,13 @@ from tramline.llm import tokens
 from tramline.session import cut_lineage
 
 #: Units that a worker keeps, and the id pairs in them; when full the cache starts anew.
-CACHED_UNITS, CACHED_PAIRS = 200_000, 2_000_000
+CACHED_UNITS, CACHED_PAIRS = 300_000, 3_000_000
 #: A container ends at so many documents, or so many (document, pair) entries.
 CONTAINER_DOCS, CONTAINER_ENTRIES = 1 << 15, 1_500_000
+#: Groups of more pairs of tokens than this have their equal pairs counted instead of listed.
+LARGE_GROUP = 256
+#: The number of units that cannot be cut off.
+UNSAFE = -1
 #: Characters of texts that are worked on together.
 SLICE_CHARS = 3_000_000
 
@@ -40,7 +45,6 @@ RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best l
 
 # a single space or line break between two characters that are no white space
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
-_WHITE = re.compile(r"\s")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -50,137 +54,177 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class _UnsafeCut(Exception):
-    """The text cannot be cut at every space and line break."""
-
-
-class _Units(dict):
-    """Numbers of units by the text after ``lead``."""
-
-    def __init__(self, aligner, lead: str):
-        super().__init__()
-        self.aligner, self.lead = aligner, lead
-
-    def __missing__(self, unit: str) -> int:
-        if not unit or _WHITE.match(unit[0]) or _WHITE.match(unit[-1]):
-            raise _UnsafeCut
-        self[unit] = number = self.aligner.number(self.lead + unit)
-        return number
-
-
 class Aligner:
-    """Both tokenizers and the aligned units of one worker process."""
+    """Both tokenizers and the aligned units of one worker process.
+
+    A unit is what follows a space up to the next space or line break, or a line break with
+    what follows it. It is kept under that text, without the space, by a number.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=path_b)
         alphabet = byte_alphabet()
-        self.bytes_a = []
-        for i in range(self.a.get_vocab_size()):
-            entry = self.a.id_to_token(i) or ""
-            self.bytes_a.append(bytes(map(alphabet.__getitem__, entry)) if all(c in alphabet for c in entry) else entry.encode())
+        entries = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
+        self.bytes_a = [bytes(map(alphabet.__getitem__, e)) if all(c in alphabet for c in e) else e.encode() for e in entries]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self.size_a, self.size_b = (np.array([len(x) for x in side], np.int64) for side in (self.bytes_a, self.bytes_b))
+        # ids as text, with what stands behind them: inside a side of a group, and at its end
+        self.text_a = np.array([[f"{i},", f"{i}|"] for i in range(len(entries))], object)
+        self.text_b = np.array([[f"{i},", f"{i};"] for i in range(len(pieces))], object)
         #: Whether no piece reaches over a place where units are cut.
         self.cuts = not any(re.search("[^▁]▁|\n", p) for p in pieces)
         self.clear()
 
     def clear(self) -> None:
-        self.spaced, self.bare, self.odd = _Units(self, " "), _Units(self, ""), {}
+        self.numbers: dict[str, int] = {}
+        self.odd: dict[str, int] = {}
         self.count = [array("q") for _ in range(4)]
         self.good, self.texts = array("b"), []
         self.starts, self.pairs, self.times = array("q", [0]), array("q"), array("q")
-        self.line_break = self.number("\n")
 
     def full(self) -> bool:
         return len(self.texts) >= CACHED_UNITS or len(self.pairs) >= CACHED_PAIRS
 
-    def encode(self, unit: str) -> tuple[list[int], list[int]]:
-        """Ids of a unit inside a text; the second tokenizer adds a space of its own in front."""
-        ids = self.a.encode(unit, add_special_tokens=False).ids
-        # behind a line break nothing is added, and no piece holds one
-        own = self.b.encode(unit[1:], num_threads=1) if unit[0] == " " else self.b.encode("\n" + unit, num_threads=1)[2:]
-        return ids, own
-
-    def number(self, unit: str) -> int:
-        """Align a new unit and keep it under the next number."""
-        a, b = self.encode(unit)
-        raw = unit.encode()
-        good = b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
-        groups = groups_of(a, b, self.bytes_a, self.bytes_b) if good else []
-        pairs: Counter = Counter()
-        for left, right in groups:
-            if len(left) == len(right) == 1:
-                pairs[left[0] << 16 | right[0]] += 1
-            else:
-                of_b = Counter(right).items()
-                for x, n in Counter(left).items():
-                    for y, m in of_b:
-                        pairs[x << 16 | y] += n * m
-        for column, value in zip(self.count, (len(a), len(b), len(groups), sum(pairs.values())), strict=True):
-            column.append(value)
-        self.good.append(good)
-        self.texts.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-        self.pairs.extend(pairs.keys())
-        self.times.extend(pairs.values())
-        self.starts.append(len(self.pairs))
-        return len(self.texts) - 1
+    def learn(self, units: list[str]) -> None:
+        """Align new units and keep them under their numbers; unsafe ones (see ``_safe``) under UNSAFE."""
+        self.numbers.update((u, UNSAFE) for u in units if not _safe(u))
+        units = [u for u in units if u not in self.numbers]
+        whole = [u if u[0] == "\n" else " " + u for u in units]
+        # a space is put in front of each text; before a line break it is a piece of its own
+        own = [ids[1:] if u[0] == "\n" else ids for u, ids in zip(units, self.b.encode(units, num_threads=1), strict=True)]
+        self.numbers.update(zip(units, self.align(whole, own), strict=True))
 
     def whole(self, text: str) -> int:
-        """The number of a unit of any form."""
+        """The number of a text of any form that begins with a space, or follows a line break's place."""
         if text not in self.odd:
-            self.odd[text] = self.number(text)
+            if text[0] == " ":
+                own = self.b.encode(text[1:], num_threads=1)
+            else:
+                own = self.b.encode("\n" + text, num_threads=1)[2:]
+            self.odd[text] = self.align([text], [own])[0]
         return self.odd[text]
 
-    def units(self, text: str) -> list[int]:
-        """Numbers of the units of the text with a space in front; none for the empty text."""
-        if not text:
-            return []
+    def align(self, units: list[str], own: list[list[int]]) -> range:
+        """Enter units (as they stand in the text) with their ids of the second tokenizer."""
+        first = len(self.texts)
+        other = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
+        raw = [u.encode() for u in units]
+        good = [True] * len(units)
+        if not self._same(other, own, b"".join(raw)):
+            good = [self._same([x], [y], r) for x, y, r in zip(other, own, raw, strict=True)]
+        n = np.array([len(x) for x in other], np.int64), np.array([len(x) for x in own], np.int64)
+        if not all(good):
+            empty: list[int] = []
+            other, own = ([x if ok else empty for x, ok in zip(side, good, strict=True)] for side in (other, own))
+        sizes = np.array([len(r) if ok else 0 for r, ok in zip(raw, good, strict=True)], np.int64)
+        groups, links = self._groups(other, own, np.cumsum(sizes))
+        for column, values in zip(self.count, (*n, groups, links), strict=True):
+            column.frombytes(values.astype(np.int64).tobytes())
+        self.good.extend(good)
+        return range(first, len(self.texts))
+
+    def _same(self, other, own, raw: bytes) -> bool:
+        a = b"".join(map(self.bytes_a.__getitem__, chain.from_iterable(other)))
+        return a == raw == b"".join(map(self.bytes_b.__getitem__, chain.from_iterable(own)))
+
+    def _groups(self, other, own, unit_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Groups of units laid end to end; enters their texts and pairs, returns their numbers of groups and links."""
+        a, b = (np.fromiter(chain.from_iterable(side), np.int64) for side in (other, own))
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        of_a, of_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        unit_of = np.searchsorted(unit_ends, both)
+        in_a, in_b = np.bincount(of_a, minlength=len(both)), np.bincount(of_b, minlength=len(both))
+        start_a, start_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        # texts: the ids of a group's two sides, one group behind the other
+        items = np.empty(len(a) + len(b), object)
+        items[np.arange(len(a)) + start_b[of_a]] = self.text_a[a, (np.diff(of_a, append=-1) != 0).astype(int)]
+        items[np.arange(len(b)) + (start_a + in_a)[of_b]] = self.text_b[b, (np.diff(of_b, append=-1) != 0).astype(int)]
+        items = items.tolist()
+        lengths = np.bincount(unit_of, in_a + in_b, len(unit_ends)).astype(np.int64)
+        ends = np.cumsum(lengths)
+        self.texts.extend("".join(items[s:e])[:-1] for s, e in zip((ends - lengths).tolist(), ends.tolist(), strict=True))
+        # pairs: each id of one side with each of the other; of large groups equal pairs are counted instead
+        large = in_a * in_b > LARGE_GROUP
+        times_b = np.where(large, 0, in_b)[of_a]
+        total = int(times_b.sum())
+        inside = np.arange(total) - np.repeat(np.cumsum(times_b) - times_b, times_b)
+        pairs = np.repeat(a, times_b) << 16 | b[np.repeat(start_b[of_a], times_b) + inside]
+        owner, times = np.repeat(unit_of[of_a], times_b), np.ones(total, np.int64)
+        if large.any():
+            more = []
+            for g in np.flatnonzero(large).tolist():
+                x, n = np.unique(a[start_a[g] : start_a[g] + in_a[g]], return_counts=True)
+                y, m = np.unique(b[start_b[g] : start_b[g] + in_b[g]], return_counts=True)
+                more.append(((x[:, None] << 16 | y).ravel(), np.outer(n, m).ravel(), np.full(len(x) * len(y), unit_of[g])))
+            pairs, times, owner = (np.concatenate(c) for c in zip((pairs, times, owner), *more, strict=True))
+            order = np.argsort(owner, kind="stable")
+            pairs, times, owner = pairs[order], times[order], owner[order]
+        self.pairs.frombytes(pairs.tobytes())
+        self.times.frombytes(times.tobytes())
+        self.starts.frombytes((self.starts[-1] + np.cumsum(np.bincount(owner, minlength=len(unit_ends)))).tobytes())
+        links = np.bincount(unit_of, in_a * in_b, len(unit_ends))
+        return np.bincount(unit_of, minlength=len(unit_ends)), links
+
+    def units_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the units of all texts, each with a space in front, and how many each has."""
+        per_text = [_split(text) if self.cuts else [" " + text] for text in texts]
+        flat = list(chain.from_iterable(per_text)) if self.cuts else []
+        new = set(flat).difference(self.numbers)
+        if new:
+            self.learn(sorted(new))
+        units = np.fromiter(map(self.numbers.__getitem__, flat), np.int64, len(flat))
+        sizes = np.array([len(u) if self.cuts else 0 for u in per_text], np.int64)
+        good = np.frombuffer(self.good, np.int8).astype(bool)
+        # an unsafe number is the last element's place
+        fine = np.append(good, False)[units]
+        bad = np.flatnonzero(np.bincount(np.repeat(np.arange(len(texts)), sizes), ~fine, len(texts)) > 0).tolist()
         if not self.cuts:
-            return [self.whole(" " + text)]
-        spaced, bare = self.spaced.__getitem__, self.bare
-        out: list[int] = []
-        try:
-            for i, line in enumerate(text.split("\n")):
-                words = line.split(" ")
-                if i:
-                    out.append(self.line_break)
-                    out.append(bare[words[0]])
-                    del words[0]
-                out.extend(map(spaced, words))
-        except _UnsafeCut:
-            out = [self.whole(unit) for unit in _CUT.split(" " + text)]
-        if not all(map(self.good.__getitem__, out)):
+            bad = [i for i, text in enumerate(texts) if text]
+        if bad:
+            parts = np.split(units, np.cumsum(sizes)[:-1])
+            for i in bad:
+                parts[i] = np.array(self._slowly(texts[i]), np.int64)
+            units, sizes = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        return units, sizes
+
+    def _slowly(self, text: str) -> list[int]:
+        """Units of a text with other white space; the whole text where a unit is not given back."""
+        out = [self.whole(unit) for unit in (_CUT.split(" " + text) if self.cuts else [" " + text])]
+        if not all(self.good[n] for n in out):
             number = self.whole(" " + text)
             out = [number] if self.good[number] else []
         return out
 
 
-def groups_of(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> list[tuple[list[int], list[int]]]:
-    """The ids between places where tokens of both end; the bytes of both are the same."""
-    out, left, right = [], [], []
-    at_a = at_b = i = j = 0
-    while i < len(a) or j < len(b):
-        if at_a <= at_b:
-            left.append(a[i])
-            at_a += len(bytes_a[a[i]])
-            i += 1
-        else:
-            right.append(b[j])
-            at_b += len(bytes_b[b[j]])
-            j += 1
-        if at_a == at_b:
-            out.append((left, right))
-            left, right = [], []
+def _split(text: str) -> list[str]:
+    """Units behind a space, and units that begin with a line break; none of the empty text."""
+    if not text:
+        return []
+    lines = text.split("\n")
+    out = lines[0].split(" ")
+    for line in lines[1:]:
+        words = line.split(" ")
+        words[0] = "\n" + words[0]
+        out += words
     return out
 
 
+def _safe(unit: str) -> bool:
+    """Whether the tokenizers cut before and behind a unit: it has no white space at its ends."""
+    body = unit[1:] if unit[:1] == "\n" else unit
+    return bool(body) and not body[0].isspace() and not body[-1].isspace()
+
+
 @lru_cache(maxsize=1)
 def aligner(path_a: str, path_b: str) -> Aligner:
     """One per worker process."""
@@ -270,13 +314,14 @@ def _index_rows(container: _Container, number: int):
 
 def _add_texts(worker: Aligner, container: _Container, doc_ids: list, texts: list[str]) -> None:
     """Align texts and enter them into the container."""
-    per_text = [worker.units(text) for text in texts]
-    sizes = np.array([len(u) for u in per_text], np.int64)
-    units = np.concatenate([np.array(u, np.int64) for u in per_text])
+    units, sizes = worker.units_of(texts)
     owner = np.repeat(np.arange(len(texts)), sizes)
     sums = [np.bincount(owner, np.frombuffer(c, np.int64)[units], len(texts)).astype(np.int64).tolist() for c in worker.count]
+    named = list(map(worker.texts.__getitem__, units.tolist()))
+    ends = np.cumsum(sizes)
     digests = [
-        hashlib.sha256(";".join(map(worker.texts.__getitem__, u)).encode()).hexdigest() if u else "" for u in per_text
+        hashlib.sha256(";".join(named[s:e]).encode()).hexdigest() if e > s else ""
+        for s, e in zip((ends - sizes).tolist(), ends.tolist(), strict=True)
     ]
     first = len(container.docs)
     container.docs.extend(zip(doc_ids, *sums, digests, strict=True))
