@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions.timefn import format_seconds
 from tramline.operators import ordered
+from tramline.operators.labels import LabelTable, route_patterns
 from tramline.operators.transit import CHANGE_SECONDS, MAX_WALK_METRES, WALK_METRES_PER_MINUTE
 from tramline.session import cut_lineage
 
@@ -121,73 +122,184 @@ def segment_durations(conns: DataFrame) -> DataFrame:
     )
 
 
-def _improve(old: DataFrame | None, new: DataFrame, key: list[str], rank: str) -> DataFrame:
-    """Best row per key of both frames, with ``_new`` where the new one won; written out."""
-    rest = [c for c in new.columns if c not in key]
-    tagged = new.withColumn("_new", F.lit(1))
-    if old is not None:
-        tagged = old.select(*new.columns).withColumn("_new", F.lit(0)).unionByName(tagged)
-    best = F.struct(rank, "_new", *[c for c in rest if c != rank])
-    return cut_lineage(tagged.groupBy(*key).agg(F.min(best).alias("_b")).select(*key, "_b.*"))
+def _on_foot(places: DataFrame, hops: DataFrame) -> DataFrame:
+    """(query, stop, arrival) after one walk from (query, stop, arrival, horizon)."""
+    j = places.join(hops, "stop_id").where(F.col("arrival") + F.col("hop_s") <= F.col("horizon"))
+    return j.select(
+        "query_id", F.col("to_stop").alias("stop_id"), (F.col("arrival") + F.col("hop_s")).alias("arrival"), "horizon",
+        F.struct(F.col("stop_id").alias("walked_from"), "hop_s").alias("walk"),
+    )
+
+
+class _Search:
+    """Labels of a finished search: without a ride, after a ride, and boarded runs of patterns."""
+
+    def __init__(self, queries: DataFrame, timetable: DataFrame, walks: DataFrame, max_duration: int, change_s: int):
+        if change_s < 1:
+            raise ValueError("changing must take time")
+        self.change_s = change_s
+        self.hops = walks.select(F.col("from_stop").alias("stop_id"), "to_stop", F.col("walk_s").alias("hop_s"))
+        self.network = cut_lineage(route_patterns(timetable))
+        spark = queries.sparkSession
+        self.ready, self.landed = (LabelTable(spark, ["query_id", "stop_id"]) for _ in range(2))
+        self.boarded = LabelTable(spark, ["query_id", "pattern_id"])
+        origin = queries.select(
+            "query_id", F.col("source").alias("stop_id"), F.col("depart_at").alias("arrival"),
+            (F.col("depart_at") + max_duration).alias("horizon"),
+        )
+        first = origin.unionByName(_on_foot(origin, self.hops).drop("walk")).groupBy("query_id", "stop_id", "horizon")
+        self.first = cut_lineage(first.agg(F.min("arrival").alias("arrival")))
+
+    def run(self) -> _Search:
+        open_labels = self.ready.append(self.first.withColumnRenamed("arrival", "ready"))
+        while True:
+            landed = self.landed.append(self.landed.better(self._rides(self._boards(open_labels)), "arrival"))
+            if landed.isEmpty():
+                return self
+            places = landed.unionByName(_on_foot(landed, self.hops).drop("walk")).groupBy("query_id", "stop_id")
+            changing = places.agg((F.min("arrival") + self.change_s).alias("ready"), F.max("horizon").alias("horizon"))
+            open_labels = self.ready.append(self.ready.better(changing, "ready"))
+
+    def _boards(self, open_labels: DataFrame) -> DataFrame:
+        """Boardings of this round that serve stops no other boarding serves as early, with the last stop they serve.
+
+        A boarding further up a pattern in the same or an earlier run makes another one
+        useless; one further down takes over from its own stop on.
+        """
+        at_stop = self.network.select("stop_id", "pattern_id", "seq", "run_no", "dep_s", "prev_dep")
+        met = open_labels.join(at_stop, "stop_id").where(
+            "ready <= dep_s AND (prev_dep IS NULL OR ready > prev_dep) AND dep_s <= horizon"
+        )
+        new = met.select("query_id", "pattern_id", "seq", "run_no", "dep_s", "horizon")
+        by = ["query_id", "pattern_id"]
+        if self.boarded.rounds:
+            old = self.boarded.all().select(*by, F.col("seq").alias("_seq"), F.col("run_no").alias("_no"))
+            held = (F.col("_no") <= F.col("run_no")) & (F.col("_seq") <= F.col("seq"))
+            later = F.when((F.col("_no") <= F.col("run_no")) & (F.col("_seq") > F.col("seq")), F.col("_seq"))
+            per = new.hint("shuffle_hash").join(old, by, "left").groupBy(*by, "seq", "run_no", "dep_s", "horizon")
+            per = per.agg(F.max(held).alias("_held"), F.min(later).alias("until"))
+            new = per.where("NOT coalesce(_held, false)").drop("_held")
+        else:
+            new = new.withColumn("until", F.lit(None).cast("int"))
+        w = Window.partitionBy(*by).orderBy("seq")
+        before = F.min("run_no").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        new = new.withColumn("_before", before).where("_before IS NULL OR run_no < _before").drop("_before")
+        return self.boarded.append(new.withColumn("until", F.least("until", F.lead("seq").over(w))))
+
+    def _rides(self, boards: DataFrame) -> DataFrame:
+        """Earliest arrivals of this round's boardings."""
+        along = self.network.select(
+            "pattern_id", "run_no", F.col("seq").alias("to_seq"), F.col("stop_id").alias("to_stop"), "arr_s"
+        )
+        rides = boards.join(along, ["pattern_id", "run_no"]).where(
+            "to_seq > seq AND (until IS NULL OR to_seq <= until) AND arr_s <= horizon"
+        )
+        per = rides.groupBy("query_id", F.col("to_stop").alias("stop_id"))
+        return per.agg(F.min("arr_s").alias("arrival"), F.max("horizon").alias("horizon"))
+
+    def labels(self) -> DataFrame:
+        """Per query and stop the earliest arrival of each kind: ``unridden``, ``ridden``, ``walked``, with the walk."""
+        key = ["query_id", "stop_id"]
+        ridden = self.landed.all().groupBy(*key).agg(F.min("arrival").alias("arrival"), F.max("horizon").alias("horizon"))
+        ridden = cut_lineage(ridden)
+        walked = _on_foot(ridden, self.hops).groupBy(*key).agg(F.min(F.struct("arrival", "walk")).alias("_w"))
+        parts = [
+            self.first.select(*key, F.col("arrival").alias("unridden")),
+            ridden.select(*key, F.col("arrival").alias("ridden")),
+            walked.select(*key, F.col("_w.arrival").alias("walked"), F.col("_w.walk").alias("walk")),
+        ]
+        rows = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+        each = [F.max(c).alias(c) for c in ("unridden", "ridden", "walked", "walk")]
+        return cut_lineage(rows.groupBy(*key).agg(*each))
+
+    def times(self, labels: DataFrame, queries: DataFrame) -> DataFrame:
+        """``query_id, stop_id, arrival, walk_s, ride_s`` along the journeys that the labels make.
+
+        A ridden arrival comes by the run that starts first (then of smallest id) of those that
+        arrive then, boarded at its first stop where the passenger can be ready. A passenger is
+        ready without a ride, else after a ride there, else after a walk (from the stop of
+        smallest id) if that is earliest. Seconds add up along these steps, in doubling strides.
+        """
+        key = ["query_id", "stop_id"]
+        calls = self.network.select(
+            "stop_id", F.col("arr_s").alias("ridden"), "pattern_id", "run_no", F.col("seq").alias("to_seq"), "first_dep", "run_id"
+        )
+        came = labels.where("ridden IS NOT NULL").select(*key, "ridden").join(calls, ["stop_id", "ridden"])
+        boards = self.boarded.all().select("query_id", "pattern_id", "run_no", "seq", "dep_s")
+        by = came.join(boards, ["query_id", "pattern_id", "run_no"]).where("seq < to_seq")
+        best = F.min(F.struct("first_dep", "run_id", "seq", "pattern_id", (F.col("ridden") - F.col("dep_s")).alias("ride_s"))).alias("_b")
+        by = by.groupBy(*key).agg(best).select(*key, "_b.*")
+        stops = self.network.select("run_id", "seq", F.col("stop_id").alias("board"))
+        by = by.join(stops, ["run_id", "seq"])
+        last = F.least("unridden", F.col("ridden") + self.change_s, F.col("walked") + self.change_s)
+        source = labels.join(queries.select("query_id", "depart_at"), "query_id").select(
+            "query_id", F.col("stop_id").alias("board"),
+            F.when(F.col("unridden") == last, F.lit(None)).when(F.col("ridden") + self.change_s == last, F.col("stop_id"))
+            .otherwise(F.col("walk.walked_from")).alias("before"),
+            F.when(F.col("unridden") == last, F.col("unridden") - F.col("depart_at")).when(F.col("ridden") + self.change_s == last, 0)
+            .otherwise(F.col("walk.hop_s")).alias("walk_s"),
+        )
+        steps = by.join(source, ["query_id", "board"]).select(*key, "before", "walk_s", "ride_s")
+        steps = cut_lineage(steps)
+        while True:
+            ahead = steps.select(
+                "query_id", F.col("stop_id").alias("before"), F.col("before").alias("_b"), F.col("walk_s").alias("_w"), F.col("ride_s").alias("_r")
+            )
+            zero = F.lit(0)
+            strides = steps.join(ahead, ["query_id", "before"], "left").select(
+                *key, F.col("_b").alias("before"), (F.col("walk_s") + F.coalesce("_w", zero)).alias("walk_s"),
+                (F.col("ride_s") + F.coalesce("_r", zero)).alias("ride_s"),
+            )
+            steps = cut_lineage(strides)
+            if steps.where("before IS NOT NULL").isEmpty():
+                break
+        # the arrival's own kind; a walk after a ride starts where that ride ended
+        arrival = F.least("unridden", "ridden", "walked")
+        ends = labels.join(queries.select("query_id", "depart_at"), "query_id").withColumn("arrival", arrival).select(
+            *key, "arrival",
+            F.when(F.col("unridden") == arrival, F.lit(None)).when(F.col("ridden") == arrival, F.col("stop_id"))
+            .otherwise(F.col("walk.walked_from")).alias("last"),
+            F.when(F.col("unridden") == arrival, F.col("unridden") - F.col("depart_at")).when(F.col("ridden") == arrival, 0)
+            .otherwise(F.col("walk.hop_s")).alias("own_s"),
+        )
+        so_far = steps.select("query_id", F.col("stop_id").alias("last"), "walk_s", "ride_s")
+        out = ends.join(so_far, ["query_id", "last"], "left")
+        return out.select(
+            *key, "arrival", (F.col("own_s") + F.coalesce("walk_s", F.lit(0))).cast("bigint").alias("walk_s"),
+            F.coalesce("ride_s", F.lit(0)).cast("bigint").alias("ride_s"),
+        )
+
+    def drop(self) -> None:
+        for labels in (self.ready, self.landed, self.boarded):
+            labels.drop()
 
 
 def earliest_arrival(
     queries: DataFrame, timetable: DataFrame, walks: DataFrame, max_duration: int,
-    change_s: int = CHANGE_SECONDS,
+    change_s: int = CHANGE_SECONDS, times: bool = True,
 ) -> DataFrame:
     """Earliest arrival at every stop within ``max_duration`` seconds of each request.
 
     ``queries``: query_id, source, depart_at; ``timetable``: run_id, seq, stop_id,
     arr_s, dep_s, times not decreasing along a run; ``walks``: from_stop, to_stop,
     walk_s. A journey walks at most once before, between and after rides. Changing
-    between rides takes ``change_s``; staying on a run takes nothing. A run is
-    boarded by a request again only further up the line, and rounds end when no
-    boarding improves, so the answer is exact without a limit on rounds.
+    between rides takes ``change_s`` (at least a second); staying on a run takes nothing.
+    With ``times`` also the seconds walked and ridden on the way.
+
+    Runs are grouped into patterns without overtaking, and a label boards the first run of
+    a pattern. What is found lies in bucketed label tables; a round boards, rides and walks
+    from the labels that the round before improved, a boarding rides no further than the stop from
+    which an earlier one serves the run, and rounds end when nothing improves, so the answer is
+    exact without a limit on rounds.
     """
-    key = ["query_id", "stop_id"]
-    hops = walks.select(F.col("from_stop").alias("stop_id"), "to_stop", F.col("walk_s").alias("hop_s"))
-    at_stop = timetable.select("run_id", "seq", "stop_id", "dep_s")
-    along = timetable.select("run_id", F.col("seq").alias("to_seq"), F.col("stop_id").alias("to_stop"), "arr_s")
-    zero = F.lit(0).cast("bigint")
-
-    def on_foot(places: DataFrame) -> DataFrame:
-        """(query, stop, arrival) after one walk."""
-        j = places.join(hops, "stop_id").where(F.col("arrival") + F.col("hop_s") <= F.col("horizon"))
-        return j.select(
-            "query_id", F.col("to_stop").alias("stop_id"), (F.col("arrival") + F.col("hop_s")).alias("arrival"),
-            (F.col("walk_s") + F.col("hop_s")).alias("walk_s"), "ride_s", "horizon",
-        )
-
-    origin = queries.select(
-        "query_id", F.col("source").alias("stop_id"), F.col("depart_at").alias("arrival"),
-        zero.alias("walk_s"), zero.alias("ride_s"), (F.col("depart_at") + max_duration).alias("horizon"),
-    )
-    first = cut_lineage(origin.unionByName(on_foot(origin)))
-    ready = _improve(None, first.withColumn("ready", F.col("arrival")), key, "ready")
-    boarded = landed = None
-    while True:
-        open_labels = ready.where("_new = 1")
-        boards = open_labels.join(at_stop, "stop_id").where("dep_s >= ready AND dep_s <= horizon")
-        # the earliest stop of a run that can be boarded serves all later ones
-        boarded = _improve(
-            boarded, boards.select("query_id", "run_id", "seq", "dep_s", "walk_s", "ride_s", "horizon"),
-            ["query_id", "run_id"], "seq",
-        )
-        rides = boarded.where("_new = 1").join(along, "run_id").where("to_seq > seq AND arr_s <= horizon")
-        reached = rides.select(
-            "query_id", F.col("to_stop").alias("stop_id"), F.col("arr_s").alias("arrival"), "walk_s",
-            (F.col("ride_s") + F.col("arr_s") - F.col("dep_s")).alias("ride_s"), "horizon",
-        )
-        landed = _improve(landed, reached, key, "arrival")
-        better = landed.where("_new = 1").drop("_new")
-        if better.isEmpty():
-            break
-        changing = better.unionByName(on_foot(better)).withColumn("ready", F.col("arrival") + change_s)
-        ready = _improve(ready, changing, key, "ready")
-    landed = landed.drop("_new")
-    everywhere = first.unionByName(landed).unionByName(on_foot(landed))
-    best = everywhere.groupBy(*key).agg(F.min(F.struct("arrival", "walk_s", "ride_s")).alias("a"))
-    return best.select(*key, "a.*")
+    search = _Search(queries, timetable, walks, max_duration, change_s)
+    try:
+        labels = search.run().labels()
+        if times:
+            return cut_lineage(search.times(labels, queries))
+        return labels.select("query_id", "stop_id", F.least("unridden", "ridden", "walked").alias("arrival"))
+    finally:
+        search.drop()
 
 
 def isochrone(arrivals: DataFrame, queries: DataFrame, stops: DataFrame, minutes: int = 15) -> DataFrame:

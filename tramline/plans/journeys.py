@@ -137,10 +137,10 @@ def timetable(spark, root):
     return st.withColumn("line_id", F.expr("trip_id DIV 2"))
 
 
-def arrivals(spark, root):
+def arrivals(spark, root, times):
     walks = cut_lineage(transit.footpaths(B.stops(spark, root)))
     return journey.earliest_arrival(
-        B.journey_queries(spark, root), cut_lineage(timetable(spark, root)), walks, HORIZON
+        B.journey_queries(spark, root), cut_lineage(timetable(spark, root)), walks, HORIZON, times=times
     )
 
 
@@ -163,9 +163,58 @@ register_sql(
 )
 
 
-@query("earliest_arrival", "SELECT query_id, stop_id, arrival FROM arrivals")
+# per stop the arrival of each kind; ready is the earliest time to board again
+register_sql(
+    "label_kinds",
+    """SELECT *, least(u, l + 120, k + 120) AS ready FROM (SELECT query_id, stop_id, min(reach) FILTER (WHERE kind IN (0, 2)) AS u,
+       min(reach) FILTER (WHERE kind = 1) AS l, min(reach) FILTER (WHERE kind = 3) AS k FROM labels_found GROUP BY 1, 2)""",
+)
+register_sql(
+    "boarding",
+    """SELECT query_id, run_id, arg_min(stop_id, seq) AS board, min(seq) AS seq, arg_min(dep_s, seq) AS dep_s
+       FROM runs JOIN label_kinds USING (stop_id) WHERE dep_s >= ready GROUP BY 1, 2""",
+)
+register_sql(
+    "walk_from",
+    """SELECT g.query_id, g.stop_id, min(z.stop_id) AS z, arg_min(f.walk_s, z.stop_id) AS walk_s FROM label_kinds g
+       JOIN footpaths f ON f.to_stop = g.stop_id JOIN label_kinds z ON z.query_id = g.query_id AND z.stop_id = f.from_stop
+       WHERE z.l + f.walk_s = g.k GROUP BY 1, 2""",
+)
+register_sql(
+    "ride_steps",
+    """SELECT s.query_id, s.stop_id, s.ride_s, y.u = y.ready AS opens, CASE WHEN y.u = y.ready THEN y.u - q.depart_at
+              WHEN y.l + 120 = y.ready THEN 0 ELSE w.walk_s END AS walk_s,
+              CASE WHEN y.l + 120 = y.ready THEN y.stop_id ELSE w.z END AS parent
+       FROM (SELECT g.query_id, g.stop_id, arg_min(b.board, (h.first_dep, r.run_id)) AS board,
+                    arg_min(g.l - b.dep_s, (h.first_dep, r.run_id)) AS ride_s
+             FROM label_kinds g JOIN runs r ON r.stop_id = g.stop_id AND r.arr_s = g.l
+             JOIN boarding b ON b.query_id = g.query_id AND b.run_id = r.run_id AND b.seq < r.seq
+             JOIN (SELECT run_id, dep_s AS first_dep FROM runs WHERE seq = 1) h ON h.run_id = r.run_id GROUP BY 1, 2) s
+       JOIN label_kinds y ON y.query_id = s.query_id AND y.stop_id = s.board
+       JOIN journey_queries q ON q.query_id = s.query_id
+       LEFT JOIN walk_from w ON w.query_id = s.query_id AND w.stop_id = s.board""",
+)
+register_sql(
+    "ridden_times",
+    """SELECT query_id, stop_id, walk_s, ride_s FROM ride_steps WHERE COALESCE(opens, false) UNION ALL
+       SELECT s.query_id, s.stop_id, s.walk_s + t.walk_s, s.ride_s + t.ride_s FROM ride_steps s
+       JOIN ridden_times t ON t.query_id = s.query_id AND t.stop_id = s.parent WHERE NOT COALESCE(s.opens, false)""",
+)
+
+
+@query(
+    "earliest_arrival",
+    """SELECT g.query_id, g.stop_id, least(u, l, k) AS arrival,
+       CAST(CASE WHEN u = least(u, l, k) THEN u - depart_at WHEN l = least(u, l, k) THEN t.walk_s ELSE w.walk_s + tz.walk_s END
+            AS BIGINT) AS walk_s,
+       CAST(CASE WHEN u = least(u, l, k) THEN 0 WHEN l = least(u, l, k) THEN t.ride_s ELSE tz.ride_s END AS BIGINT) AS ride_s
+       FROM label_kinds g JOIN journey_queries q USING (query_id)
+       LEFT JOIN ridden_times t ON t.query_id = g.query_id AND t.stop_id = g.stop_id
+       LEFT JOIN walk_from w ON w.query_id = g.query_id AND w.stop_id = g.stop_id
+       LEFT JOIN ridden_times tz ON tz.query_id = g.query_id AND tz.stop_id = w.z""",
+)
 def earliest_arrival(spark, root):
-    return arrivals(spark, root).select("query_id", "stop_id", "arrival")
+    return arrivals(spark, root, times=True)
 
 
 @query(
@@ -174,7 +223,7 @@ def earliest_arrival(spark, root):
        JOIN journey_queries USING (query_id) JOIN stops USING (stop_id)""",
 )
 def isochrone(spark, root):
-    return journey.isochrone(arrivals(spark, root), B.journey_queries(spark, root), B.stops(spark, root), 15)
+    return journey.isochrone(arrivals(spark, root, times=False), B.journey_queries(spark, root), B.stops(spark, root), 15)
 
 
 def path_requests(spark, root):
