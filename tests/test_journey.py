@@ -173,7 +173,7 @@ def test_confidence_and_replay(spark, legs):
     v = spark.createDataFrame(
         [(a, b, c, f"2024-01-0{d + 1}", e) for a, b, c, d, e in seen],
         "line_id bigint, trip_id bigint, stop_id bigint, operating_day string, delay_s bigint",
-    )
+    ).withColumn("hour", F.lit(9))
     got = {r.option_id: r.confidence for r in journey.option_confidence(legs, v).collect()}
     # option 1: slack 400 - 200 - 120 = 80 on line 1 -> two of four; option 3: slack 170 -> three of four
     assert got[1] == pytest.approx(0.5) and got[2] == 1.0 and got[3] == pytest.approx(0.75)
@@ -182,6 +182,50 @@ def test_confidence_and_replay(spark, legs):
     assert share[1] == pytest.approx(0.5) and share[3] == pytest.approx(0.75)
 
 
+def test_confidence_backs_off(spark, legs):
+    """The finest level with enough observations counts: (line, stop, hour), (line, stop), line."""
+
+    def confidence(*groups):
+        rows = [(1, stop, hour, late) for stop, hour, lates in groups for late in lates]
+        v = spark.createDataFrame(rows, "line_id bigint, stop_id bigint, hour int, delay_s bigint")
+        return {r.option_id: r.confidence for r in journey.option_confidence(legs, v, least=2).collect()}[1]
+
+    # option 1 changes at stop 11 in hour 0 with a slack of 80
+    other = (99, 5, [500] * 6)
+    assert confidence(other, (11, 5, [0, 500, 500, 500]), (11, 0, [0, 50])) == pytest.approx(1.0)
+    assert confidence(other, (11, 5, [0, 500, 500]), (11, 0, [50])) == pytest.approx(0.5)
+    assert confidence(other, (11, 0, [0])) == pytest.approx(1 / 7)
+    assert confidence(other, (11, 0, [100, 200])) == 0.0
+
+
+def test_route_patterns(spark):
+    from tramline.operators.labels import route_patterns
+
+    rows = [(r, s, 10 + s, t + 60 * s, t + 60 * s) for r, t in ((1, 0), (2, 100), (3, 200)) for s in (1, 2, 3)]
+    rows += [(4, 1, 11, 150, 150), (4, 2, 12, 155, 155), (4, 3, 13, 160, 160)]  # overtakes run 2
+    rows += [(5, 1, 11, 0, 0), (5, 2, 13, 60, 60)]  # other stops
+    tt = spark.createDataFrame(rows, "run_id bigint, seq bigint, stop_id bigint, arr_s bigint, dep_s bigint")
+    got = {}
+    for r in route_patterns(tt).collect():
+        got.setdefault(r.pattern_id, {}).setdefault(r.run_no, []).append((r.seq, r.run_id, r.prev_dep, r.dep_s))
+    by_run = {row[1]: (p, no) for p, runs in got.items() for no, calls in runs.items() for row in calls}
+    assert by_run[1][0] == by_run[2][0] == by_run[3][0] and [by_run[i][1] for i in (1, 2, 3)] == [1, 2, 3]
+    assert len({by_run[i][0] for i in (1, 4, 5)}) == 3
+    assert sorted(got[by_run[2][0]][2]) == [(1, 2, 60, 160), (2, 2, 120, 220), (3, 2, 180, 280)]
+
+
+def test_times_of_the_earliest_arrival(spark):
+    """Walk 50, ride 100 to 300, walk 60, change, ride 600 to 900; and on foot only."""
+    tt = spark.createDataFrame(
+        [(1, 1, 2, 100, 100), (1, 2, 3, 300, 300), (2, 1, 4, 600, 600), (2, 2, 5, 900, 910)],
+        "run_id bigint, seq bigint, stop_id bigint, arr_s bigint, dep_s bigint",
+    )
+    walks = spark.createDataFrame([(1, 2, 50), (3, 4, 60)], "from_stop bigint, to_stop bigint, walk_s bigint")
+    q = spark.createDataFrame([(7, 1, 10)], "query_id bigint, source bigint, depart_at bigint")
+    got = {r.stop_id: (r.arrival, r.walk_s, r.ride_s) for r in journey.earliest_arrival(q, tt, walks, 5000).collect()}
+    assert got == {1: (10, 0, 0), 2: (60, 50, 0), 3: (300, 50, 200), 4: (360, 110, 200), 5: (900, 110, 500)}
+
+
 def test_diversify(spark):
     rows = [
         (1, 1, 1000, 100, 0, "a", "s1"), (1, 2, 1001, 101, 0, "a", "s2"), (1, 3, 1002, 102, 0, "b", "s1"),

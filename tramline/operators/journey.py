@@ -487,33 +487,60 @@ def changes_of(legs: DataFrame, change_s: int = CHANGE_SECONDS) -> DataFrame:
     rides = legs.where("kind = 'PT'").withColumn("_n", nxt)
     gap = (F.col("_n.dep_s") - F.col("arr_s") - change_s).cast("bigint")
     return rides.where("_n IS NOT NULL AND _n.leg_trip <> leg_trip").select(
-        "option_id", "leg_no", "leg_trip", "line_id", "to_stop", gap.alias("slack")
+        "option_id", "leg_no", "leg_trip", "line_id", "to_stop", "arr_s", gap.alias("slack")
     )
 
 
-def delay_shares(visits: DataFrame, keys: list[str], delay: str) -> DataFrame:
-    """Share of observations with at most a given delay, per key and observed delay."""
-    counts = cut_lineage(visits.groupBy(*keys, delay).agg(F.count(F.lit(1)).alias("_n")))
-    upto = ordered.running_sum(counts, keys, [delay], F.col("_n"), "_upto")
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_all"))
-    return upto.join(totals, keys).select(*keys, delay, (F.col("_upto") / F.col("_all")).alias("share"))
+def delay_shares(counts: DataFrame, keys: list[str], delay: str, n: str) -> DataFrame:
+    """Share of observations with at most a given delay, and all observations, per key and observed delay.
+
+    ``counts`` has one row per key and delay with its number ``n``.
+    """
+    counts = cut_lineage(counts.select(*keys, delay, n))
+    upto = ordered.running_sum(counts, keys, [delay], F.col(n), "_upto")
+    totals = counts.groupBy(*keys).agg(F.sum(n).alias("seen"))
+    return upto.join(totals, keys).select(*keys, delay, (F.col("_upto") / F.col("seen")).alias("share"), "seen")
+
+
+#: Levels of delay observations from coarse to fine; what a level does not tell apart is -1.
+DELAY_LEVELS = (("line_id",), ("line_id", "stop_id"), ("line_id", "stop_id", "hour"))
+
+
+def _at_levels(df: DataFrame) -> DataFrame:
+    """Each row once per level of DELAY_LEVELS."""
+    keys = DELAY_LEVELS[-1]
+    rows = [
+        F.struct(F.lit(i).alias("level"), *[(F.col(k) if k in level else F.lit(-1)).cast("bigint").alias(k) for k in keys])
+        for i, level in enumerate(DELAY_LEVELS)
+    ]
+    return df.withColumn("_l", F.explode(F.array(*rows))).drop(*keys).select("*", "_l.*").drop("_l")
 
 
-def option_confidence(legs: DataFrame, visits: DataFrame) -> DataFrame:
+def option_confidence(legs: DataFrame, visits: DataFrame, least: int = 5) -> DataFrame:
     """Probability that all changes of an option hold, delays taken as independent.
 
-    Per change it is the share of past delays of the line that fit the slack,
-    found by carrying the cumulative share to the slack in delay order.
+    Per change it is the share of past delays that fit the slack: of the line at that stop in
+    that hour of arrival if there are ``least`` observations, else of the line at that stop if
+    there are as many, else of the line. The shares of all levels are read off by one carry
+    of cumulative shares to the slacks in delay order. ``visits``: line_id, stop_id, hour, delay_s.
     """
-    shares = delay_shares(visits, ["line_id"], "delay_s")
-    ch = changes_of(legs)
-    both = ch.select(
-        "line_id", F.col("slack").alias("x"), F.lit(1).alias("_kind"), F.struct("option_id", "leg_no").alias("_c")
+    by = ["level", *DELAY_LEVELS[-1]]
+    fine = visits.groupBy(*DELAY_LEVELS[-1], "delay_s").agg(F.count(F.lit(1)).alias("n"))
+    counts = _at_levels(fine).groupBy(*by, "delay_s").agg(F.sum("n").alias("n"))
+    shares = delay_shares(counts, by, "delay_s", "n")
+    hour = (F.floor(F.col("arr_s") / 3600) % 24).alias("hour")
+    asked = changes_of(legs).select("option_id", "leg_no", "slack", "line_id", F.col("to_stop").alias("stop_id"), hour)
+    both = _at_levels(asked).select(
+        *by, F.col("slack").alias("x"), F.lit(1).alias("_kind"), F.struct("option_id", "leg_no").alias("_c")
     ).unionByName(
-        shares.select("line_id", F.col("delay_s").alias("x"), F.lit(0).alias("_kind"), "share"), allowMissingColumns=True
+        shares.select(*by, F.col("delay_s").alias("x"), F.lit(0).alias("_kind"), "share", "seen"), allowMissingColumns=True
     )
-    got = ordered.carry(both, ["line_id"], ["x", "_kind"], last={"_p": F.col("share")}).where("_kind = 1")
-    p = got.select("_c.option_id", F.coalesce("_p", F.lit(0.0)).alias("p"))
+    got = ordered.carry(
+        both, by, ["x", "_kind"], last={"_p": F.col("share"), "_n": F.col("seen")}, following={"_m": F.col("seen")}
+    ).where("_kind = 1")
+    enough = (F.coalesce("_n", "_m", F.lit(0)) >= least) | (F.col("level") == 0)
+    best = F.max_by(F.coalesce("_p", F.lit(0.0)), F.when(enough, F.col("level"))).alias("p")
+    p = got.groupBy("_c.option_id", "_c.leg_no").agg(best)
     held = p.groupBy("option_id").agg(
         F.when(F.min("p") <= 0, 0.0).otherwise(F.exp(F.sum(F.log(F.when(F.col("p") > 0, F.col("p")))))).alias("confidence")
     )

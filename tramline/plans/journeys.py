@@ -306,7 +306,7 @@ register_sql(
 )
 register_sql(
     "change_slack",
-    """SELECT option_id, leg_no, leg_trip, line_id, to_stop, n_dep - arr_s - 120 AS slack FROM (SELECT *,
+    """SELECT option_id, leg_no, leg_trip, line_id, to_stop, arr_s // 3600 % 24 AS arr_hour, n_dep - arr_s - 120 AS slack FROM (SELECT *,
        lead(leg_trip) OVER w AS n_trip, lead(dep_s) OVER w AS n_dep FROM legs WHERE kind = 'PT'
        WINDOW w AS (PARTITION BY option_id ORDER BY leg_no)) WHERE n_trip IS NOT NULL AND n_trip <> leg_trip""",
 )
@@ -314,15 +314,21 @@ register_sql(
 
 @query(
     "path_confidence",
-    """WITH p AS (SELECT c.option_id, c.leg_no, avg(CASE WHEN v.delay_s <= c.slack THEN 1e0 ELSE 0e0 END) AS p
-                 FROM change_slack c LEFT JOIN visits v ON v.line_id = c.line_id GROUP BY 1, 2),
+    """WITH v AS (SELECT line_id, stop_id, hour(sched) AS h, delay_s FROM visits),
+       m AS (SELECT c.option_id, c.leg_no, v.delay_s <= c.slack AS fits, v.stop_id = c.to_stop AS here,
+                    v.stop_id = c.to_stop AND v.h = c.arr_hour AS now FROM change_slack c LEFT JOIN v ON v.line_id = c.line_id),
+       n AS (SELECT option_id, leg_no, CAST(count(*) FILTER (WHERE fits) AS DOUBLE) AS f1, count(fits) AS n1,
+                    CAST(count(*) FILTER (WHERE fits AND here) AS DOUBLE) AS f2, count(*) FILTER (WHERE here) AS n2,
+                    CAST(count(*) FILTER (WHERE fits AND now) AS DOUBLE) AS f3, count(*) FILTER (WHERE now) AS n3 FROM m GROUP BY 1, 2),
+       p AS (SELECT option_id, CASE WHEN n3 >= 5 THEN f3 / n3 WHEN n2 >= 5 THEN f2 / n2 WHEN n1 > 0 THEN f1 / n1 ELSE 0 END AS p FROM n),
        held AS (SELECT option_id, CASE WHEN min(p) <= 0 THEN 0e0 ELSE exp(sum(CASE WHEN p > 0 THEN ln(p) END)) END AS confidence
                 FROM p GROUP BY 1)
        SELECT o.option_id, round(COALESCE(h.confidence, 1e0), 6) AS confidence FROM (SELECT DISTINCT option_id FROM legs) o
        LEFT JOIN held h USING (option_id)""",
 )
 def path_confidence(spark, root):
-    out = journey.option_confidence(legs(spark, root), B.visits(spark, root))
+    seen = B.visits(spark, root).select("line_id", "stop_id", F.hour("sched").alias("hour"), "delay_s")
+    out = journey.option_confidence(legs(spark, root), seen)
     return out.select("option_id", r("confidence").alias("confidence"))
 
 
