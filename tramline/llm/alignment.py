@@ -20,7 +20,6 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +33,8 @@ CACHED_UNITS, CACHED_PAIRS = 300_000, 3_000_000
 CONTAINER_DOCS, CONTAINER_ENTRIES = 1 << 15, 1_500_000
 #: Groups of more pairs of tokens than this have their equal pairs counted instead of listed.
 LARGE_GROUP = 256
+#: Kinds of rows that come back to a container, in this order.
+DOCUMENT, SCORE, POSTING = 0, 1, 2
 #: The number of units that cannot be cut off.
 UNSAFE = -1
 #: Characters of texts that are worked on together.
@@ -381,50 +382,65 @@ def pair_counts(index: DataFrame) -> DataFrame:
     return counts.withColumn("best", F.col("count") == F.max("count").over(Window.partitionBy("a")))
 
 
-def _scores(batches):
-    """Rows sorted by container, documents first; one row per document when its container ends."""
-    number, docs, low, totals, bests = None, [], [], None, None
-
-    def finish():
-        table = pa.Table.from_batches(docs)
-        places = np.concatenate(low)
-        arrays = {"n_best": pa.array(bests[places]), "count_sum": pa.array(totals[places])}
-        names = [c.split(" ")[0] for c in RESULT.split(", ")]
+class _Tally:
+    """Scores of one container's documents, from its pairs' counts and then its postings."""
+
+    def __init__(self):
+        self.docs, self.low, self.pairs = [], [], []
+        self.totals, self.bests = np.zeros(CONTAINER_DOCS, np.int64), np.zeros(CONTAINER_DOCS, np.int64)
+        self.table = None
+
+    def add(self, part: pa.RecordBatch, kind: int) -> None:
+        if kind == DOCUMENT:
+            self.docs.append(part.select(_names(DOC_COLUMNS)))
+            self.low.append(part.column("low").to_numpy())
+            return
+        key = part.column("a").to_numpy().astype(np.int64) << 16 | part.column("b").to_numpy()
+        if kind == SCORE:
+            self.pairs.append((key, part.column("count").to_numpy(), part.column("best").to_numpy(zero_copy_only=False)))
+            return
+        if self.table is None:
+            keys, counts, best = (np.concatenate(c) for c in zip(*self.pairs, strict=True))
+            order = np.argsort(keys)
+            self.table = keys[order], counts[order], best[order]
+        at = np.searchsorted(self.table[0], key)
+        counts, best = self.table[1][at].tolist(), self.table[2][at].tolist()
+        held, planes = part.column("docs").to_pylist(), part.column("planes").to_pylist()
+        for count, most, docs, more in zip(counts, best, held, planes, strict=True):
+            for times, bitmap in ((1, docs), *((1 << k, plane) for k, plane in enumerate(more))):
+                places = unpack_bitmap(bitmap)
+                self.totals[places] += count * times
+                if most:
+                    self.bests[places] += times
+
+    def rows(self) -> pa.RecordBatch:
+        table, places = pa.Table.from_batches(self.docs), np.concatenate(self.low)
+        own = {"n_best": pa.array(self.bests[places]), "count_sum": pa.array(self.totals[places])}
         return pa.RecordBatch.from_arrays(
-            [arrays[n] if n in arrays else table[n].combine_chunks() for n in names], names
+            [own[n] if n in own else table[n].combine_chunks() for n in _names(RESULT)], _names(RESULT)
         )
 
+
+def _names(schema: str) -> list[str]:
+    return [c.split(" ")[0] for c in schema.split(", ")]
+
+
+def _scores(batches):
+    """Rows sorted by container and kind; one row per document when its container ends."""
+    number, tally = None, None
     for batch in batches:
-        containers = batch.column("container").to_numpy()
-        edges = np.flatnonzero(np.r_[True, containers[1:] != containers[:-1], True]) if len(containers) else []
+        if not batch.num_rows:
+            continue
+        containers, kinds = batch.column("container").to_numpy(), batch.column("kind").to_numpy()
+        edges = np.flatnonzero(np.r_[True, (np.diff(containers) != 0) | (np.diff(kinds) != 0), True]).tolist()
         for s, e in zip(edges, edges[1:], strict=False):
-            part = batch.slice(s, e - s)
             if containers[s] != number:
-                if number is not None:
-                    yield finish()
-                number, docs, low = containers[s], [], []
-                totals, bests = np.zeros(CONTAINER_DOCS, np.int64), np.zeros(CONTAINER_DOCS, np.int64)
-            is_doc = part.column("low").is_valid()
-            own = part.filter(is_doc)
-            if own.num_rows:
-                docs.append(own.drop_columns(["container", "low", "count", "best", "docs", "planes"]))
-                low.append(own.column("low").to_numpy())
-            rest = part.filter(pc.invert(is_doc))
-            for count, best, held, planes in zip(
-                rest.column("count").to_pylist(), rest.column("best").to_pylist(), rest.column("docs").to_pylist(),
-                rest.column("planes").to_pylist(), strict=True,
-            ):
-                at = unpack_bitmap(held)
-                totals[at] += count
-                if best:
-                    bests[at] += 1
-                for k, plane in enumerate(planes):
-                    at = unpack_bitmap(plane)
-                    totals[at] += count << k
-                    if best:
-                        bests[at] += 1 << k
-    if number is not None:
-        yield finish()
+                if tally:
+                    yield tally.rows()
+                number, tally = containers[s], _Tally()
+            tally.add(batch.slice(s, e - s), int(kinds[s]))
+    if tally:
+        yield tally.rows()
 
 
 def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -437,9 +453,12 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """
     index = build_index(docs, path_a, path_b)
     counts = cut_lineage(pair_counts(index))
-    names = [c.split(" ")[0] for c in DOC_COLUMNS.split(", ")]
-    own = index.where("low IS NOT NULL").select("container", "low", *names)
-    back = index.where("a IS NOT NULL").select("container", "a", "b", "docs", "planes").join(counts, ["a", "b"])
-    rows = own.unionByName(back.select("container", "count", "best", "docs", "planes"), allowMissingColumns=True)
-    placed = rows.repartition("container").sortWithinPartitions("container", F.col("low").asc_nulls_last())
+    own = index.where("low IS NOT NULL").select("container", F.lit(DOCUMENT).alias("kind"), "low", *_names(DOC_COLUMNS))
+    held = index.where("a IS NOT NULL")
+    # counts come to the containers by pairs alone; the bitmaps move once
+    scores = held.select("container", "a", "b").join(counts, ["a", "b"])
+    scores = scores.select("container", F.lit(SCORE).alias("kind"), "a", "b", "count", "best")
+    postings = held.select("container", F.lit(POSTING).alias("kind"), "a", "b", "docs", "planes")
+    rows = own.unionByName(scores, allowMissingColumns=True).unionByName(postings, allowMissingColumns=True)
+    placed = rows.repartition("container").sortWithinPartitions("container", "kind")
     return placed.mapInArrow(_scores, RESULT)
