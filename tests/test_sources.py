@@ -95,3 +95,76 @@ def test_profile_counts_blanks(spark):
     got = {r.column_name: r for r in aggregates.profile(df, ["a", "b"]).collect()}
     assert (got["a"].n_rows, got["a"].n_distinct, got["a"].n_blank, got["a"].min_number, got["a"].max_number) == (3, 3, 1, 1.0, 30.0)
     assert (got["b"].n_distinct, got["b"].n_blank) == (1, 1)
+
+
+def test_new_days_only(spark, path):
+    def rows(*pairs):
+        return spark.createDataFrame(list(pairs), "id bigint, d string").withColumn("d", F.to_date("d"))
+
+    root = path + "/d"
+    assert sorted(writers.write_new_days(rows((1, "2024-01-01"), (2, "2024-01-02"), (9, None)), root, "d")) == [(2024, 1, 1), (2024, 1, 2)]
+    assert writers.write_new_days(rows((7, "2024-01-02"), (3, "2024-02-01")), root, "d") == [(2024, 2, 1)]
+    assert sorted(r.id for r in readers.read_partitioned(spark, root).collect()) == [1, 2, 3]
+    assert writers.write_new_days(rows((7, "2024-01-02")), root, "d") == []
+    assert writers.finished_days(spark, root).count() == 3
+
+
+def test_a_broken_run_leaves_nothing_half_visible(spark, path, monkeypatch):
+    days = [(i, f"2024-01-{i % 3 + 1:02d}") for i in range(9)]
+    df = spark.createDataFrame(days, "id bigint, d string").withColumn("d", F.to_date("d"))
+    root, real, seen = path + "/d", readers.children, []
+
+    def break_late(spark, at):
+        seen.append(at)
+        if len(seen) > 3:  # the first days are published, the manifest is not written
+            raise RuntimeError("lost")
+        return real(spark, at)
+
+    more = spark.createDataFrame([(100, "2025-05-05")], "id bigint, d string").withColumn("d", F.to_date("d"))
+    monkeypatch.setattr(writers.readers, "children", break_late)
+    with pytest.raises(RuntimeError):
+        writers.write_new_days(df.unionByName(more), root, "d")
+    monkeypatch.undo()
+    assert writers.finished_days(spark, root) is None
+    got = readers.read_partitioned(spark, root)
+    assert all(r["count"] == 3 for r in got.groupBy("day").count().collect())
+    writers.write_new_days(df, root, "d")
+    assert sorted(r.id for r in readers.read_partitioned(spark, root).collect()) == list(range(9))
+
+
+def test_block_sample_opens_drawn_blocks_only(spark, path):
+    df = spark.range(1000).withColumn("block", F.col("id") % 40)
+    df.repartition("block").write.partitionBy("block").parquet(path + "/b")
+    got = readers.block_sample(spark, path + "/b", 0.3)
+    drawn = {r.block for r in got.select("block").distinct().collect()}
+    assert 3 <= len(drawn) <= 22 and got.count() == 25 * len(drawn)
+    assert {f.split("block=")[1].split("/")[0] for f in got.inputFiles()} == {str(b) for b in drawn}
+    again = {r.block for r in readers.block_sample(spark, path + "/b", 0.3).select("block").distinct().collect()}
+    assert again == drawn and readers.block_sample(spark, path + "/b", 0.0).count() == 0
+    assert readers.block_sample(spark, path + "/b", 1.0).count() == 1000
+
+
+def test_row_ids_follow_the_written_order(spark, path):
+    df = spark.range(0, 5000, 1, 7)
+    df.select((F.col("id") * 3).alias("x")).write.parquet(path + "/a")
+    df.select((F.col("id") * 5).alias("y")).write.option("maxRecordsPerFile", 300).parquet(path + "/b")
+    a, b = (readers.read_with_row_id(spark, path + p) for p in ("/a", "/b"))
+    got = a.join(b, "row_id").collect()
+    assert len(got) == 5000 and all(r.x == 3 * r.row_id and r.y == 5 * r.row_id for r in got)
+
+
+def test_sequence_file_round_trip(spark, path):
+    df = spark.createDataFrame([(1, "a b"), (2, "é\nline"), (3, None)], "doc_id long, text string")
+    at = writers.write_sequence_file(df, path + "/s", "doc_id", "text")
+    assert sorted(map(tuple, readers.read_sequence_file(spark, at).collect())) == [("1", "a b"), ("2", "é\nline"), ("3", "")]
+
+
+def test_frequent_keys_fill_several_partitions(spark):
+    df = spark.range(10_000).withColumn("k", F.when(F.col("id") % 10 > 0, F.lit(7)).otherwise(F.col("id") % 97))
+    df = df.withColumn("k", F.when(F.col("k") == 13, None).otherwise(F.col("k")))
+    got = shaping.spread_keys(df, ["k"], 16, ["id"]).withColumn("p", F.spark_partition_id())
+    sizes = {r.p: r["count"] for r in got.groupBy("p").count().collect()}
+    assert sum(sizes.values()) == 10_000 and max(sizes.values()) < 1.4 * 10_000 / 16
+    per_key = {r.k: r.n for r in got.groupBy("k").agg(F.countDistinct("p").alias("n")).collect()}
+    assert per_key.pop(7) == 15 and set(per_key.values()) == {1} and None in per_key
+    assert shaping.spread_keys(df.limit(0), ["k"], 4, ["id"]).count() == 0

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramline.operators import ordered
+from tramline.session import broadcast_if_small, cut_lineage
 
 MAX_PIVOT_COLUMNS = 5_000
 
@@ -40,6 +41,42 @@ def key_sample(df: DataFrame, key: str, percent: int) -> DataFrame:
     return df.where((F.col(key) * 7919) % 100 < percent)
 
 
+def key_pieces(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
+    """Per key (null included) its rows ``n``, ``pieces`` and ``first``: the partitions that it fills.
+
+    With ``partitions`` of equal size in mind, a key of more rows than one of them gets several of
+    its own; smaller keys are laid end to end and share the partitions behind those.
+    """
+    counts = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    size = counts.agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / partitions))).scalar()
+    sized = counts.withColumn("pieces", F.ceil(F.col("n") / size))
+    large = F.when(F.col("pieces") > 1, F.col("pieces")).otherwise(0)
+    small = F.when(F.col("pieces") > 1, 0).otherwise(F.col("n"))
+    sized = sized.withColumns({"_large": large, "_small": small, "_all": F.lit(0)})
+    own = ordered.running_sum(sized, ["_all"], keys, F.col("_large"), "_own")
+    shared = ordered.running_sum(own, ["_all"], keys, F.col("_small"), "_shared")
+    behind = sized.agg(F.coalesce(F.sum("_large"), F.lit(0))).scalar()
+    first = F.when(F.col("pieces") > 1, F.col("_own") - F.col("_large")).otherwise(
+        behind + F.floor((F.col("_shared") - F.col("_small")) / size)
+    )
+    return cut_lineage(shared.select(*keys, "n", "pieces", first.cast("int").alias("first")))
+
+
+def spread_keys(df: DataFrame, keys: list[str], partitions: int, salt: list[str]) -> DataFrame:
+    """Rows of a key together, but a key of very many rows in several partitions of bounded size.
+
+    Partitions are assigned from counted key sizes (see ``key_pieces``); a frequent key's rows
+    are dealt by a hash of the ``salt`` columns.
+    """
+    places = key_pieces(df, keys, partitions)
+    total = places.agg(F.max(F.col("first") + F.col("pieces"))).first()[0] or 1
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    right = broadcast_if_small(places.drop("n").withColumnsRenamed(names))
+    rows = df.join(right, [df[k].eqNullSafe(right[n]) for k, n in names.items()])
+    part = F.col("first") + F.pmod(F.xxhash64(*salt), F.col("pieces"))
+    return rows.withColumn("_part", part.cast("int")).repartitionById(int(total), "_part").drop(*names.values(), "first", "pieces", "_part")
+
+
 def hash_split(df: DataFrame, key: str, weights: dict[str, int], seed: int = 42) -> DataFrame:
     """Label every row with a split by hashing its key; stable under retries and re-partitioning."""
     bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(sum(weights.values())))

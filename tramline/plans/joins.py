@@ -12,7 +12,8 @@ from tramline.bindings import haversine_sql, register_sql
 from tramline.operators import joins, nearest, shaping, spatial
 from tramline.plans.util import bigint, r
 from tramline.registry import query
-from tramline.session import broadcast_if_small, table
+from tramline.session import broadcast_if_small, cut_lineage, scratch_path, table
+from tramline.sources import readers
 
 
 @query(
@@ -320,10 +321,13 @@ def join_nearest_time(spark, root):
     "SELECT event_id, round(value * 2, 6) AS a, round(value + 1, 6) AS b FROM events",
 )
 def join_by_row_id(spark, root):
-    e = table(spark, root, "events").select("event_id", "value")
-    first = e.select("event_id", r(F.col("value") * 2).alias("a"))
-    second = e.select("event_id", r(F.col("value") + 1).alias("b"))
-    return first.join(second, "event_id")
+    """Two written prediction sets without a common column meet by the places of their rows."""
+    e = cut_lineage(table(spark, root, "events").select("event_id", "value"))
+    first, second = scratch_path(spark, "first"), scratch_path(spark, "second")
+    e.select("event_id", r(F.col("value") * 2).alias("a")).write.parquet(first)
+    e.select(r(F.col("value") + 1).alias("b")).write.parquet(second)
+    both = readers.read_with_row_id(spark, first).join(readers.read_with_row_id(spark, second), "row_id")
+    return both.select("event_id", "a", "b")
 
 
 @query(

@@ -8,7 +8,7 @@ from tramline import bindings as B
 from tramline.operators import shaping
 from tramline.plans.sources import NESTED, nested_events
 from tramline.registry import query
-from tramline.session import table
+from tramline.session import scratch_path, table
 from tramline.sources import readers
 
 
@@ -119,9 +119,20 @@ def limit_take(spark, root):
     )
 
 
-@query("sample_rows", "SELECT event_id, value FROM events WHERE (event_id * 7919) % 100 < 20")
+@query(
+    "sample_rows",
+    """SELECT 'keys' AS method, event_id, value FROM events WHERE (event_id * 7919) % 100 < 20 UNION ALL
+       SELECT 'blocks', event_id, value FROM events
+       WHERE CAST('0x' || substr(md5('block=' || (event_id % 50)), 1, 8) AS BIGINT) < 0.2 * 4294967296""",
+)
 def sample_rows(spark, root):
-    return shaping.key_sample(table(spark, root, "events"), "event_id", 20).select("event_id", "value")
+    """A fifth of the keys, and a fifth of the blocks of the same rows laid out in 50 blocks."""
+    e = table(spark, root, "events").select("event_id", "value")
+    keys = shaping.key_sample(e, "event_id", 20)
+    path = scratch_path(spark, "blocks")
+    e.withColumn("block", F.col("event_id") % 50).repartition("block").write.partitionBy("block").parquet(path)
+    blocks = readers.block_sample(spark, path, 0.2).select("event_id", "value")
+    return keys.withColumn("method", F.lit("keys")).unionByName(blocks.withColumn("method", F.lit("blocks")))
 
 
 @query("sample_seeded")
@@ -266,10 +277,14 @@ def rdd_map_filter(spark, root):
     return x.where("squared % 3 = 1")
 
 
-@query("repartition_by_key", "SELECT line_id, 1 AS partitions, count(*) AS n FROM visits GROUP BY line_id")
+@query(
+    "repartition_by_key",
+    """SELECT line_id, CAST(ceil(n / ceil((SELECT count(*) FROM visits) / 16e0)) AS BIGINT) AS partitions, n
+       FROM (SELECT line_id, count(*) AS n FROM visits GROUP BY line_id)""",
+)
 def repartition_by_key(spark, root):
     v = B.visits(spark, root).select("line_id", "event_id")
-    placed = v.repartition(16, "line_id").withColumn("part", F.spark_partition_id())
+    placed = shaping.spread_keys(v, ["line_id"], 16, ["event_id"]).withColumn("part", F.spark_partition_id())
     return placed.groupBy("line_id").agg(
         F.countDistinct("part").alias("partitions"), F.count(F.lit(1)).alias("n")
     )

@@ -89,9 +89,10 @@ def scan_json_nested(spark, root):
     )
 
 
-@query("scan_kv_corpus", "SELECT doc_id, length(text) AS chars FROM documents")
+@query("scan_kv_corpus", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, length(COALESCE(text, '')) AS chars FROM documents")
 def scan_kv_corpus(spark, root):
-    return table(spark, root, "documents").select("doc_id", bigint(F.length("text")).alias("chars"))
+    path = writers.write_sequence_file(table(spark, root, "documents"), scratch_path(spark, "corpus"), "doc_id", "text")
+    return readers.read_sequence_file(spark, path).select("doc_id", bigint(F.length("text")).alias("chars"))
 
 
 @query("scan_json_map", "SELECT CAST(doc_id AS VARCHAR) AS id, title, birth_year, language FROM meta")
@@ -184,10 +185,15 @@ def write_csv(spark, root):
     " round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1, 2",
 )
 def write_partitioned(spark, root):
+    """Two runs over one folder: the second one finds the days of the first one finished."""
     df = table(spark, root, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     # one directory per month keeps the number of small files low at this scale
     monthly = df.withColumn("month_start", F.trunc("o_orderdate", "month"))
-    path = writers.write_by_date(monthly, scratch_path(spark, "by_date"), "month_start")
+    path = scratch_path(spark, "by_date")
+    writers.write_new_days(monthly.where("year(o_orderdate) < 1995"), path, "month_start")
+    # old months come again with other prices and must not be written
+    again = monthly.withColumn("o_totalprice", F.when(F.year("o_orderdate") < 1995, 0.0).otherwise(F.col("o_totalprice")))
+    writers.write_new_days(again, path, "month_start")
     got = readers.read_partitioned(spark, path)
     return got.groupBy(bigint("year").alias("year"), bigint("month").alias("month")).agg(
         F.count(F.lit(1)).alias("n"), r(F.sum("o_totalprice"), 2).alias("total")
@@ -228,11 +234,15 @@ def insert_select(spark, root):
 
 @query("schema_ddl", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def schema_ddl(spark, root):
-    writers.create_schema(spark, "tramline_lab")
-    df = table(spark, root, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    name = f"tramline_lab.{unique_name('event_counts')}"
-    writers.create_table_as(df, name, scratch_path(spark, "lab"))
-    return spark.table(name)
+    """Create and use a schema of its own, fill a table by its bare name, read it back, drop all."""
+    name, before = unique_name("lab"), spark.catalog.currentDatabase()
+    writers.create_schema(spark, name, use=True)
+    try:
+        df = table(spark, root, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+        return cut_lineage(writers.create_table_as(df, "event_counts", scratch_path(spark, "lab")))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        writers.drop_schema(spark, name)
 
 
 @query("materialize", "SELECT sensor, count(value) AS n, round(max(value), 6) AS top FROM readings GROUP BY sensor")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tramline.session import broadcast_if_small, cut_lineage
+
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
@@ -61,6 +64,43 @@ def read_sequence_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.sparkContext.sequenceFile(path).toDF("doc_id string, text string")
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible files and directories in ``path``, from the file system's listing alone."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
+    return sorted(n for n in (s.getPath().getName() for s in found) if not n.startswith(("_", ".")))
+
+
+def block_sample(spark: SparkSession, path: str, fraction: float, seed: str = "") -> DataFrame:
+    """A share of the blocks of a Parquet data set; blocks that are not drawn are neither opened nor listed further.
+
+    Blocks are the directories of a partitioned layout, or the files of a plain one. A block is
+    drawn by a hash of its name, so the same on every run and independent of other blocks; rows
+    of one block come together, which makes the sample cheap and, for clustered data, uneven.
+    """
+    drawn = [n for n in children(spark, path) if int(hashlib.md5((seed + n).encode()).hexdigest()[:8], 16) < fraction * 2**32]
+    reader = spark.read.option("basePath", path)
+    if not drawn:
+        return reader.parquet(path).limit(0)
+    return reader.parquet(*[f"{path}/{n}" for n in drawn])
+
+
+def read_with_row_id(spark: SparkSession, path: str, out: str = "row_id") -> DataFrame:
+    """A Parquet data set with consecutive row numbers in the order it was written.
+
+    A number is the row's own index in its file, which the reader knows, plus the rows of the
+    files before it (by the number in their names). No row is sorted or moved.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    sizes = rows.groupBy("_file").agg((F.max("_at") + 1).alias("_n"))
+    part = F.regexp_extract("_file", r"part-(\d+)", 1).cast("bigint")
+    # one row per file
+    ahead = Window.orderBy(part, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_file", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    placed = rows.join(broadcast_if_small(cut_lineage(before)), "_file")
+    return placed.withColumn(out, F.col("_before") + F.col("_at")).drop("_file", "_at", "_before")
+
+
 def describe(df: DataFrame) -> DataFrame:
     """Column position, name and type as rows."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
