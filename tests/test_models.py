@@ -2,6 +2,8 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tramline.operators import mlops, regression, repair, shaping
@@ -30,7 +32,7 @@ def lstsq(x, y):
 
 def test_cross_validation_equals_numpy(frame, data):
     x, y = data
-    grams = regression.block_grams(frame, "block", ["a", "b", "c"], "y")
+    grams = regression.block_moments(frame, "block", ["a", "b", "c"], "y")
     for fold, fit in regression.cross_validate(grams):
         beta = lstsq(x[: fold * 100], y[: fold * 100])
         assert np.allclose(fit.beta, beta, atol=1e-8)
@@ -41,17 +43,87 @@ def test_cross_validation_equals_numpy(frame, data):
 
 
 def test_elimination_drops_the_useless_feature_first(frame):
-    grams = regression.block_grams(frame, "block", ["a", "b", "c"], "y")
-    steps = regression.backward_elimination(grams, ["a", "b", "c"])
-    assert [s[0] for s in steps] == [3, 2, 1] and steps[1][1] == "c"
+    grams = regression.block_moments(frame, "block", ["a", "b", "c"], "y")
+    steps = regression.backward_elimination(grams)
+    assert [s.use for s in steps] == [(0, 1, 2), (0, 1), (1,)] and steps[1].changed == 2
     forward = regression.forward_by_rank(grams, [1, 0, 2])
-    assert forward[0][1] < forward[1][1]
+    assert forward[0].r2 < forward[1].r2 and set(regression.best_step(forward).use) >= {0, 1}
+
+
+def test_moments_far_from_zero_and_merged(spark):
+    rng = np.random.default_rng(6)
+    x = 1e8 + rng.normal(size=(3000, 2))
+    y = 5e7 + x[:, 0] - 2 * x[:, 1] + rng.normal(size=3000) * 0.01
+    rows = [(i % 3, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))] + [(0, None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "block int, a double, b double, y double").repartition(7)
+    got = regression.block_moments(df, "block", ["a", "b"], "y")
+    for b in range(3):
+        z = np.c_[x, y][b::3]
+        assert got[b].n == 1000 and np.allclose(got[b].mean, z.mean(0), rtol=1e-14)
+        assert np.allclose(got[b].products, (z - z.mean(0)).T @ (z - z.mean(0)), rtol=1e-5)
+    assert regression.solve(got[0] + got[1] + got[2])[1:] == pytest.approx([1, -2], abs=1e-3)
+
+
+def test_second_degree_equals_numpy(frame, data):
+    x, y = data
+    blocks = regression.block_moments(frame, "block", ["a", "b"], "y", degree=2)
+    fits = regression.cross_validate(blocks)
+    wide = np.c_[x[:, :2], x[:, 0] ** 2, x[:, 0] * x[:, 1], x[:, 1] ** 2]
+    for fold, fit in fits:
+        beta = lstsq(wide[: fold * 100], y[: fold * 100])
+        err = y[fold * 100 : fold * 100 + 100] - np.c_[np.ones(100), wide[fold * 100 : fold * 100 + 100]] @ beta
+        assert fit.mse == pytest.approx(np.mean(err**2), rel=1e-6)
+    assert regression.best_fold(fits) == min(fits, key=lambda f: f[1].mse)[0]
+
+
+@pytest.fixture(scope="module")
+def searched(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 2))
+    rows = [(i, "a", float(v[0] * v[1] > 0), 1.0, *map(float, v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, c string, label double, weight double, x double, z double")
+    return mlops.folded(df, ["c"], ["x", "z"], "id", 2)
+
+
+def test_grid_of_boosted_trees_equals_single_fits(searched):
+    got = {(r.depth, r.rounds, r.step, r.fold): r for r in mlops.boosted_grid(searched, [2], [2, 5], [0.1, 0.3], 2).collect()}
+    assert len(got) == 4 * 3
+    for fold in (0, 1):
+        gbt = GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", maxBins=64, seed=42, maxIter=2, maxDepth=2, stepSize=0.3)
+        out = gbt.fit(searched.where(f"fold <> {fold}")).transform(searched)
+        out = out.withColumn("p", vector_to_array("rawPrediction")[1])
+        for part, rows in (("test", out.where(f"fold = {fold}")), ("train", out.where(f"fold <> {fold}"))):
+            assert got[2, 2, 0.3, fold][f"{part}_auc"] == pytest.approx(mlops.auc(rows, "label", "p").first()[0], abs=1e-9)
+    mean = (got[2, 5, 0.1, 0].test_auc + got[2, 5, 0.1, 1].test_auc) / 2
+    assert got[2, 5, 0.1, None].test_auc == pytest.approx(mean)
+
+
+def test_grid_of_forests(searched):
+    got = mlops.forest_grid(searched.drop("weight"), [3, 6], [2, 4], [16], 2).collect()
+    assert len(got) == 4 * 3 and all(0 < r.train_rmse < 0.6 and 0 < r.test_rmse < 0.7 for r in got)
+    deep = {r.depth: r.train_rmse for r in got if r.fold is None and r.trees == 6}
+    assert deep[4] < deep[2]
+
+
+def test_a_lost_job_is_not_a_broken_pipeline(spark):
+    class Lost:
+        def _to_java(self):
+            return self
+
+        def transformSchema(self, schema):
+            return schema
+
+        def fit(self, train):
+            raise RuntimeError("executor lost")
+
+    with pytest.raises(RuntimeError):
+        mlops.train_many({"a": Lost()}, spark.range(1))
 
 
 def test_collinear_features_are_solved(spark, frame):
     twice = frame.withColumn("a2", F.col("a") * 2)
-    g = regression.block_grams(twice.withColumn("block", F.lit(0)), "block", ["a", "a2"], "y")[0]
-    one = regression.block_grams(frame.withColumn("block", F.lit(0)), "block", ["a"], "y")[0]
+    g = regression.block_moments(twice.withColumn("block", F.lit(0)), "block", ["a", "a2"], "y")[0]
+    one = regression.block_moments(frame.withColumn("block", F.lit(0)), "block", ["a"], "y")[0]
     assert regression.score(g, regression.solve(g)).mse == pytest.approx(regression.score(one, regression.solve(one)).mse)
 
 

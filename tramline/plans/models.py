@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, CountVectorizer, VectorAssembler
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tramline import bindings as B
+from tramline.bindings import register_sql
 from tramline.operators import aggregates, corpus, mlops, quantiles, regression, repair, shaping, spatial, timeseries
 from tramline.plans.aggregates import QS
 from tramline.plans.transit import features
@@ -52,7 +55,22 @@ def ml_kmeans_elbow(spark, root):
     return mlops.cluster_stats(rows, "c_acctbal").withColumn("k", F.lit(k))
 
 
-PRICE = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+def fold_rows(fits):
+    """Rows of a cross-validation, in millions where squared; ``best`` marks the fold of least error."""
+    best, rows = regression.best_fold(fits), []
+    for fold, fit in fits:
+        pi = 1.96 * fit.residual_std
+        values = (fit.mse / 1e6, fit.r2, fit.residual_mean, pi / fit.n**0.5, pi)
+        rows.append((fold, int(fit.n), *[float(v) for v in values], fold == best))
+    return rows
+
+
+FOLDS = "fold bigint, n bigint, mse_millions double, r2 double, residual_mean double, ci_mean double, pi_95 double, best boolean"
+
+
+def _digits(out):
+    digits = {"mse_millions": 4, "r2": 6, "residual_mean": 2, "ci_mean": 2, "pi_95": 2}
+    return out.withColumns({c: r(c, d) for c, d in digits.items()})
 
 
 @query(
@@ -61,28 +79,53 @@ PRICE = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
               - 1) * 6 // (SELECT count(*) FROM orders) AS block FROM orders),
        f AS (SELECT fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM o, range(1, 6) g(fold) WHERE block < fold
              GROUP BY fold),
-       e AS (SELECT fold, y, y - a - b * x AS e FROM f JOIN o ON o.block = f.fold)
-       SELECT fold, count(*) AS n, round(avg(e * e) / 1e6, 4) AS mse_millions,
-       round(1 - sum(e * e) / (sum(y * y) - sum(y) * sum(y) / count(*)), 6) AS r2, round(avg(e), 2) AS residual_mean,
-       round(stddev_pop(e) * 1.96 / sqrt(count(*)), 2) AS ci_mean, round(stddev_pop(e) * 1.96, 2) AS pi_95 FROM e GROUP BY fold""",
+       e AS (SELECT fold, y, y - a - b * x AS e FROM f JOIN o ON o.block = f.fold),
+       s AS (SELECT fold, count(*) AS n, avg(e * e) AS mse, 1 - sum(e * e) / (sum(y * y) - sum(y) * sum(y) / count(*)) AS r2,
+             avg(e) AS m, stddev_pop(e) AS sd FROM e GROUP BY fold)
+       SELECT fold, n, round(mse / 1e6, 4) AS mse_millions, round(r2, 6) AS r2, round(m, 2) AS residual_mean,
+       round(sd * 1.96 / sqrt(n), 2) AS ci_mean, round(sd * 1.96, 2) AS pi_95, mse = min(mse) OVER () AS best FROM s""",
 )
 def ml_linreg_cv(spark, root):
-    """Expanding-window cross-validation from one Gramian per block."""
+    """Expanding-window cross-validation from one matrix of moments per block."""
     o = table(spark, root, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
     ranked = shaping.dense_index(o, ["o_orderdate", "o_orderkey"], "pos")
     total = o.agg(F.count(F.lit(1)))
     blocks = ranked.withColumn("block", F.floor(F.col("pos") * 6 / total.scalar()))
-    grams = regression.block_grams(blocks, "block", ["o_custkey"], "o_totalprice")
-    rows = []
-    for fold, fit in regression.cross_validate(grams):
-        pi = 1.96 * fit.residual_std
-        values = (fit.mse / 1e6, fit.r2, fit.residual_mean, pi / fit.n**0.5, pi)
-        rows.append((fold, int(fit.n), *[float(v) for v in values]))
-    out = spark.createDataFrame(
-        rows, "fold bigint, n bigint, mse_millions double, r2 double, residual_mean double, ci_mean double, pi_95 double"
-    )
-    digits = {"mse_millions": 4, "r2": 6, "residual_mean": 2, "ci_mean": 2, "pi_95": 2}
-    return out.withColumns({c: r(c, d) for c, d in digits.items()})
+    fits = regression.cross_validate(regression.block_moments(blocks, "block", ["o_custkey"], "o_totalprice"))
+    return _digits(spark.createDataFrame(fold_rows(fits), FOLDS))
+
+
+#: Series of the wide matrix: the quantities that groups of suppliers shipped on a day; the last one is the target.
+SERIES = [f"s{i}" for i in range(94)]
+NEIGHBOURS, TARGET = SERIES[:-1], SERIES[-1]
+
+register_sql(
+    "series",
+    """SELECT d.day, g.grp, COALESCE(v.q, 0e0) AS q, block FROM
+       (SELECT day, (row_number() OVER (ORDER BY day) - 1) * 6 // count(*) OVER () AS block
+        FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem)) d
+       CROSS JOIN range(94) g(grp) LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS day, l_suppkey % 94 AS grp,
+       CAST(sum(l_quantity) AS DOUBLE) AS q FROM lineitem GROUP BY 1, 2) v ON v.day = d.day AND v.grp = g.grp""",
+)
+
+
+def wide_series(spark, root):
+    """One row per day: the target's series beside 93 neighbours', and the block of the day in time order."""
+    li = table(spark, root, "lineitem")
+    sold = li.groupBy(F.to_date("l_shipdate").alias("day"), (F.col("l_suppkey") % 94).alias("grp"))
+    sold = sold.agg(F.sum("l_quantity").cast("double").alias("q"))
+    # a declared list of series: no pass that looks for them
+    wide = sold.groupBy("day").pivot("grp", list(range(94))).agg(F.sum("q")).na.fill(0.0)
+    wide = shaping.dense_index(wide.toDF("day", *SERIES), ["day"], "pos")
+    n = sold.agg(F.countDistinct("day"))
+    return cut_lineage(wide.withColumn("block", F.floor(F.col("pos") * 6 / n.scalar())))
+
+
+@query("ml_linreg_poly")
+def ml_linreg_poly(spark, root):
+    """Three neighbours with their squares and products, in expanding folds."""
+    fits = regression.cross_validate(regression.block_moments(wide_series(spark, root), "block", NEIGHBOURS[:3], TARGET, degree=2))
+    return spark.createDataFrame(fold_rows(fits), FOLDS)
 
 
 REPAIR_STEP, REPAIR_FROM = 21600, 1705276800  # six hours; good from 2024-01-15
@@ -117,48 +160,49 @@ def ml_ema_score(spark, root):
     )
 
 
-def _bin(c: str) -> str:
-    return f"least(floor(({c} - (SELECT min({c}) FROM lineitem)) / CAST((SELECT max({c}) - min({c}) FROM lineitem) AS DOUBLE) * 16), 15)"
+_BINS = "least(floor(({0} - lo) / CASE WHEN hi > lo THEN hi - lo ELSE 1 END * 16), 15)"
 
 
 @query(
     "ml_select_mutual_info",
-    "WITH j AS ("
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, {_bin(c)} AS x, {_bin('l_extendedprice')} AS y, count(*) AS nxy FROM lineitem GROUP BY 1, 2, 3"
-        for c in PRICE
-    )
-    + """), t AS (SELECT feature, nxy, sum(nxy) OVER (PARTITION BY feature, x) AS nx, sum(nxy) OVER
-        (PARTITION BY feature, y) AS ny, sum(nxy) OVER (PARTITION BY feature) AS n FROM j)
-        SELECT feature, round(sum(nxy / CAST(n AS DOUBLE) * ln(CAST(nxy AS DOUBLE) * CAST(n AS DOUBLE) /
-        (CAST(nx AS DOUBLE) * CAST(ny AS DOUBLE)))), 7) AS mi FROM t GROUP BY feature""",
+    f"""WITH e AS (SELECT grp, min(q) AS lo, max(q) AS hi FROM series GROUP BY grp),
+        b AS (SELECT day, grp, {_BINS.format('q')} AS x FROM series JOIN e USING (grp)),
+        j AS (SELECT f.grp, f.x, t.x AS y, count(*) AS nxy FROM b f JOIN b t ON t.day = f.day AND t.grp = 93
+              WHERE f.grp < 93 GROUP BY 1, 2, 3),
+        t AS (SELECT grp, nxy, sum(nxy) OVER (PARTITION BY grp, x) AS nx, sum(nxy) OVER (PARTITION BY grp, y) AS ny,
+              sum(nxy) OVER (PARTITION BY grp) AS n FROM j)
+        SELECT 's' || grp AS feature, round(sum(nxy / CAST(n AS DOUBLE) * ln(CAST(nxy AS DOUBLE) * CAST(n AS DOUBLE) /
+        (CAST(nx AS DOUBLE) * CAST(ny AS DOUBLE)))), 7) AS mi FROM t GROUP BY grp""",
 )
 def ml_select_mutual_info(spark, root):
-    li = table(spark, root, "lineitem").select(*PRICE, "l_extendedprice")
-    return regression.mutual_information(li, PRICE, "l_extendedprice").withColumn("mi", r("mi", 7))
+    wide = wide_series(spark, root)
+    return regression.mutual_information(wide, NEIGHBOURS, TARGET).withColumn("mi", r("mi", 7))
 
 
-def price_grams(spark, root):
-    li = table(spark, root, "lineitem").select(*PRICE, "l_extendedprice", "l_shipdate")
-    return regression.block_grams(
-        li.withColumn("block", F.year("l_shipdate")), "block", PRICE, "l_extendedprice"
-    )
+def _selection(spark, steps):
+    """One row per step, and whether its features are the best set."""
+    best = regression.best_step(steps)
+    rows = [
+        (len(s.use), None if s.changed is None else NEIGHBOURS[s.changed], float(s.r2), s is best, sorted(NEIGHBOURS[i] for i in s.use))
+        for s in steps
+    ]
+    return spark.createDataFrame(rows, "features int, changed string, r2 double, best boolean, names array<string>")
 
 
 @query("ml_select_forward")
 def ml_select_forward(spark, root):
-    """R2 with the best 1, 2, ... features in order of mutual information."""
-    li = table(spark, root, "lineitem").select(*PRICE, "l_extendedprice")
-    mi = regression.mutual_information(li, PRICE, "l_extendedprice").orderBy(F.desc("mi"), "feature").collect()
-    ranked = [PRICE.index(row["feature"]) for row in mi]
-    rows = [(k, PRICE[ranked[k - 1]], float(r2)) for k, r2 in regression.forward_by_rank(price_grams(spark, root), ranked)]
-    return spark.createDataFrame(rows, "features int, added string, r2 double")
+    """R2 with the best 1, 2, ... of 93 features in order of mutual information, and the best set."""
+    wide = wide_series(spark, root)
+    mi = {m.feature: m.mi for m in regression.mutual_information(wide, NEIGHBOURS, TARGET).collect()}
+    ranked = sorted(range(len(NEIGHBOURS)), key=lambda i: (-round(mi[NEIGHBOURS[i]], 12), i))
+    return _selection(spark, regression.forward_by_rank(regression.block_moments(wide, "block", NEIGHBOURS, TARGET), ranked))
 
 
 @query("ml_select_rfe")
 def ml_select_rfe(spark, root):
-    steps = regression.backward_elimination(price_grams(spark, root), PRICE)
-    return spark.createDataFrame([(k, d, float(v)) for k, d, v in steps], "features int, dropped string, r2 double")
+    """R2 with 93, 92, ... features, the one of smallest coefficient dropped each time, and the best set."""
+    moments = regression.block_moments(wide_series(spark, root), "block", NEIGHBOURS, TARGET)
+    return _selection(spark, regression.backward_elimination(moments))
 
 
 @query(
@@ -195,9 +239,10 @@ def ml_gbt_cls(spark, root):
     return _classify(spark, root, mlops.boosted(CATEGORIES, NUMBERS), "gbt")
 
 
-def three_models(train):
+def three_models(train, more=None):
     return mlops.train_many(
         {
+            **(more or {}),
             "lr": mlops.logistic(CATEGORIES, NUMBERS),
             "rf": mlops.forest(CATEGORIES, NUMBERS, trees=100),
             "gbt": mlops.boosted(CATEGORIES, NUMBERS, rounds=20),
@@ -208,20 +253,16 @@ def three_models(train):
 
 @query("ml_train_many")
 def ml_train_many(spark, root):
-    """AUC per model on the test part; a broken pipeline is listed with its error."""
+    """AUC on the test part of three models; a broken pipeline is listed with its error."""
     train, test = split(training_set(spark, root))
-    models, errors = mlops.train_many(
-        {"lr": mlops.logistic(CATEGORIES, NUMBERS), "broken": mlops.forest(["no_such_column"], NUMBERS)}, train
-    )
-    out = None
-    for name, model in models.items():
-        scored = model.transform(test).withColumn("p", mlops.positive(f"{name}_prob")).select("label", "p")
-        row = mlops.auc(scored, "label", "p").select(
-            F.lit(name).alias("model"), "auc", F.lit(None).cast("string").alias("error")
-        )
-        out = row if out is None else out.unionByName(row)
+    models, errors = three_models(train, {"broken": mlops.forest(["no_such_column"], NUMBERS)})
+    scored = [
+        model.transform(test).select(F.lit(name).alias("model"), "label", mlops.positive(f"{name}_prob").alias("p"))
+        for name, model in models.items()
+    ]
+    out = mlops.auc_per(reduce(lambda a, b: a.unionByName(b), scored), ["model"], "label", "p")
     bad = spark.createDataFrame([(n, None, e) for n, e in errors.items()], "model string, auc double, error string")
-    return out.unionByName(bad)
+    return out.withColumn("error", F.lit(None).cast("string")).unionByName(bad)
 
 
 _SCORED = """SELECT CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS label, round(value, 0) AS score,
@@ -262,21 +303,27 @@ def ml_feature_importance(spark, root):
 @query("ml_ensemble_mean")
 def ml_ensemble_mean(spark, root):
     train, test = split(training_set(spark, root))
-    models, _ = three_models(train)
+    models, errors = three_models(train)
+    if errors:
+        raise RuntimeError(f"the mean needs all models: {errors}")
     out = mlops.ensemble_mean(test, models)
     return out.select("event_id", "label", r("probability").alias("probability"), "prediction")
 
 
 @query("ml_grid_cv")
 def ml_grid_cv(spark, root):
-    """Average AUC per setting; the full grid is 3 depths x 3 round counts x 2 step sizes in 5 folds."""
+    """AUC on training and test rows per setting of boosted trees: 18 settings in 5 folds, and their means (fold null)."""
     train, _ = split(training_set(spark, root))
-    model = mlops.grid_search(train, CATEGORIES, NUMBERS, [3, 5], [5], [0.1, 0.3], folds=2)
-    rows = []
-    for params, auc in zip(model.getEstimatorParamMaps(), model.avgMetrics):
-        named = {p.name: v for p, v in params.items()}
-        rows.append((int(named["maxDepth"]), int(named["maxIter"]), float(named["stepSize"]), float(auc)))
-    return spark.createDataFrame(rows, "depth int, rounds int, step double, auc double")
+    data = mlops.folded(train, CATEGORIES, NUMBERS, "event_id", 5)
+    return mlops.boosted_grid(data, [3, 5, 7], [10, 20, 50], [0.1, 0.2], 5)
+
+
+@query("ml_grid_cv_regressor")
+def ml_grid_cv_regressor(spark, root):
+    """RMSE on training and test rows per setting of the residual forest: 18 settings in 3 folds, and their means (fold null)."""
+    data = shaping.hash_split(residuals(features(spark, root)), "event_id", {"0": 1, "1": 1, "2": 1})
+    data = data.select(F.col("residual_label").alias("label"), "features", F.col("split").cast("int").alias("fold"))
+    return mlops.forest_grid(cut_lineage(data), [20, 50, 100], [5, 10, 15], [32, 64], 3)
 
 
 #: Columns of the delay features that are keys, codes or the label.
@@ -289,17 +336,21 @@ def hybrid_inputs(features) -> list[str]:
     return sorted(numeric) + ["q50"]
 
 
+def residuals(df):
+    """Delay features as a vector with the baseline median per (route, stop, hour) and what is left of the delay."""
+    keys = ["route_id", "stop_id", "sched_hour"]
+    base = quantiles.discrete_quantiles(df, keys, "delay", {"q50": 0.5}).drop("n")
+    data = df.join(base, keys).withColumn("residual_label", F.col("delay") - F.col("q50"))
+    return VectorAssembler(inputCols=hybrid_inputs(df), outputCol="features").transform(data)
+
+
 def hybrid_quantile(df, trees: int = 100, depth: int = 10):
     """Predicted delay quantiles: baseline median + residual forest + residual quantile.
 
     The baseline is the median per (route, stop, hour); quantiles of the residual
     on the validation part shift the point prediction.
     """
-    keys = ["route_id", "stop_id", "sched_hour"]
-    base = quantiles.discrete_quantiles(df, keys, "delay", {"q50": 0.5}).drop("n")
-    data = df.join(base, keys).withColumn("residual_label", F.col("delay") - F.col("q50"))
-    parts = shaping.hash_split(data, "event_id", {"train": 70, "valid": 15, "test": 15})
-    parts = cut_lineage(VectorAssembler(inputCols=hybrid_inputs(df), outputCol="features").transform(parts))
+    parts = cut_lineage(shaping.hash_split(residuals(df), "event_id", {"train": 70, "valid": 15, "test": 15}))
     forest = RandomForestRegressor(labelCol="residual_label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=42)
     model = forest.fit(parts.where("split = 'train'"))
     scored = model.transform(parts.where("split <> 'train'")).withColumn("point", F.col("q50") + F.col("prediction"))
