@@ -134,7 +134,8 @@ def _on_foot(places: DataFrame, hops: DataFrame) -> DataFrame:
 class _Search:
     """Labels of a finished search: without a ride, after a ride, and boarded runs of patterns."""
 
-    def __init__(self, queries: DataFrame, timetable: DataFrame, walks: DataFrame, max_duration: int, change_s: int):
+    def __init__(self, queries: DataFrame, timetable: DataFrame, walks: DataFrame, change_s: int):
+        """``queries``: query_id, source, depart_at, horizon (the latest arrival)."""
         if change_s < 1:
             raise ValueError("changing must take time")
         self.change_s = change_s
@@ -144,9 +145,8 @@ class _Search:
         self.ready, self.landed = (LabelTable(spark, ["query_id", "stop_id"]) for _ in range(2))
         self.boarded = LabelTable(spark, ["query_id", "pattern_id"])
         origin = queries.select(
-            "query_id", F.col("source").alias("stop_id"), F.col("depart_at").alias("arrival"),
-            (F.col("depart_at") + max_duration).alias("horizon"),
-        )
+            "query_id", F.col("source").alias("stop_id"), F.col("depart_at").alias("arrival"), "horizon"
+        )
         first = origin.unionByName(_on_foot(origin, self.hops).drop("walk")).groupBy("query_id", "stop_id", "horizon")
         self.first = cut_lineage(first.agg(F.min("arrival").alias("arrival")))
 
@@ -292,7 +292,8 @@ def earliest_arrival(
     which an earlier one serves the run, and rounds end when nothing improves, so the answer is
     exact without a limit on rounds.
     """
-    search = _Search(queries, timetable, walks, max_duration, change_s)
+    asked = queries.withColumn("horizon", F.col("depart_at") + max_duration)
+    search = _Search(asked, timetable, walks, change_s)
     try:
         labels = search.run().labels()
         if times:
@@ -311,6 +312,37 @@ def isochrone(arrivals: DataFrame, queries: DataFrame, stops: DataFrame, minutes
     return j.select("query_id", "stop_id", "stop_name", "lat", "lon", band.alias("band_minutes"))
 
 
+def _search_labels(queries: DataFrame, timetable: DataFrame, walks: DataFrame, change_s: int) -> DataFrame:
+    search = _Search(queries, timetable, walks, change_s)
+    try:
+        return search.run().labels()
+    finally:
+        search.drop()
+
+
+def latest_times(queries: DataFrame, timetable: DataFrame, walks: DataFrame, change_s: int = CHANGE_SECONDS) -> DataFrame:
+    """``query_id, stop_id, board_by, leave_by``: when to be there at the latest to reach the target in time.
+
+    ``queries``: query_id, target, start, limit. ``board_by`` is the last departure of a ride from
+    the stop that arrives at the target by ``limit``, ``leave_by`` the last moment to leave it by
+    any means, after a ride. Both by planned times, from a search against time: arrivals and
+    departures change places, runs go backwards, walks too.
+    """
+    back = timetable.select(
+        "run_id", (-F.col("seq")).alias("seq"), "stop_id", (-F.col("dep_s")).alias("arr_s"), (-F.col("arr_s")).alias("dep_s")
+    )
+    first = back.groupBy("run_id").agg(F.min("seq").alias("_least"))
+    back = back.join(first, "run_id").withColumn("seq", F.col("seq") - F.col("_least") + 1).drop("_least")
+    ways = walks.select(F.col("to_stop").alias("from_stop"), F.col("from_stop").alias("to_stop"), "walk_s")
+    asked = queries.select(
+        "query_id", F.col("target").alias("source"), (-F.col("limit")).cast("bigint").alias("depart_at"),
+        (-F.col("start")).cast("bigint").alias("horizon"),
+    )
+    found = _search_labels(asked, back, ways, change_s)
+    later = F.greatest(-F.col("unridden"), -F.col("ridden") - change_s, -F.col("walked") - change_s)
+    return found.select("query_id", "stop_id", (-F.col("ridden")).alias("board_by"), later.alias("leave_by"))
+
+
 def _non_dominated(df: DataFrame, part: list[str], order: list[str]) -> DataFrame:
     """Rows walking less than every row that is at least as early (ties: first row).
 
@@ -337,7 +369,8 @@ def robust_paths(
     ``timetable``: run_id, line_id, seq, stop_id, arr_s, dep_s; ``delays``: line_id
     and the delay at each supported confidence (q50, q75, q90, q95). Arrivals are
     planned times plus the delay quantile of the line. With ``arrive_by`` only,
-    the search starts ``arrive_window`` seconds before it. Labels are kept while
+    the search starts ``arrive_window`` seconds before it. Requests and labels that cannot reach
+    the target in time even by planned times are dropped (``latest_times``). Labels are kept while
     no other label of the stop is as early with as little walking and as few
     rides; rounds, one ride each, end when no label is new, so journeys may have any
     number of rides within ``max_duration``. Source = target gives one option without legs.
@@ -348,7 +381,16 @@ def robust_paths(
         "arrive_by",
     ).withColumn("limit", F.least(F.coalesce("arrive_by", F.lit(10**9)), F.col("start") + max_duration))
     info = ["target", "confidence", "limit"]
-    moving = q.where("source <> target")
+    q = cut_lineage(q)
+    late_at = latest_times(q.where("source <> target"), timetable, walks, change_s)
+    leaving = late_at.select("query_id", F.col("stop_id").alias("source"), F.greatest("board_by", "leave_by").alias("_by"))
+    moving = q.where("source <> target").join(leaving, ["query_id", "source"]).drop("_by")
+
+    def in_time(df: DataFrame, when: str, by: str) -> DataFrame:
+        """Labels from which the target can still be reached."""
+        last = late_at.select("query_id", "stop_id", F.col(by).alias("_by"))
+        return df.join(last, ["query_id", "stop_id"]).where(F.col(when) <= F.col("_by")).drop("_by")
+
     same = q.where("source = target").select(
         "query_id", F.lit(0).alias("rides"), F.col("start").cast("bigint").alias("arrival"), F.lit(0.0).alias("walk_m"),
         F.lit(None).cast(f"array<{LEG}>").alias("legs"),
@@ -395,7 +437,7 @@ def robust_paths(
     first_walk = cut_lineage(walk(start))
     options = [first_walk.where("stop_id = target")]
     onward = first_walk.where("stop_id <> target").withColumnRenamed("arrival", "ready").select(*cols)
-    fresh_labels = cut_lineage(start.unionByName(onward))
+    fresh_labels = cut_lineage(in_time(start.unionByName(onward), "ready", "board_by").select(*cols))
     kept = fresh_labels
     while not fresh_labels.isEmpty():
         boards = fresh_labels.join(at_stop, "stop_id").where("dep_s >= ready AND dep_s <= limit")
@@ -406,13 +448,15 @@ def robust_paths(
         )
         landed = cut_lineage(arrive(rides, F.col("arr_s") + on_time, leg, 1, F.lit(0.0)))
         options.append(landed.where("stop_id = target"))
-        rest = landed.where("stop_id <> target").select(*[c if c != "ready" else F.col("arrival").alias("ready") for c in cols])
+        going = in_time(landed.where("stop_id <> target"), "arrival", "leave_by")
+        rest = going.select(*[c if c != "ready" else F.col("arrival").alias("ready") for c in cols])
         after_ride = _non_dominated(rest.withColumn("_tie", tie), part, order).drop("_tie")
         walked = walk(after_ride).withColumnRenamed("arrival", "ready").select(*cols)
         step = cut_lineage(after_ride.select(*cols).unionByName(walked))
         options.append(step.where("stop_id = target").withColumnRenamed("ready", "arrival"))
         # boarding again takes the change time, whether or not the passenger walked
         new = step.where("stop_id <> target").withColumn("ready", F.col("ready") + change_s)
+        new = in_time(new, "ready", "board_by").select(*cols)
         pool = kept.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
         pool = _non_dominated(pool.withColumn("_tie", tie), part, ["ready", "walk_m", "rides", "_new", "_tie"])
         pool = cut_lineage(pool.drop("_tie"))

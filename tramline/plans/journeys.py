@@ -256,6 +256,53 @@ def robust_paths(spark, root):
     )
 
 
+register_sql(
+    "path_requests",
+    """SELECT query_id, source, target, start, limit_s, line_id, greatest(CASE WHEN query_id % 4 = 0 THEN q50 WHEN query_id % 4 = 1
+              THEN q75 WHEN query_id % 4 = 2 THEN q90 ELSE q95 END, 0) AS late
+       FROM (SELECT query_id, source, target, CASE WHEN query_id % 2 = 1 THEN greatest(depart_at, 0) ELSE depart_at END AS start,
+             depart_at + 21600 AS limit_s FROM journey_queries),
+       (SELECT line_id, quantile_disc(delay_s, 0.5) AS q50, quantile_disc(delay_s, 0.75) AS q75, quantile_disc(delay_s, 0.9) AS q90,
+        quantile_disc(delay_s, 0.95) AS q95 FROM visits GROUP BY line_id)""",
+)
+register_sql(
+    "late_rides",
+    """SELECT a.stop_id AS from_stop, b.stop_id AS to_stop, a.dep_s, b.arr_s, a.trip_id // 2 AS line_id FROM runs a JOIN runs b
+       ON a.run_id = b.run_id AND b.seq > a.seq AND b.arr_s >= a.dep_s""",
+)
+# kinds as in labels_found; one label per distance walked, the target is not left again
+register_sql(
+    "robust_found",
+    """SELECT DISTINCT query_id, source AS stop_id, 0 AS kind, 0e0 AS walk_m, start AS reach, target, limit_s FROM path_requests
+        WHERE source <> target
+        UNION
+        SELECT n.query_id, n.stop_id, n.kind, n.walk_m, min(n.reach), any_value(n.target), any_value(n.limit_s) FROM (
+          SELECT l.query_id, h.to_stop AS stop_id, 1 AS kind, l.walk_m, h.arr_s + q.late AS reach, l.target, l.limit_s
+          FROM robust_found l JOIN late_rides h ON h.from_stop = l.stop_id
+          JOIN path_requests q ON q.query_id = l.query_id AND q.line_id = h.line_id
+          WHERE l.stop_id <> l.target AND h.dep_s >= l.reach + 120 * (l.kind % 2) AND h.dep_s <= l.limit_s AND h.arr_s + q.late <= l.limit_s
+          UNION ALL
+          SELECT l.query_id, w.to_stop, l.kind + 2, l.walk_m + w.metres, l.reach + w.walk_s, l.target, l.limit_s
+          FROM robust_found l JOIN footpaths w ON w.from_stop = l.stop_id
+          WHERE l.stop_id <> l.target AND l.kind < 2 AND l.walk_m + w.metres <= 500 AND l.reach + w.walk_s <= l.limit_s) n
+        LEFT JOIN recurring.robust_found o ON o.query_id = n.query_id AND o.stop_id = n.stop_id AND o.kind = n.kind
+             AND o.walk_m = n.walk_m
+        WHERE o.reach IS NULL OR n.reach < o.reach GROUP BY n.query_id, n.stop_id, n.kind, n.walk_m""",
+    "(query_id, stop_id, kind, walk_m, reach, target, limit_s) USING KEY (query_id, stop_id, kind, walk_m)",
+)
+
+
+@query(
+    "robust_arrival",
+    """SELECT query_id, min(reach) AS arrival FROM (SELECT query_id, reach FROM robust_found WHERE stop_id = target UNION ALL
+       SELECT query_id, start FROM path_requests WHERE source = target) GROUP BY query_id""",
+)
+def robust_arrival(spark, root):
+    """The earliest arrival of each request at its confidence, over all options of the search."""
+    options = path_options(spark, root, path_requests(spark, root))
+    return options.groupBy("query_id").agg(F.min("arrival").alias("arrival"))
+
+
 # ---- operators on given options: four consecutive stops of a run form an option of three legs
 
 
