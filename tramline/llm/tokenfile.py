@@ -37,7 +37,7 @@ def write_token_files(
     def encode(batches):
         worker, end, before = tokens.encoder(tokenizer), tokens.pack_ids([end_id]), 0
         for batch in tokens.slices(batches):
-            packed = [worker.encode(text) + end for text in tokens.texts_of(batch)]
+            packed = [ids + end for ids in worker.encode_all(tokens.texts_of(batch))]
             counts = np.array([len(p) // 4 for p in packed], np.int64)
             ends = np.cumsum(counts)
             flat = np.frombuffer(b"".join(packed), "<u4").astype(np.int32, copy=False)
@@ -73,7 +73,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = spark.read.schema(SCHEMA).orc(path).withColumn("_file", F.col("_metadata.file_name"))
     totals = rows.groupBy("_file").agg(F.sum("n_tokens").alias("_sum"))
-    ahead = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # by the number in the name, which has five digits or more
+    number = F.regexp_extract("_file", r"part-(\d+)", 1).cast("long")
+    ahead = Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("_file", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_before"))
     # written and counted first: as one row per file it is sent to all tasks, and the ids are not shuffled
     totals = broadcast_if_small(cut_lineage(totals))

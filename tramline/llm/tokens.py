@@ -11,6 +11,7 @@ safe, by a slower expression. The ids equal those of encoding the whole text.
 from __future__ import annotations
 
 import array
+import os
 import re
 import sys
 from functools import lru_cache
@@ -25,7 +26,6 @@ CACHED_UNITS = 600_000
 SLICE_ROWS = 256
 
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
-_WHITE = re.compile(r"\s")
 
 
 class _UnsafeCut(Exception):
@@ -48,7 +48,7 @@ class _Units(dict):
         self.tokenizer, self.lead = tokenizer, lead
 
     def __missing__(self, unit: str) -> bytes:
-        if not unit or _WHITE.match(unit[0]) or _WHITE.match(unit[-1]):
+        if not _safe(unit):
             raise _UnsafeCut
         if len(self) >= CACHED_UNITS:
             self.clear()
@@ -56,12 +56,17 @@ class _Units(dict):
         return ids
 
 
+def _safe(unit: str) -> bool:
+    return bool(unit) and not unit[0].isspace() and not unit[-1].isspace()
+
+
 class IdEncoder:
     """Whole texts to packed ids; exact for byte-level BPE files that cut as described above."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.spaced, self.bare = _Units(self.tokenizer, " "), _Units(self.tokenizer, "")
         self.line_break = self.whole("\n")
@@ -70,16 +75,32 @@ class IdEncoder:
         return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text; units that are new are encoded together first."""
+        parts = [[line.split(" ") for line in text.split("\n")] for text in texts]
+        first = {units[0] for lines in parts for units in lines}
+        more = set().union(*[units[1:] for lines in parts for units in lines])
+        self._learn(self.bare, first)
+        self._learn(self.spaced, more)
+        return [self._join(text, lines) for text, lines in zip(texts, parts, strict=True)]
+
+    def _learn(self, known: _Units, units: set[str]) -> None:
+        new = units.difference(known)
+        if len(known) + len(new) > CACHED_UNITS:
+            known.clear()
+            new = units
+        new = [u for u in new if _safe(u)]
+        found = self.tokenizer.encode_batch_fast([known.lead + u for u in new], add_special_tokens=False)
+        known.update(zip(new, [pack_ids(e.ids) for e in found], strict=True))
+
+    def _join(self, text: str, lines: list[list[str]]) -> bytes:
         if not text:
             return b""
         spaced, bare = self.spaced.__getitem__, self.bare
         try:
-            lines = []
-            for line in text.split("\n"):
-                units = line.split(" ")
-                head = bare[units[0]]
-                lines.append(head + b"".join(map(spaced, units[1:])) if len(units) > 1 else head)
-            return self.line_break.join(lines)
+            return self.line_break.join([bare[units[0]] + b"".join(map(spaced, units[1:])) for units in lines])
         except _UnsafeCut:
             out = []
             for unit in _SAFE_CUT.split(text):
