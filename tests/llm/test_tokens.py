@@ -124,3 +124,21 @@ def test_exchange_between_partitions(spark, low, high):
     used = check_packing(rows, 64)
     _, _, held = packing.best_fit_decreasing(np.array(lengths), 64)
     assert used <= len(held) * 1.01 + 1
+
+
+def test_equal_rows_spread_over_partitions(spark):
+    frame = spark.createDataFrame([(None, 0, 0, 1, 7)] * 20_000, packing.PLACED.split(", sequence")[0])
+    rows = packing.pack_pieces(frame, 64, 1000).collect()
+    assert len(rows) == 20_000 and check_packing(rows, 64) <= 20_000 / 64 + 20
+    assert len({r.sequence_id >> 28 for r in rows}) > 10
+
+
+def test_files_are_ordered_by_number(spark, tmp_path):
+    for number, doc_id in ((99999, 1), (100000, 2), (100001, 3)):
+        one = spark.createDataFrame([(doc_id, 0, 5, [1] * 5)], tokenfile.SCHEMA)
+        one.coalesce(1).write.orc(str(tmp_path / "one"), mode="overwrite")
+        (name,) = (tmp_path / "one").glob("part-*.orc")
+        (tmp_path / "all").mkdir(exist_ok=True)
+        (tmp_path / "all" / name.name.replace("part-00000", f"part-{number:05d}")).write_bytes(name.read_bytes())
+    got = tokenfile.read_token_files(spark, str(tmp_path / "all")).collect()
+    assert sorted((r.start, r.doc_id) for r in got) == [(0, 1), (5, 2), (10, 3)]

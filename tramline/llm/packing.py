@@ -1,17 +1,19 @@
 """Best-fit packing of tokenised documents into sequences, with certified sequence counts.
 
 Documents are cut into pieces of at most ``capacity`` tokens and dealt out to
-partitions of bounded size. Each partition runs best-fit decreasing and compares its
-number of sequences with a lower bound from dual feasible functions. Where both agree
-the packing of the partition is certified as optimal, and only its emptiest sequence, the
-rounding of the bound, is given back. Partitions with a gap keep their full sequences and
-give back all others. What is given back is exchanged: it is dealt out anew to fewer
-partitions and packed again, until one partition held all that was left.
+partitions of bounded size, each of which runs best-fit decreasing. Dual feasible functions
+give a lower bound of the sequences that all pieces need, from one histogram of their
+lengths, and another one for each partition. A partition above its own bound has a gap; but
+bins that are optimal in their partition may still waste room that others could use. So
+full sequences are kept for good, and as long as the whole is above its bound by more than
+``GAP``, the pieces of all other sequences are exchanged: dealt out anew to as many partitions
+as they still fill and packed again. The exchange ends when it saves nothing more.
 """
 
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm import tokens
+from tramline.operators import ordered
 from tramline.session import cut_lineage
 
 CAPACITY = 2048
 #: Pieces of a partition on average; bounds the memory of a task.
 PIECES_PER_PARTITION = 4096
+#: Share of sequences above the lower bound at which exchanging ends.
+GAP = 0.001
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
@@ -47,11 +52,11 @@ def tokenize_pieces(
     names = [field.split()[0] for field in schema.split(", ")]
 
     def cut(batches):
-        encode, end = tokens.encoder(tokenizer).encode, tokens.pack_ids([end_id])
+        encode, end = tokens.encoder(tokenizer).encode_all, tokens.pack_ids([end_id])
         for batch in tokens.slices(batches):
             columns: list[list] = [[] for _ in names]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), tokens.texts_of(batch), strict=True):
-                ids, start = memoryview(encode(text) + end), 0
+            for doc_id, packed in zip(batch.column("doc_id").to_pylist(), encode(tokens.texts_of(batch)), strict=True):
+                ids, start = memoryview(packed + end), 0
                 for piece, length in enumerate(cut_lengths(len(ids) // 4, capacity)):
                     part = ids[4 * start : 4 * (start + length)]
                     row = (doc_id, piece, start, length, zlib.crc32(part), *([bytes(part)] * with_ids))
@@ -72,7 +77,11 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     whole sequence and drop those below ``t``, for every t, and the stepwise functions
     u_k(x) = floor((k + 1) x) / k (x itself where (k + 1) x is whole) for k up to 20.
     """
-    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity)
+
+
+def bound_of_counts(counts: np.ndarray, capacity: int) -> int:
+    """``lower_bound`` from the number of pieces of each length."""
     sizes = np.arange(capacity + 1, dtype=np.int64)
     total = int((counts * sizes).sum())
     best = -(-total // capacity)
@@ -118,55 +127,60 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets, np.array(held, np.int64)
 
 
-def _pack_partition(capacity: int, step: int, last: bool):
-    """Pack one partition; ``again`` marks the pieces that it gives back for an exchange."""
+def _pack_partition(capacity: int, step: int):
+    """Pack one partition; ``full`` marks the pieces of full sequences."""
 
     def pack(group: pa.Table) -> pa.Table:
-        order = [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")]
-        group = group.sort_by(order)
         lengths = group["length"].to_numpy()
         bins, offsets, held = best_fit_decreasing(lengths, capacity)
-        back = held < capacity
-        if len(held) == lower_bound(lengths, capacity):
-            back &= np.arange(len(held)) == held.argmin()
-        again = back[bins] & (not last)
         base = (step << 56) + (group["part"][0].as_py() << 28)
-        out = group.select(["doc_id", "piece", "start", "length", "ids_crc32"])
-        out = out.append_column("sequence_id", pa.array(base + bins)).append_column("offset", pa.array(offsets))
-        return out.append_column("again", pa.array(again))
+        out = group.select(PIECE).append_column("sequence_id", pa.array(base + bins)).append_column("offset", pa.array(offsets))
+        return out.append_column("full", pa.array((held == capacity)[bins]))
 
     return pack
 
 
+PIECE = ["doc_id", "piece", "start", "length", "ids_crc32", "row"]
+
+
 def pack_pieces(
-    pieces: DataFrame, capacity: int = CAPACITY, pieces_per_partition: int = PIECES_PER_PARTITION
+    pieces: DataFrame, capacity: int = CAPACITY, pieces_per_partition: int = PIECES_PER_PARTITION, gap: float = GAP
 ) -> DataFrame:
     """Place pieces (``doc_id, piece, start, length, ids_crc32``) into sequences.
 
     Adds ``sequence_id`` (any numbers) and ``offset``; a sequence is filled without gaps from 0.
     Lengths must lie between 1 and ``capacity``. An empty table gives an empty table. Equal
-    rows are pieces of their own. The data that moves is these few numbers per piece.
+    rows are pieces of their own, told apart by a number that is written with them; pieces are dealt
+    out by their rank of length, so equal ones go to all partitions. The data that moves is these few numbers per piece.
     """
-    step, left, done = 0, cut_lineage(pieces.select("doc_id", "piece", "start", "length", "ids_crc32")), []
-    count, parts = left.count(), 0
-    while count or not done:
-        wanted = max(1, -(-count // pieces_per_partition))
-        # each exchange halves the partitions at least, so that the rounds end
-        parts = wanted if not done else max(1, min(wanted, parts // 2))
-        key = F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.lit(step))
-        packed = (
-            left.withColumn("part", F.pmod(key, F.lit(parts)))
-            .groupBy("part")
-            .applyInArrow(_pack_partition(capacity, step, parts == 1), PLACED + ", again boolean")
-        )
+    rows = pieces.select(*PIECE[:-1]).withColumn("row", F.monotonically_increasing_id())
+    left, done, kept, step, least = cut_lineage(rows), [], 0, 0, None
+    found = left.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = np.zeros(capacity + 1, np.int64)
+    counts[[r.length for r in found]] = [r.n for r in found]
+    bound, count = bound_of_counts(counts, capacity), int(counts.sum())
+    while True:
+        parts = max(1, -(-count // pieces_per_partition))
+        # dealt by rank of length, so that every partition has the lengths of the whole
+        ranked = ordered.row_numbers(left.withColumn("_all", F.lit(0)), ["_all"], ["length", "row"], "rank")
+        schema = PLACED.replace(", sequence_id", ", row long, sequence_id") + ", full boolean"
+        dealt = ranked.select(*PIECE, F.pmod("rank", F.lit(parts)).cast("long").alias("part"))
+        packed = dealt.groupBy("part").applyInArrow(_pack_partition(capacity, step), schema)
         packed = cut_lineage(packed)
-        done.append(packed.filter(~F.col("again")).drop("again"))
-        left = packed.filter("again").drop("again", "sequence_id", "offset")
-        count, step = left.count(), step + 1
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out
+        # a sequence begins with one piece at offset 0
+        opens = F.col("offset") == 0
+        seen = packed.agg(
+            F.count_if(opens & F.col("full")).alias("full"), F.count_if(opens).alias("all"), F.count_if(~F.col("full")).alias("rest")
+        ).first()
+        total = kept + seen["all"]
+        # nothing saved, near the bound, or all that is left was packed together
+        if (least is not None and total >= least) or total <= bound * (1 + gap) or parts == 1:
+            done.append(packed)
+            break
+        done.append(packed.filter("full"))
+        left = packed.filter("NOT full").drop("full", "sequence_id", "offset")
+        kept, count, step, least = kept + seen["full"], seen["rest"], step + 1, total
+    return reduce(DataFrame.unionByName, done).drop("full", "row")
 
 
 def pack_documents(
