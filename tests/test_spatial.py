@@ -45,7 +45,7 @@ def test_pairs_within(spark, places, metres):
 @pytest.mark.parametrize("k", [1, 4])
 def test_nearest(spark, places, k):
     sites = places[::3]
-    got = spatial.nearest(frame(spark, places, "p"), "p", frame(spark, sites, "s"), "s", k, 500.0).collect()
+    got = spatial.nearest(frame(spark, places, "p"), "p", frame(spark, sites, "s"), "s", k).collect()
     assert len(got) == k * len(places)
     for i, p in enumerate(places):
         best = sorted((dist(p, q), j) for j, q in enumerate(sites))[:k]
@@ -59,6 +59,47 @@ def test_nearest_with_fewer_sites_than_k(spark, places):
     assert spatial.nearest(frame(spark, places[:5], "p"), "p", frame(spark, places[:1], "s").where("s < 0"), "s").count() == 0
 
 
+def met_rows(spark, points, sites, k):
+    """(place, leaf) rows that a search ends with, and its result."""
+    seen, step = [], spatial._step_down
+
+    def counted(met, level, k):
+        out = spatial.cut_lineage(step(met, level, k))
+        seen.append(out.count())
+        return out
+
+    spatial._step_down = counted
+    try:
+        return spatial.nearest(points, "p", sites, "s", k).collect(), seen
+    finally:
+        spatial._step_down = step
+
+
+def test_crowded_and_lonely_places_meet_few_leaves(spark):
+    """A city of very many sites in one small cell, and points in it, near it and a continent away."""
+    crowd = spark.range(40_000).select(
+        F.col("id").alias("s"), (F.lit(46.5) + F.rand(1) / 1000).alias("lat"), (F.lit(6.6) + F.rand(2) / 1000).alias("lon")
+    )
+    spots = [(0, 46.5005, 6.6005), (1, 46.6, 6.7), (2, -33.9, 151.2), (3, 46.5, -173.4), (4, 90.0, 0.0)]
+    spots += [(10 + i, 46.5 + i / 1e5, 6.6 + i / 1e5) for i in range(100)]
+    points = spark.createDataFrame(spots, "p int, lat double, lon double")
+    sites = spatial.cut_lineage(crowd)
+    got, seen = met_rows(spark, points, sites, 3)
+    assert max(seen) < 40 * len(spots)
+    all_sites = [(r.s, r.lat, r.lon) for r in sites.collect()]
+    for p, lat, lon in spots[:5]:
+        best = sorted(dist((lat, lon), (a, b)) for _, a, b in all_sites)[:3]
+        mine = sorted(r.metres for r in got if r.p == p)
+        assert len(mine) == 3 and all(abs(a - b) < 1e-3 for a, b in zip(mine, best))
+
+
+def test_many_sites_at_one_place_and_missing_coordinates(spark):
+    sites = spark.createDataFrame([(i, 10.0, 20.0) for i in range(500)] + [(900, None, 1.0)], "s int, lat double, lon double")
+    points = spark.createDataFrame([(1, 10.0, 20.0), (2, None, 5.0), (3, -10.0, -160.0)], "p int, lat double, lon double")
+    got = sorted((r.p, r["rank"], r.s) for r in spatial.nearest(points, "p", sites, "s", 2).collect())
+    assert got == [(1, 1, 0), (1, 2, 1), (3, 1, 0), (3, 2, 1)]
+
+
 def wkb(rings, order="<"):
     out = struct.pack(order + "BII", 1 if order == "<" else 0, 3, len(rings))
     for ring in rings:

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tramline.functions.geo import EARTH_M, haversine, unit_sphere
+from tramline.operators import ordered
 from tramline.session import broadcast_if_small, cut_lineage
 
-HALF_EARTH_M = 20_100_000.0
-RADIUS_GROWTH = 4.0
+#: Sites of a leaf of the index, and nodes of the level below that one node holds.
+LEAF, FAN = 32, 16
+#: Bits of a coordinate in the order of the index.
+BITS = 21
 EDGES = T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("x1", "y1", "x2", "y2")]))
 
 
@@ -46,42 +49,103 @@ def pairs_within(a: DataFrame, b: DataFrame, metres: float) -> DataFrame:
     return pairs.select(*keep, "metres")
 
 
-def nearest(
-    points: DataFrame, point_id: str, sites: DataFrame, site_id: str, k: int = 1, start_metres: float = 2000.0
-) -> DataFrame:
+def _spread_bits(x: Column) -> Column:
+    """The lower 21 bits of a whole number, two zero bits behind each."""
+    for shift, mask in ((32, 0x1F00000000FFFF), (16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00F), (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+    return x
+
+
+def _z_order() -> list[Column]:
+    """Place on a curve through the cubes around the unit sphere that keeps near places together mostly.
+
+    Two numbers, the second one for places in the same cube of some 6 m.
+    """
+    whole = [F.floor((x + 1) * float(1 << (2 * BITS - 1))).cast("bigint") for x in unit_sphere()]
+    out = []
+    for shift in (BITS, 0):
+        code = F.lit(0).cast("bigint")
+        for i, x in enumerate(whole):
+            # the far end of an axis stays in the last cube
+            part = F.least(F.shiftright(x, shift), F.lit((1 << 2 * BITS - shift) - 1)).bitwiseAND(F.lit((1 << BITS) - 1))
+            code = code.bitwiseOR(F.shiftleft(_spread_bits(part), i))
+        out.append(code)
+    return out
+
+
+AXES = ("x", "y", "z")
+
+
+def site_tree(sites: DataFrame, site_id: str) -> tuple[DataFrame, list[DataFrame]]:
+    """Sites with their ``leaf``, and the levels of a tree over them, from the top.
+
+    Sites are cut into leaves of ``LEAF`` along a space-filling curve, so a leaf is small where
+    sites are dense and wide where they are few. A level has, per node, its number of sites, the box
+    around them on the unit sphere, and its ``parent``, the node of ``FAN`` such above it.
+    """
+    high, low = _z_order()
+    placed = sites.withColumns({"_z0": high, "_z1": low, "_all": F.lit(0)})
+    placed = ordered.row_numbers(placed, ["_all"], ["_z0", "_z1", site_id], "_row")
+    placed = cut_lineage(placed.withColumn("leaf", F.floor((F.col("_row") - 1) / LEAF)).drop("_all", "_z0", "_z1", "_row"))
+    boxed = placed.select("leaf", *[c.alias(a) for a, c in zip(AXES, unit_sphere())])
+    ends = [f(a).alias(f"{a}{i}") for a in AXES for i, f in enumerate((F.min, F.max))]
+    level = boxed.groupBy(F.col("leaf").alias("node")).agg(F.count(F.lit(1)).alias("n"), *ends)
+    levels = []
+    while True:
+        level = cut_lineage(level.withColumn("parent", F.floor(F.col("node") / FAN)))
+        levels.append(level)
+        if level.count() <= FAN:
+            return placed, levels[::-1]
+        ends = [f(f"{a}{i}").alias(f"{a}{i}") for a in AXES for i, f in enumerate((F.min, F.max))]
+        level = level.groupBy(F.col("parent").alias("node")).agg(F.sum("n").alias("n"), *ends)
+
+
+def nearest(points: DataFrame, point_id: str, sites: DataFrame, site_id: str, k: int = 1) -> DataFrame:
     """The ``k`` nearest sites of every point: ``(point_id, site_id, metres, rank)``.
 
-    Search rounds with a growing radius; a place leaves the search as soon as
-    ``k`` sites lie within the radius, so dense areas finish with small cells.
-    Points at the same place are searched once, and of many sites at one place only
-    ``k`` are looked at. Ties go to the smaller site id.
+    A search down a tree of the sites (``site_tree``). At each level a place keeps the nodes
+    whose boxes are not farther than the distance within which ``k`` sites are certain to
+    lie; so a place meets some leaves near it, however crowded or far away the sites are. There is
+    no radius to choose. Points at the same place are searched once, and of many sites at one
+    place only ``k`` are looked at. Ties go to the smaller site id; places without both
+    coordinates have no neighbours.
     """
-    wanted = min(k, sites.count())
-    left = cut_lineage(points.select("lat", "lon").distinct().withColumn("_loc", F.struct("lat", "lon")))
+    known = "lat IS NOT NULL AND lon IS NOT NULL"
+    left = points.where(known).select("lat", "lon").distinct().withColumn("_q", F.monotonically_increasing_id())
+    left = cut_lineage(left.select("*", *[c.alias(f"_{a}") for a, c in zip(AXES, unit_sphere())]))
     # of the sites at one place only the k smallest ids can be chosen
     place = Window.partitionBy("lat", "lon").orderBy(site_id)
-    sites = sites.select(site_id, "lat", "lon").withColumn("_n", F.row_number().over(place))
-    sites = cut_lineage(sites.where(F.col("_n") <= k).drop("_n"))
-    radius, found = start_metres, None
-    order = Window.partitionBy("_loc").orderBy("metres", site_id)
-    while wanted:
-        radius = min(radius, HALF_EARTH_M)
-        hits = pairs_within(left, sites, radius)
-        top = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        full = F.max("rank").over(Window.partitionBy("_loc")) >= wanted
-        top = cut_lineage(top.withColumn("_full", full).where("_full").drop("_full"))
-        found = top if found is None else found.unionByName(top)
-        left = cut_lineage(left.join(top.select("_loc").distinct(), "_loc", "left_anti"))
-        if left.isEmpty() or radius >= HALF_EARTH_M:
-            break
-        radius *= RADIUS_GROWTH
-    if found is None:
-        found = pairs_within(left, sites, 1.0).withColumn("rank", F.lit(1)).limit(0)
-    return (
-        points.select(point_id, F.struct("lat", "lon").alias("_loc"))
-        .join(found, "_loc")
-        .select(point_id, site_id, "metres", "rank")
-    )
+    sites = sites.where(known).select(site_id, "lat", "lon").withColumn("_n", F.row_number().over(place))
+    placed, levels = site_tree(sites.where(F.col("_n") <= k).drop("_n"), site_id)
+    met = left.repartition("_q").withColumn("leaf", F.lit(0).cast("bigint"))
+    for level in levels:
+        met = _step_down(met, level, k)
+    right = placed.select("leaf", site_id, F.col("lat").alias("_lat2"), F.col("lon").alias("_lon2"))
+    pairs = met.join(broadcast_if_small(right), "leaf").withColumn("metres", haversine("lat", "lon", "_lat2", "_lon2"))
+    order = Window.partitionBy("_q").orderBy("metres", site_id)
+    best = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    # written: the points of a place meet it in a join of their own
+    best = cut_lineage(best.select(F.struct("lat", "lon").alias("_loc"), site_id, "metres", "rank"))
+    return points.select(point_id, F.struct("lat", "lon").alias("_loc")).join(best, "_loc").select(point_id, site_id, "metres", "rank")
+
+
+def _step_down(met: DataFrame, level: DataFrame, k: int) -> DataFrame:
+    """Places with the nodes of ``level``, below those they have, in which their ``k`` nearest sites may lie."""
+    near, far = F.lit(0.0), F.lit(0.0)
+    for a in AXES:
+        at, lo, hi = F.col(f"_{a}"), F.col(f"{a}0"), F.col(f"{a}1")
+        outside = F.greatest(lo - at, at - hi, F.lit(0.0))
+        across = F.greatest(F.abs(at - lo), F.abs(at - hi))
+        near, far = near + outside * outside, far + across * across
+    down = met.withColumnRenamed("leaf", "parent").join(broadcast_if_small(level), "parent")
+    down = down.withColumns({"_near": near, "_far": far})
+    w = Window.partitionBy("_q")
+    upto = F.sum("n").over(w.orderBy("_far", "node").rowsBetween(Window.unboundedPreceding, 0))
+    down = down.withColumn("_upto", upto)
+    # squared chords; the margin covers rounding
+    bound = F.min(F.when(F.col("_upto") >= k, F.col("_far"))).over(w)
+    down = down.withColumn("_bound", bound).where("_bound IS NULL OR _near <= _bound * (1 + 1e-9) + 1e-15")
+    return down.select("_q", "lat", "lon", *[f"_{a}" for a in AXES], F.col("node").alias("leaf"))
 
 
 def read_wkb(blob: bytes) -> list[dict[str, float]]:
@@ -149,11 +213,9 @@ def points_in_regions(
     return points.join(inside, ["lon", "lat"]).select(*points.columns, region_id)
 
 
-def nearest_others(
-    points: DataFrame, point_id: str, sites: DataFrame, site_id: str, k: int, start_metres: float = 2000.0
-) -> DataFrame:
+def nearest_others(points: DataFrame, point_id: str, sites: DataFrame, site_id: str, k: int) -> DataFrame:
     """``nearest`` where a site is no neighbour of the point with the same id."""
-    got = nearest(points, point_id, sites, site_id, k + 1, start_metres)
+    got = nearest(points, point_id, sites, site_id, k + 1)
     others = got.where(F.col(point_id) != F.col(site_id)).drop("rank")
     w = Window.partitionBy(point_id).orderBy("metres", site_id)
     return others.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
