@@ -624,13 +624,21 @@ def long_queries(queries: DataFrame, stops: DataFrame, degrees: float = 0.5) ->
 
 
 def format_legs(legs: DataFrame, stops: DataFrame) -> DataFrame:
-    """Legs with stop names, clock times, minutes and type."""
+    """Legs with stop names, clock times, minutes and type, and a summary of the whole option on each.
+
+    The summary names the stops on the way, with the legs' types between them.
+    """
     names = stops.select("stop_id", "stop_name")
     a = names.withColumnsRenamed({"stop_id": "from_stop", "stop_name": "from_name"})
     b = names.withColumnsRenamed({"stop_id": "to_stop", "stop_name": "to_name"})
-    j = legs.join(a, "from_stop", "left").join(b, "to_stop", "left")
-    return j.select(
+    j = cut_lineage(legs.join(a, "from_stop", "left").join(b, "to_stop", "left"))
+    step = F.concat(F.lit(" -"), F.col("kind"), F.lit("- "), F.coalesce("to_name", F.lit("?")))
+    whole = j.groupBy("option_id").agg(
+        F.sort_array(F.collect_list(F.struct("leg_no", step.alias("step")))).alias("_s"), F.min_by("from_name", "leg_no").alias("_from")
+    )
+    text = F.concat(F.coalesce("_from", F.lit("?")), F.array_join(F.transform("_s", lambda x: x.step), ""))
+    return j.join(whole.select("option_id", text.alias("summary")), "option_id").select(
         "option_id", "leg_no", "kind", "from_name", "to_name",
         format_seconds("dep_s").alias("departs"), format_seconds("arr_s").alias("arrives"),
-        ((F.col("arr_s") - F.col("dep_s")) / 60).alias("minutes"),
+        ((F.col("arr_s") - F.col("dep_s")) / 60).alias("minutes"), "summary",
     )

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.session import broadcast_if_small, cut_lineage
+from tramline.session import cut_lineage
 
 CHUNK = "_chunk"
 #: Steps of a linear recurrence that are taken at once in a batch.
@@ -51,12 +51,13 @@ def _after(keys: list[str]):
 
 
 def _with_borders(rows: DataFrame, borders: DataFrame, keys: list[str]) -> DataFrame:
-    """Join the state at chunk borders, at most two keys of each chunk; null keys meet as well.
+    """Join the state at chunk borders; null keys meet as well.
 
-    Written first, so that counting it for the broadcast decision does not recompute it.
+    Only keys that cross a border have one, so there are at most two rows per chunk, however many
+    rows and keys there are: they are broadcast without being counted.
     """
     names = {k: f"_at_{i}" for i, k in enumerate([*keys, CHUNK])}
-    borders = broadcast_if_small(cut_lineage(borders.withColumnsRenamed(names)))
+    borders = F.broadcast(borders.withColumnsRenamed(names))
     same = [rows[k].eqNullSafe(borders[name]) for k, name in names.items()]
     return rows.join(borders, same, "left").drop(*names.values())
 

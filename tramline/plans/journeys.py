@@ -482,8 +482,11 @@ def path_long_query(spark, root):
 @query(
     "path_format",
     f"""SELECT option_id, leg_no, kind, a.stop_name AS from_name, b.stop_name AS to_name, {hms_sql('dep_s')} AS departs,
-        {hms_sql('arr_s')} AS arrives, round((arr_s - dep_s) / 60e0, 6) AS minutes FROM legs
-        LEFT JOIN stops a ON a.stop_id = from_stop LEFT JOIN stops b ON b.stop_id = to_stop""",
+        {hms_sql('arr_s')} AS arrives, round((arr_s - dep_s) / 60e0, 6) AS minutes,
+        first_value(COALESCE(a.stop_name, '?')) OVER w || string_agg(' -' || kind || '- ' || COALESCE(b.stop_name, '?'), '') OVER w
+        AS summary FROM legs
+        LEFT JOIN stops a ON a.stop_id = from_stop LEFT JOIN stops b ON b.stop_id = to_stop
+        WINDOW w AS (PARTITION BY option_id ORDER BY leg_no ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
 )
 def path_format(spark, root):
     out = journey.format_legs(legs(spark, root), B.stops(spark, root))

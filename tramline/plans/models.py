@@ -31,10 +31,9 @@ NUMBERS = [
 
 
 def training_set(spark, root):
-    """Delay features with label (delay > 100 s) and class weights, written once."""
+    """Delay features with label (delay > 100 s) and class weights; the features are written once, then counted."""
     f = features(spark, root).withColumn("label", (F.col("delay") > 100).cast("double"))
-    f = f.withColumn("dow_text", F.col("dow").cast("string"))
-    return cut_lineage(aggregates.class_weights(f, "label"))
+    return aggregates.class_weights(cut_lineage(f.withColumn("dow_text", F.col("dow").cast("string"))), "label")
 
 
 def split(df):
@@ -265,32 +264,38 @@ def ml_train_many(spark, root):
     return out.withColumn("error", F.lit(None).cast("string")).unionByName(bad)
 
 
-_SCORED = """SELECT CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS label, round(value, 0) AS score,
-    CASE WHEN round(value, 0) >= 40 THEN 1 ELSE 0 END AS pred FROM events"""
+_SCORED = """SELECT model, label, score, CASE WHEN score >= 40 THEN 1 ELSE 0 END AS pred FROM (
+    SELECT CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS label, UNNEST([{'model': 'value', 'score': round(value, 0)},
+    {'model': 'user', 'score': CAST(user_id % 100 AS DOUBLE)}], recursive := true) FROM events)"""
 
 
 @query(
     "ml_eval_binary",
-    f"""WITH s AS ({_SCORED}), g AS (SELECT score, sum(label) AS p, sum(1 - label) AS q FROM s GROUP BY score),
-        w AS (SELECT p, q, sum(q) OVER (ORDER BY score) - q AS below FROM g),
-        c AS (SELECT CAST(count(*) FILTER (WHERE label = 0 AND pred = 0) AS DOUBLE) AS n00,
+    f"""WITH s AS ({_SCORED}), g AS (SELECT model, score, sum(label) AS p, sum(1 - label) AS q FROM s GROUP BY 1, 2),
+        w AS (SELECT model, p, q, sum(q) OVER (PARTITION BY model ORDER BY score) - q AS below FROM g),
+        a AS (SELECT model, sum(p * (below + q / 2e0)) / (CAST(sum(p) AS DOUBLE) * sum(q)) AS auc FROM w GROUP BY model),
+        c AS (SELECT model, CAST(count(*) FILTER (WHERE label = 0 AND pred = 0) AS DOUBLE) AS n00,
                      CAST(count(*) FILTER (WHERE label = 0 AND pred = 1) AS DOUBLE) AS n01,
                      CAST(count(*) FILTER (WHERE label = 1 AND pred = 0) AS DOUBLE) AS n10,
-                     CAST(count(*) FILTER (WHERE label = 1 AND pred = 1) AS DOUBLE) AS n11 FROM s),
-        m AS (SELECT (SELECT sum(p * (below + q / 2e0)) / (CAST(sum(p) AS DOUBLE) * sum(q)) FROM w) AS auc,
+                     CAST(count(*) FILTER (WHERE label = 1 AND pred = 1) AS DOUBLE) AS n11 FROM s GROUP BY model),
+        m AS (SELECT model, auc,
               (n00 + n11) / (n00 + n01 + n10 + n11) AS accuracy, n00 / (n00 + n10) AS precision_0, n00 / (n00 + n01) AS recall_0,
               2 * n00 / (2 * n00 + n10 + n01) AS f1_0, n11 / (n11 + n01) AS precision_1, n11 / (n11 + n10) AS recall_1,
               2 * n11 / (2 * n11 + n01 + n10) AS f1_1, ((n00 + n01) * 2 * n00 / (2 * n00 + n10 + n01) +
-              (n10 + n11) * 2 * n11 / (2 * n11 + n01 + n10)) / (n00 + n01 + n10 + n11) AS weighted_f1 FROM c)
-        SELECT metric, round(value, 6) AS value FROM m UNPIVOT (value FOR metric IN (auc, accuracy, precision_0, recall_0,
-        f1_0, precision_1, recall_1, f1_1, weighted_f1))""",
+              (n10 + n11) * 2 * n11 / (2 * n11 + n01 + n10)) / (n00 + n01 + n10 + n11) AS weighted_f1 FROM c JOIN a USING (model))
+        SELECT model, metric, round(value, 6) AS value, value = max(value) OVER (PARTITION BY metric) AS best FROM m
+        UNPIVOT (value FOR metric IN (auc, accuracy, precision_0, recall_0, f1_0, precision_1, recall_1, f1_1, weighted_f1))""",
 )
 def ml_eval_binary(spark, root):
+    """Two scores of the same rows side by side, and the best of each metric."""
     scored = table(spark, root, "events").select(
-        F.col("event_type").isin("click", "view").cast("int").alias("label"), F.round("value", 0).alias("score")
+        F.col("event_type").isin("click", "view").cast("int").alias("label"),
+        F.explode(F.create_map(F.lit("value"), F.round("value", 0), F.lit("user"), (F.col("user_id") % 100).cast("double"))).alias(
+            "model", "score"
+        ),
     )
     scored = scored.withColumn("pred", (F.col("score") >= 40).cast("int"))
-    return mlops.evaluate_binary(scored, "label", "score", "pred").withColumn("value", r("value"))
+    return mlops.compare_binary(scored, "model", "label", "score", "pred").withColumn("value", r("value"))
 
 
 @query("ml_feature_importance")

@@ -65,9 +65,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     It lies in the shared folder that ``spark.checkpoint.dir`` names. Where that
     is unset it lies below the session's warehouse, which every executor writes
-    tables to as well; a machine-local temporary folder is never used.
+    tables to as well; a warehouse on a local disk is refused on a cluster.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages"
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages"
+        if base.startswith(("file:", "/")) and not sc.master.startswith("local"):
+            raise ValueError("stages need a folder that all executors share: set spark.checkpoint.dir")
     return f"{base}/tramline-{sc.applicationId}/{name}-{uuid.uuid4().hex}"
