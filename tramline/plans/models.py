@@ -278,11 +278,13 @@ _SCORED = """SELECT model, label, score, CASE WHEN score >= 40 THEN 1 ELSE 0 END
                      CAST(count(*) FILTER (WHERE label = 0 AND pred = 1) AS DOUBLE) AS n01,
                      CAST(count(*) FILTER (WHERE label = 1 AND pred = 0) AS DOUBLE) AS n10,
                      CAST(count(*) FILTER (WHERE label = 1 AND pred = 1) AS DOUBLE) AS n11 FROM s GROUP BY model),
-        m AS (SELECT model, auc,
-              (n00 + n11) / (n00 + n01 + n10 + n11) AS accuracy, n00 / (n00 + n10) AS precision_0, n00 / (n00 + n01) AS recall_0,
-              2 * n00 / (2 * n00 + n10 + n01) AS f1_0, n11 / (n11 + n01) AS precision_1, n11 / (n11 + n10) AS recall_1,
-              2 * n11 / (2 * n11 + n01 + n10) AS f1_1, ((n00 + n01) * 2 * n00 / (2 * n00 + n10 + n01) +
-              (n10 + n11) * 2 * n11 / (2 * n11 + n01 + n10)) / (n00 + n01 + n10 + n11) AS weighted_f1 FROM c JOIN a USING (model))
+        m AS (SELECT model, auc, (n00 + n11) / (n00 + n01 + n10 + n11) AS accuracy,
+              COALESCE(n00 / nullif(n00 + n10, 0), 0) AS precision_0, COALESCE(n00 / nullif(n00 + n01, 0), 0) AS recall_0,
+              COALESCE(2 * n00 / nullif(2 * n00 + n10 + n01, 0), 0) AS f1_0, COALESCE(n11 / nullif(n11 + n01, 0), 0) AS precision_1,
+              COALESCE(n11 / nullif(n11 + n10, 0), 0) AS recall_1, COALESCE(2 * n11 / nullif(2 * n11 + n01 + n10, 0), 0) AS f1_1,
+              (COALESCE((n00 + n01) * 2 * n00 / nullif(2 * n00 + n10 + n01, 0), 0) +
+               COALESCE((n10 + n11) * 2 * n11 / nullif(2 * n11 + n01 + n10, 0), 0)) / (n00 + n01 + n10 + n11) AS weighted_f1
+              FROM c JOIN a USING (model))
         SELECT model, metric, round(value, 6) AS value, value = max(value) OVER (PARTITION BY metric) AS best FROM m
         UNPIVOT (value FOR metric IN (auc, accuracy, precision_0, recall_0, f1_0, precision_1, recall_1, f1_1, weighted_f1))""",
 )
