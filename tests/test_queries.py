@@ -15,9 +15,9 @@ _spec.loader.exec_module(contract)
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-SLOW = {"ml_gbt_cls", "ml_ensemble_mean", "ml_grid_cv", "ml_random_forest_cls", "ml_kmer_classifier", "model_store"}
+SLOW = {"ml_gbt_cls", "ml_ensemble_mean", "ml_train_many", "ml_grid_cv", "ml_grid_cv_regressor", "ml_random_forest_cls", "ml_kmer_classifier", "model_store"}
 # thresholds that nothing reaches in a tiny sample
-MAY_BE_EMPTY = {"agg_having", "set_difference", "full_periods_only", "weather_flat", "qualified_trips", "visits_clean", "robust_paths", "ml_drift_repair"}
+MAY_BE_EMPTY = {"agg_having", "set_difference", "full_periods_only", "weather_flat", "qualified_trips", "visits_clean", "robust_paths", "robust_arrival", "ml_drift_repair"}
 
 
 @pytest.fixture(scope="module")

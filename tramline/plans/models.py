@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import product
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, CountVectorizer, VectorAssembler
+from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
@@ -378,17 +379,16 @@ def ml_hybrid_quantile(spark, root):
 
 
 def kmer_vectors(spark, root, k: int = 3):
-    """Sequences with their canonical k-mer frequencies as a vector."""
+    """Sequences with their canonical k-mer frequencies as a vector, one place per k-mer of the fixed vocabulary."""
+    other = str.maketrans("acgt", "tgca")
+    names = ["".join(letters) for letters in product("acgt", repeat=k)]
+    names = sorted({min(x, x.translate(other)[::-1]) for x in names})
     freq = corpus.kmer_frequencies(B.seqs(spark, root), k)
-    terms = freq.groupBy("seq_id").agg(
-        F.flatten(F.collect_list(F.array_repeat("kmer", F.col("n").cast("int")))).alias("kmers"), F.sum("n").alias("total")
-    )
-    j = terms.join(B.seqs(spark, root).select("seq_id", "promoter"), "seq_id")
-    counts = CountVectorizer(inputCol="kmers", outputCol="counts").fit(j).transform(j)
-    scaled = F.transform(vector_to_array("counts"), lambda x: x / F.col("total"))
-    return cut_lineage(counts.select("seq_id", F.col("promoter").cast("double").alias("label"), scaled.alias("f"))).withColumn(
-        "features", array_to_vector("f")
-    )
+    # a row per sequence and k-mer is all that meets; nothing is repeated by its count
+    wide = freq.groupBy("seq_id").pivot("kmer", names).agg(F.max("freq")).na.fill(0.0)
+    labels = B.seqs(spark, root).select("seq_id", F.col("promoter").cast("double").alias("label"))
+    rows = wide.join(labels, "seq_id").select("seq_id", "label", F.array(*names).alias("f"))
+    return cut_lineage(rows).withColumn("features", array_to_vector("f"))
 
 
 @query("ml_kmer_classifier")
