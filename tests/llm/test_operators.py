@@ -97,25 +97,38 @@ def prose(seed, sentences=12):
     return " ".join(" ".join(rng.choices(words, k=rng.randint(5, 9))).capitalize() + "." for _ in range(sentences))
 
 
-def plain_removal(rows):
-    """``rows``: (doc_id, text); the texts that stay, by their place."""
-    cut = [spans.sentences(t or "") for _, t in rows]
-    first: dict = {}
-    for (doc, _), parts in zip(rows, cut, strict=True):
-        for h, *_ in spans.spans(parts):
-            first[h] = min(first.get(h, doc), doc)
-    out = []
-    for (doc, text), parts in zip(rows, cut, strict=True):
-        gone, seen = set(), set()
-        for h, a, b in spans.spans(parts):
-            if h in seen or first[h] < doc:
-                gone |= set(range(a, b))
-            seen.add(h)
-        whole = list(text or "")
-        for i in gone:
-            whole[parts[i][0] : parts[i][1]] = [""] * (parts[i][1] - parts[i][0])
-        out.append((len(parts), len(gone), None if text is None else "".join(whole)))
-    return out
+def plain_runs(text, least=spans.LONG_WORDS + 1 + spans.MIN_WORDS):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + least]) for i in range(len(words) - least + 1)}
+
+
+def plain_short_runs(text):
+    return plain_runs(text, spans.MIN_WORDS)
+
+
+def check_removal(rows, got):
+    """``rows``: (doc_id, text). Long runs of words that were seen before are gone, and nothing else but what repeats."""
+    for doc, text in rows:
+        r = got[doc]
+        assert (r.text is None) == (text is None)
+        kept, at = [], 0
+        for a, b in zip(r.removed[::2], r.removed[1::2], strict=True):
+            assert at <= a < b
+            kept.append(text[at:a])
+            at = b
+            # what goes lies in runs that an earlier document, or the text itself, holds as well
+            gone = text[a:b].lower().split()
+            runs = {tuple(gone[i : i + spans.MIN_WORDS]) for i in range(len(gone) - spans.MIN_WORDS + 1)}
+            others = set().union(*(plain_short_runs(t) for d, t in rows if d < doc), set())
+            own = [tuple(x) for x in (gone[i : i + spans.MIN_WORDS] for i in range(len(gone) - spans.MIN_WORDS + 1))]
+            whole = text.lower().split()
+            twice = Counter(tuple(whole[i : i + spans.MIN_WORDS]) for i in range(len(whole) - spans.MIN_WORDS + 1))
+            assert runs and (runs & others or any(twice[x] > 1 for x in own)), (doc, gone)
+        assert r.text == (None if text is None else "".join(kept) + text[at:])
+        assert (r.n_removed > 0) == bool(r.removed) and r.n_removed <= r.n_sentences
+        for d, t in rows:
+            if d < doc:
+                assert not plain_runs(t) & plain_runs(r.text) & plain_runs(text), (d, doc)
 
 
 def test_repeated_spans(spark):
@@ -127,10 +140,12 @@ def test_repeated_spans(spark):
         "start " + " ".join(vocabulary(9)) + " end",
     ]
     got = {r.doc_id: r for r in spans.remove_repeated_spans(table(spark, texts).repartition(3)).collect()}
-    for i, expected in enumerate(plain_removal(list(enumerate(texts)))):
-        assert (got[i].n_sentences, got[i].n_removed, got[i].text) == expected, i
+    check_removal(list(enumerate(texts)), got)
     assert got[2].n_removed == 0 and got[6].text.strip() == "" and got[5].text.strip() == ""
-    assert passage not in got[4].text and passage in got[3].text and got[14].n_removed > 20
+    assert passage in got[3].text and got[13].n_removed == 0
+    # to the word at both ends, in any case and beside other words of a sentence
+    assert got[4].text.split() == prose(4).split() and got[12].text.split() == (prose(7) + " " + prose(8)).split()
+    assert got[14].text.split() == ["start", "end"] and got[8].n_removed == 0
     assert spans.remove_repeated_spans(table(spark, [])).collect() == []
 
 
