@@ -111,6 +111,19 @@ class Vocabulary:
         self.inside = np.log10((counts + 1) / mass[self.of])
 
 
+def _by_row(where: np.ndarray, grads: list[np.ndarray], size: int) -> list[np.ndarray]:
+    """Sums of the rows of each of ``grads`` by their place in a table of ``size`` rows."""
+    order = np.argsort(where.ravel().astype(np.int16), kind="stable")
+    rows = where.ravel()[order]
+    edges = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    out = []
+    for grad in grads:
+        table = np.zeros((size, grad.shape[-1]), grad.dtype)
+        table[rows[edges]] = np.add.reduceat(grad.reshape(-1, grad.shape[-1])[order], edges, axis=0)
+        out.append(table)
+    return out
+
+
 class Attention:
     """One layer of causal self-attention over classes; the class behind the last stands for the start."""
 
@@ -204,18 +217,15 @@ class Attention:
             own *= counts[at]
             g["u"][i], g["c"][i] = h[at].T @ own, own.sum(0)
             dh[at] += own @ p["u"][i].T
-        ds = dh.reshape(state.shape) * (1 - state * state)
+        ds = dh.reshape(state.shape)
+        ds *= 1 - state * state
         dw = ds @ v.transpose(0, 2, 1)
-        dw = weights * (dw - (dw * weights).sum(2, keepdims=True))
+        dw -= np.einsum("bij,bij->bi", dw, weights)[:, :, None]
+        dw *= weights
         g["near"] = np.where(self.hidden, 0, dw.sum(0))
-        scale = 1 / math.sqrt(WIDTH)
-        for name, where, grad in (
-            ("q", last, dw @ k * scale), ("k", x, dw.transpose(0, 2, 1) @ q * scale),
-            ("v", x, weights.transpose(0, 2, 1) @ ds), ("r", last, ds),
-        ):
-            table = np.zeros_like(p[name])
-            np.add.at(table, where.ravel(), grad.reshape(-1, WIDTH))
-            g[name] = table
+        scale = dw.dtype.type(1 / math.sqrt(WIDTH))
+        g["q"], g["r"] = _by_row(last, [dw @ k * scale, ds], len(p["q"]))
+        g["k"], g["v"] = _by_row(x, [dw.transpose(0, 2, 1) @ q * scale, weights.transpose(0, 2, 1) @ ds], len(p["k"]))
         return float(loss), g
 
 
@@ -252,21 +262,23 @@ class TextModel:
         packed = b"".join(map(_word_ids(self.path).__getitem__, words))
         return np.append(np.frombuffer(packed, "<u4").astype(np.int64), end)
 
-    def score(self, texts: list[list[bytes]]) -> np.ndarray:
-        """log10 probability of texts given as words."""
-        v = self.vocabulary
-        ids = [self.ids(words, len(v.of) - 1) for words in texts]
-        total = np.array([v.inside[i].sum() for i in ids])
-        x, opening, target, inside, owner = windows([v.of[i] for i in ids], v.classes)
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, float]:
+        """Classes of a text's subwords and the sum of their log10 probabilities inside the classes."""
+        ids = self.ids(words, len(self.vocabulary.of) - 1)
+        return self.vocabulary.of[ids].astype(np.int16), float(self.vocabulary.inside[ids].sum())
+
+    def score(self, sequences: list[np.ndarray]) -> np.ndarray:
+        """log10 probability of class sequences."""
+        total = np.zeros(len(sequences))
+        x, opening, target, inside, owner = windows(sequences, self.vocabulary.classes)
         for a in range(0, len(x), BATCH):
             b = slice(a, a + BATCH)
             np.add.at(total, owner[b], (self.attention.log10(x[b], opening[b], target[b]) * inside[b]).sum(1))
         return total
 
-    def windows(self, texts: list[list[bytes]]):
-        """Inputs, opening marks, targets and counting positions of texts, in small types."""
-        v = self.vocabulary
-        x, opening, target, inside, _ = windows([v.of[self.ids(words, len(v.of) - 1)] for words in texts], v.classes)
+    def windows(self, sequences: list[np.ndarray]):
+        """Inputs, opening marks, targets and counting positions of class sequences, in small types."""
+        x, opening, target, inside, _ = windows(sequences, self.vocabulary.classes)
         return x.astype(np.int16), opening, target.astype(np.int16), inside
 
     def train(self, parts, rate: float) -> int:
@@ -326,22 +338,30 @@ def subword_counts(counts: DataFrame, path: str, ends: int) -> np.ndarray:
     return total
 
 
+def sequences_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Class sequences of a batch, which are stored as two bytes each."""
+    return [np.frombuffer(raw, "<i2") for raw in batch.column("classes").to_pylist()]
+
+
 def train_rounds(train: DataFrame, model: TextModel, rounds: int = ROUNDS, shares: int = SHARES) -> TextModel:
-    """Rounds of local steps in every task and averaging; each reads other shares, and together they read all documents."""
-    share = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(shares))
+    """Rounds of local steps in every task and averaging; each reads other shares, and together they read all rows.
+
+    ``train`` has the columns ``share`` (below ``shares``) and ``classes``.
+    """
     for step in range(rounds):
         flat, rate = model.attention.flat(), RATE * (1 - step / rounds)
 
         def learn(batches, flat=flat, rate=rate):
             own = TextModel(model.path, model.vocabulary)
             own.attention.load(flat)
-            parts = [own.windows([words_of(text) for text in tokens.texts_of(batch)]) for batch in tokens.slices(batches)]
+            parts = [own.windows(sequences_of(batch)) for batch in tokens.slices(batches)]
             if parts:
                 seen = own.train(parts, rate)
                 weighted = pa.array([(own.attention.flat() * seen).tolist()], pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([weighted, pa.array([float(seen)])], ["values", "weight"])
 
-        updates = train.filter(share % rounds == step % shares).select("text").mapInArrow(learn, "values array<double>, weight double")
+        own_share = F.col("share") % rounds == step % shares
+        updates = train.filter(own_share).select("classes").mapInArrow(learn, "values array<double>, weight double")
         updates = cut_lineage(updates.withColumn("bucket", F.pmod(F.spark_partition_id(), F.lit(64))))
         if updates.isEmpty():
             continue
@@ -361,7 +381,9 @@ def score_documents(docs: DataFrame, tokenizer: str, rounds: int = ROUNDS, share
     repeated rows count each time; other columns are not read. Without training rows the baseline
     knows nothing (N = V = 0) and the model is not trained.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text", (remainder() == 2).alias("held_out"))
+    share = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(shares)).cast("int")
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select("doc_id", "text", (remainder() == 2).alias("held_out"), share.alias("share"))
     train = docs.filter(~F.col("held_out"))
     counts = cut_lineage(word_counts(train))
     ends = train.count()
@@ -369,41 +391,59 @@ def score_documents(docs: DataFrame, tokenizer: str, rounds: int = ROUNDS, share
     n, v = (size.n or 0) + ends, size.v + (ends > 0)
     log_all = math.log10(n + 1 * (v + 1))
     model = TextModel(tokenizer, Vocabulary(subword_counts(counts, tokenizer, ends)))
-    train_rounds(train, model, rounds, shares)
     top = tokens.most_frequent(counts.filter(F.length("word") <= WORD_BYTES), "n", frequent).select("word", "n").toArrow()
     table = dict(zip(top["word"].to_pylist(), np.log10(top["n"].to_numpy() + 1).tolist(), strict=True))
     context = docs.sparkSession.sparkContext
     sent_model, sent_table = context.broadcast(model), context.broadcast(table)
-    names = ["row", "doc_id", "held_out", "n_tokens", "known", "logs", "score", "rare"]
+    names = ["row", "doc_id", "held_out", "share", "n_tokens", "known", "logs", "rare", "within", "classes"]
 
-    def score(batches):
+    def encode(batches):
         own, common, row = sent_model.value, sent_table.value.get, TaskContext.get().partitionId() << 40
         for batch in tokens.slices(batches):
             texts = [words_of(text) for text in tokens.texts_of(batch)]
-            known, logs, rare = [], [], []
+            known, logs, rare, within, classes = [], [], [], [], []
             for words in texts:
                 found = np.fromiter(map(common, words, repeat(0.0)), float, len(words))
                 known.append(int(np.count_nonzero(found)))
                 logs.append(float(found.sum()))
                 rare.append([words[i] for i in np.nonzero(found == 0)[0].tolist()])
+                sequence, inside = own.encode(words)
+                within.append(inside)
+                classes.append(sequence.astype("<i2").tobytes())
             rows = np.arange(row, row + len(texts))
             row += len(texts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(rows), batch.column("doc_id"), batch.column("held_out"),
+                    pa.array(rows), *(batch.column(c) for c in ("doc_id", "held_out", "share")),
                     pa.array([len(words) + 1 for words in texts], pa.int64()), pa.array(known, pa.int64()),
-                    pa.array(logs, pa.float64()), pa.array(own.score(texts)), pa.array(rare, pa.list_(pa.binary())),
+                    pa.array(logs, pa.float64()), pa.array(rare, pa.list_(pa.binary())),
+                    pa.array(within, pa.float64()), pa.array(classes, pa.binary()),
                 ],
                 names,
             )
 
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, score double, rare array<binary>"
-    scored = cut_lineage(docs.mapInArrow(score, schema))
-    rare = scored.select("row", F.explode("rare").alias("word")).join(counts, "word")
+    schema = (
+        "row long, doc_id long, held_out boolean, share int, n_tokens long, known long, logs double, "
+        "rare array<binary>, within double, classes binary"
+    )
+    # each text is cut into subwords once; training and scoring read the classes
+    encoded = cut_lineage(docs.mapInArrow(encode, schema))
+    train_rounds(encoded.filter(~F.col("held_out")), model, rounds, shares)
+    trained = context.broadcast(model)
+    kept = ["row", "doc_id", "held_out", "n_tokens", "known", "logs"]
+
+    def score(batches):
+        for batch in tokens.slices(batches):
+            total = batch.column("within").to_numpy() + trained.value.score(sequences_of(batch))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(total)], [*kept, "score"])
+
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, score double"
+    scored = encoded.select(*kept, "within", "classes").mapInArrow(score, schema)
+    rare = encoded.select("row", F.explode("rare").alias("word")).join(counts, "word")
     rare = rare.groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_logs"))
     end = math.log10(ends + 1)
     return (
-        scored.drop("rare").join(rare, "row", "left")
+        scored.join(rare, "row", "left")
         .select(
             "doc_id", "held_out", "n_tokens",
             (F.col("known") + F.coalesce("more", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
