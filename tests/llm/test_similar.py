@@ -117,3 +117,32 @@ def test_other_texts_under_one_id_stay(spark):
     rows = [(1, long), (1, "quite another text of seven words"), (2, long + " x"), (3, "alone"), (3, "alone"), (None, long)]
     kept = similar.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(map(tuple, kept), key=repr) == sorted([rows[0], rows[1], rows[3], rows[5]], key=repr)
+
+
+def test_candidates_meet_by_fingerprints(spark):
+    """Sets of a fingerprint within its radius are found, of all other fingerprints, and none beyond it."""
+    body = ["w%d" % i for i in range(300)]
+    texts = [" ".join(body), " ".join(edited(body, 6, "a"))]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    a, b = similar.with_signature(docs, 5).orderBy("doc_id").collect()
+    schema = "set long, version long, n long, keys array<long>, bytes binary"
+    for place, bits, linked in [(0, 0b111, 1), (0, 0b1111, 0), (24, 0, 1), (9, 1 << 40, 0)]:
+        keys = [~k for k in a["keys"]]
+        keys[place] = a["keys"][place] ^ bits
+        rows = [(a.set, a.version, a.n, a["keys"], a.bytes), (b.set, b.version, b.n, keys, b.bytes)]
+        links = similar.near_links(similar.cut_lineage(spark.createDataFrame(rows, schema)), docs, 5, 0.8)
+        assert links.distinct().count() == linked, (place, bits)
+
+
+def test_fingerprints_are_simhashes_of_the_set_and_of_drawn_shingles():
+    import numpy as np
+    import xxhash
+
+    text = " ".join("w%d" % i for i in range(40))
+    hashes = [xxhash.xxh64_intdigest(" ".join(text.split()[i : i + 5]).encode(), 42) for i in range(36)]
+    shingles = similar.shingle_set(text, 5)
+    got = similar.fingerprints(shingles, similar.minima(shingles)).tolist()
+    draws = [min(hashes, key=lambda h: h * int(f) % (1 << 64)) for f in similar.FACTORS]  # noqa: B023
+    groups = [hashes] + [draws[i : i + 5] for i in range(0, len(draws), 5)]
+    assert got == [sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in g) > len(g)) for g in groups]
+    assert np.uint64(got[0]) == np.uint64(similar.majority([np.array(hashes, np.uint64)]))

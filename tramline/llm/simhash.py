@@ -52,11 +52,16 @@ def fingerprint(text: str, shingle_words: int) -> int:
     else:
         shingles = map(b" ".join, zip(*(islice(words, i, None) for i in range(shingle_words)), strict=False))
         n = len(words) - shingle_words + 1
-    hashes, ones = map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.zeros(BITS, np.int64)
-    for start in range(0, n, HASHED_AT_ONCE):
-        count = min(HASHED_AT_ONCE, n - start)
-        part = np.fromiter(hashes, "<u8", count)
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    hashes = map(xxhash.xxh64_intdigest, shingles, repeat(SEED))
+    return majority(np.fromiter(hashes, np.uint64, min(HASHED_AT_ONCE, n - s)) for s in range(0, n, HASHED_AT_ONCE))
+
+
+def majority(parts) -> int:
+    """The bits that are set in over half of all hashes of ``parts``."""
+    ones, n = np.zeros(BITS, np.int64), 0
+    for part in parts:
+        n += len(part)
+        ones += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
@@ -73,26 +78,39 @@ def with_fingerprint(docs: DataFrame, shingle_words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, "doc_id long, fingerprint long")
 
 
-def _block_keys(radius: int, equal: int):
-    """All choices of ``equal`` out of ``radius + equal`` blocks: number of the choice and the blocks' bits."""
+def block_masks(radius: int, equal: int) -> list[int]:
+    """Bits (as signed longs) of all choices of ``equal`` out of ``radius + equal`` blocks."""
     edges = np.linspace(0, BITS, radius + equal + 1).astype(int).tolist()
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
-    pairs = [sum(chosen) for chosen in combinations(masks, equal)]
-    signed = [int(np.uint64(m).astype(np.int64)) for m in pairs]
+    return [int(np.uint64(sum(chosen)).astype(np.int64)) for chosen in combinations(masks, equal)]
+
+
+def _block_keys(radius: int, equal: int):
+    """All choices of ``equal`` out of ``radius + equal`` blocks: number of the choice and the blocks' bits."""
     return F.explode(
         F.array(*[
             F.struct(F.lit(i).alias("choice"), F.col("fingerprint").bitwiseAND(F.lit(mask)).alias("bits"))
-            for i, mask in enumerate(signed)
+            for i, mask in enumerate(block_masks(radius, equal))
         ])
     )
 
 
-def _links_of(prints, pivots, side, crossed, radius):
-    """A spanning forest of the near pairs of one group: positions and the positions of their roots."""
-    apart = np.zeros((len(prints), len(prints)), np.uint8)
+def pivot_distances(prints: np.ndarray) -> np.ndarray:
+    """Differing bits of every fingerprint to every pivot."""
+    return np.bitwise_count(prints[:, None] ^ PIVOTS[None, :]).astype(np.int8)
+
+
+def may_be_near(pivots: np.ndarray, radius: int) -> np.ndarray:
+    """Which pairs of rows the distances to the pivots do not rule out."""
+    apart = np.zeros((len(pivots), len(pivots)), np.uint8)
     for column in pivots.T:
         np.maximum(apart, np.abs(column[:, None] - column[None, :]).astype(np.uint8), out=apart)
-    near = apart <= radius
+    return apart <= radius
+
+
+def _links_of(prints, pivots, side, crossed, radius):
+    """A spanning forest of the near pairs of one group: positions and the positions of their roots."""
+    near = may_be_near(pivots, radius)
     if crossed:
         near &= side[:, None] != side[None, :]
     a, b = np.nonzero(np.triu(near, 1))
@@ -117,7 +135,7 @@ def _match(radius: int):
         def links(table: pa.Table):
             numbers = {k: table[k].to_numpy() for k in (*keys, "fingerprint", "chunk")}
             prints = numbers["fingerprint"].view(np.uint64)
-            pivots = np.bitwise_count(prints[:, None] ^ PIVOTS[None, :]).astype(np.int8)
+            pivots = pivot_distances(prints)
             changed = np.any([np.diff(numbers[k]) != 0 for k in keys], axis=0)
             starts = [0, *(np.nonzero(changed)[0] + 1).tolist(), len(prints)]
             out_a, out_b = [], []

@@ -1,17 +1,23 @@
-"""Near-duplicate documents by exact Jaccard similarity of word shingles.
+"""Near-duplicate documents: candidates by SimHash fingerprints, links by exact Jaccard similarity of word shingles.
 
 1. Documents with the same set of shingles share one 64-bit number; later steps work on distinct sets.
-2. Candidates meet in ``BANDS`` equi joins, each on ``ROWS`` minima of the set's hashes: two sets of
-   similarity s meet with probability ``1 - (1 - s^ROWS)^BANDS``, which is 0.9999 at 0.8.
-   A pair is left out before verification only if its sizes cannot reach the similarity, or if
-   fewer than ``AGREE`` of all minima agree (4.8 standard deviations below the mean at 0.8).
-3. First, every set is compared with the most similar set before it in each of its buckets, and these
+2. Every set has a SimHash fingerprint of all its shingles, whose candidates are those within
+   ``RADII[0]`` bits. At a similarity of 0.8 whole fingerprints differ by some ten bits, so there
+   are ``BANDS`` more, each of ``ROWS`` shingles drawn from the set by the smallest hash under a
+   multiplier; there candidates are equal. Two sets of similarity s draw the same shingles for one of
+   them with probability ``1 - (1 - s^ROWS)^BANDS``, which is 0.9999 at 0.8.
+3. As in ``simhash``, fingerprints within a radius meet in an equi join on equal blocks of bits,
+   pairs of too large a difference of their distances to the pivots are discarded, and the
+   survivors are compared on all bits. A pair is also left out before verification if its sizes
+   cannot reach the similarity, or if fewer than ``AGREE`` of all drawn shingles agree (4.8
+   standard deviations below the mean at 0.8).
+4. First, every set is compared with the most similar set before it in each of its buckets, and these
    pairs are verified by the size of the intersection of the whole sets, in equi joins on the set's number.
-4. Then the buckets that still hold several components are compared in full, in pairs of bounded chunks:
+5. Then the buckets that still hold several components are compared in full, in pairs of bounded chunks:
    the whole sets of these members come to the task, which verifies the candidates of different
    components, each in the first bucket that they share, and sends a spanning forest of the links it
    finds. So the rows that leave grow with the sets, however many pairs lie just below the similarity.
-5. Components come from star contraction.
+6. Components come from star contraction.
 """
 
 from __future__ import annotations
@@ -25,20 +31,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm import tokens
-from tramline.llm.simhash import HASHED_AT_ONCE, SEED, components
+from tramline.llm.simhash import HASHED_AT_ONCE, SEED, block_masks, components, majority, may_be_near, pivot_distances
 from tramline.session import broadcast_if_small, cut_lineage
 
 BANDS, ROWS = 24, 5
-#: Of all minima so many agree in a candidate pair; they are compared by one byte each.
+#: Bits by which fingerprints of candidates differ at most: of whole sets, and of drawn shingles.
+RADII = [3] + [0] * BANDS
+#: Number of the fingerprint and equal blocks of each bucket in which a set stands.
+BLOCKS = [(i, mask) for i, radius in enumerate(RADII) for mask in block_masks(radius, 1 if i else 2)]
+#: Of all drawn shingles so many agree in a candidate pair; they are compared by one byte each.
 AGREE = 75
 #: Sets of a chunk, and shingles of a chunk; two chunks meet in one group.
 CHUNK, CHUNK_SHINGLES = 1024, 1 << 19
 #: Shingles whose columns of the incidence matrix are multiplied together.
 COLUMNS = 4096
-#: Shingles whose minima are taken together.
-TOGETHER = 512
-#: Odd multipliers of the hashes, one per minimum.
+#: Shingles whose minima are taken together, and pairs looked up in earlier buckets.
+TOGETHER, TOGETHER_PAIRS = 512, 1 << 13
+#: Rows of a group whose pairs are compared in all columns at once.
+FEW = 32
+#: Odd multipliers of the hashes, one per drawn shingle, and what takes a product back to its hash.
 FACTORS = np.array([xxhash.xxh64_intdigest(str(i).encode(), 11) | 1 for i in range(BANDS * ROWS)], np.uint64)
+INVERSES = np.array([pow(int(f), -1, 1 << 64) for f in FACTORS], np.uint64)
 
 
 def shingle_set(text: str, shingle_words: int) -> np.ndarray:
@@ -73,8 +86,20 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
+def fingerprints(shingles: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """SimHash of the whole set, and of each ``ROWS`` shingles of smallest products ``least``."""
+    whole = majority(shingles[s : s + HASHED_AT_ONCE] for s in range(0, len(shingles), HASHED_AT_ONCE))
+    drawn = (least * INVERSES).astype("<u8").view(np.uint8).reshape(BANDS, ROWS, 8)
+    ones = np.unpackbits(drawn, axis=2, bitorder="little").sum(1)
+    parts = np.packbits(2 * ones > ROWS, axis=1, bitorder="little").reshape(-1).view("<u8")
+    return np.concatenate([np.array([whole], np.uint64), parts])
+
+
 def with_signature(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """``doc_id, version, set, n, keys, bytes`` of every row; a null text has no words."""
+    """``doc_id, version, set, n``, fingerprints ``keys`` and ``bytes`` of the drawn shingles of every row.
+
+    A null text has no words.
+    """
 
     def compute(batches):
         for batch in tokens.slices(batches):
@@ -84,8 +109,7 @@ def with_signature(docs: DataFrame, shingle_words: int) -> DataFrame:
                 least = minima(shingles)
                 numbers.append(set_number(shingles))
                 sizes.append(len(shingles))
-                bands = [xxhash.xxh64_intdigest(b.astype("<u8").tobytes(), SEED) for b in least.reshape(BANDS, ROWS)]
-                keys.append(np.array(bands, np.uint64).view(np.int64))
+                keys.append(fingerprints(shingles, least).view(np.int64))
                 low.append((least & np.uint64(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -101,20 +125,44 @@ def with_signature(docs: DataFrame, shingle_words: int) -> DataFrame:
 
 
 def _agreement(low: np.ndarray, sizes: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """How many minima agree for each pair of rows, and which pairs (the later row first) may be similar enough."""
-    agree = np.zeros((len(low), len(low)), np.uint8)
-    for column in low.T:
-        agree += column[:, None] == column[None, :]
+    """How many drawn shingles agree for each pair of rows, and which pairs (the later row first) may be similar enough."""
+    if len(low) <= FEW:
+        agree = (low[:, None, :] == low[None, :, :]).sum(2, dtype=np.uint8)
+    else:
+        agree = np.zeros((len(low), len(low)), np.uint8)
+        for column in low.T:
+            agree += column[:, None] == column[None, :]
     near = np.tril(agree >= AGREE, -1)
     near &= np.minimum.outer(sizes, sizes) >= similarity * np.maximum.outer(sizes, sizes) - 1e-9
     return agree, near
 
 
+def _near_prints(group: pa.Table, near: np.ndarray) -> np.ndarray:
+    """Those of the pairs ``near`` whose fingerprints are within the radius: what the pivots leave is compared on all bits."""
+    prints, radius = group["print"].to_numpy().view(np.uint64), RADII[BLOCKS[group["bucket"][0].as_py()][0]]
+    # the key of a bucket without radius is the fingerprint
+    if radius and near.any():
+        near = near & may_be_near(pivot_distances(prints), radius)
+        a, b = np.nonzero(near)
+        near[a, b] = np.bitwise_count(prints[a] ^ prints[b]) <= radius
+    return near
+
+
+def _met_before(keys: np.ndarray, bucket: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of rows are candidates in a bucket of a smaller number."""
+    met, differ = np.zeros(len(a), bool), keys[a] ^ keys[b]
+    near = np.bitwise_count(differ.view(np.uint64)) <= np.array(RADII)
+    for fingerprint, mask in BLOCKS[:bucket]:
+        met |= near[:, fingerprint] & (differ[:, fingerprint] & mask == 0)
+    return met
+
+
 def _closest(similarity: float):
     """Of each row of a group the most similar candidate before it; of equal ones the last."""
 
     def pairs_of(group: pa.Table) -> list[tuple[int, int]]:
         agree, near = _agreement(_low(group), group["n"].to_numpy(), similarity)
+        near = _near_prints(group, near)
         best = len(near) - 1 - np.argmax(np.where(near, agree, 0)[:, ::-1], axis=1)
         rows = np.nonzero(near.any(1))[0]
         return list(zip(rows.tolist(), best[rows].tolist(), strict=True))
@@ -152,9 +200,11 @@ def _forest(similarity: float):
             near &= chunk[:, None] != chunk[None, :]
         if not near.any():
             return []
-        keys = np.stack([k.values.to_numpy() for k in group["keys"]])
-        for band in range(group["band"][0].as_py()):
-            near &= keys[:, None, band] != keys[None, :, band]
+        near = _near_prints(group, near)
+        keys, (a, b) = np.stack([k.values.to_numpy() for k in group["keys"]]), np.nonzero(near)
+        for start in range(0, len(a), TOGETHER_PAIRS):
+            part = slice(start, start + TOGETHER_PAIRS)
+            near[a[part], b[part]] = ~_met_before(keys, group["bucket"][0].as_py(), a[part], b[part])
         rows = np.nonzero(near.any(0) | near.any(1))[0]
         if not len(rows):
             return []
@@ -185,8 +235,8 @@ def _low(group: pa.Table) -> np.ndarray:
 
 
 def _in_groups(pairs_of):
-    """Apply ``pairs_of`` to each group (band, key, low, high) of sorted rows; pairs of set numbers."""
-    keys = ("band", "key", "low", "high")
+    """Apply ``pairs_of`` to each group (bucket, key, low, high) of sorted rows; pairs of set numbers."""
+    keys = ("bucket", "key", "low", "high")
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -247,24 +297,31 @@ def near_links(sets: DataFrame, docs: DataFrame, shingle_words: int, similarity:
 
     Not every candidate pair is returned, but every one that is similar enough is connected.
     """
-    rows = sets.filter("n > 0").select("set", "n", F.posexplode("keys").alias("band", "key"))
-    shared = rows.groupBy("band", "key").agg(F.count("*").alias("m"), F.sum("n").alias("amount")).filter("m > 1")
-    members = cut_lineage(rows.drop("n").join(shared, ["band", "key"]))
+    blocks = [
+        F.struct(F.lit(i).alias("bucket"), F.col("keys")[at].bitwiseAND(F.lit(mask)).alias("key"))
+        for i, (at, mask) in enumerate(BLOCKS)
+    ]
+    rows = sets.filter("n > 0").select("set", "n", F.inline(F.array(*blocks)))
+    shared = rows.groupBy("bucket", "key").agg(F.count("*").alias("m"), F.sum("n").alias("amount")).filter("m > 1")
+    members = cut_lineage(rows.drop("n").join(shared, ["bucket", "key"]))
     chunks = F.greatest(F.ceil(F.col("m") / chunk), F.ceil(F.col("amount") / CHUNK_SHINGLES)).cast("int")
-    dealt = members.withColumn("chunk", F.pmod(F.xxhash64("set", "band"), chunks).cast("int"))
-    group = ["band", "key", "low", "high"]
+    dealt = members.withColumn("chunk", F.pmod(F.xxhash64("set", "bucket"), chunks).cast("int"))
+    group = ["bucket", "key", "low", "high"]
+
+    place = F.array(*[F.lit(at) for at, _ in BLOCKS])
 
-    def pairs(grouped: DataFrame, looks: DataFrame, pairs_of) -> DataFrame:
-        ready = grouped.drop("m", "amount").join(looks, "set").repartition(*group).sortWithinPartitions(*group, "set")
+    def pairs(grouped: DataFrame, looks: DataFrame, pairs_of, *unused: str) -> DataFrame:
+        joined = grouped.drop("m", "amount").join(looks, "set").withColumn("print", F.col("keys")[place[F.col("bucket")]])
+        ready = joined.drop(*unused).repartition(*group).sortWithinPartitions(*group, "set")
         return ready.mapInArrow(_in_groups(pairs_of), "a long, b long")
 
     own = dealt.select("*", F.col("chunk").alias("low"), F.col("chunk").alias("high"))
-    closest = pairs(own, sets.select("set", "n", "bytes"), _closest(similarity))
+    closest = pairs(own, sets.select("set", "n", "bytes", "keys"), _closest(similarity), "keys")
     links = _verified(closest, sets, docs, shingle_words, similarity)
     tied = components(links).withColumnRenamed("node", "set")
     rooted = cut_lineage(dealt.join(tied, "set", "left").withColumn("root", F.coalesce("root", "set")))
-    several = rooted.groupBy("band", "key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
-    open_rows = cut_lineage(rooted.join(several.select("band", "key"), ["band", "key"], "left_semi"))
+    several = rooted.groupBy("bucket", "key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
+    open_rows = cut_lineage(rooted.join(several.select("bucket", "key"), ["bucket", "key"], "left_semi"))
     crossed = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1))).withColumns(
         {"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")}
     )
