@@ -142,3 +142,36 @@ def test_files_are_ordered_by_number(spark, tmp_path):
         (tmp_path / "all" / name.name.replace("part-00000", f"part-{number:05d}")).write_bytes(name.read_bytes())
     got = tokenfile.read_token_files(spark, str(tmp_path / "all")).collect()
     assert sorted((r.start, r.doc_id) for r in got) == [(0, 1), (5, 2), (10, 3)]
+
+
+def test_words_are_encoded_once_for_all_marks_behind_them(monkeypatch):
+    """A new unit of a known word and marks needs no call of the tokenizer, and the ids stay those of the library."""
+    encoder, sent = tokens.IdEncoder(BYTES), []
+    words = ["blorfing", "Ünßer", "naïveté", "a1", "x²", "dog's", "it's", "日本", "a-b", "<|endoftext|>", "k<|endoftext|>", "'s", "ʰ"]
+    marks = ["", ",", ".", "!!", "?!.", "%%%", "$$$", "###", "***", "&", ";:", "'", "',", "|>", ">.", '."', "-,"]
+    texts = [f"{a}{m} {b}{m}\n{b}{m}" for a in words for b in words for m in marks]
+    assert encoder.encode_all(texts) == [np.array(ids(t), "<u4").tobytes() for t in texts]
+    assert [encoder.encode(t) for t in texts] == [np.array(ids(t), "<u4").tobytes() for t in texts]
+    fresh = tokens.IdEncoder(BYTES)
+    fresh.encode("one blorfing two , . !! %%%")
+
+    class Spy:
+        def encode_batch_fast(self, units, **options):
+            sent.extend(units)
+            return LIBRARY.encode_batch_fast(units, **options)
+
+        def encode(self, unit, **options):
+            return LIBRARY.encode(unit, **options)
+
+    monkeypatch.setattr(fresh, "tokenizer", Spy())
+    assert fresh.encode("one blorfing, blorfing. blorfing!! blorfing%%%") == np.array(ids("one blorfing, blorfing. blorfing!! blorfing%%%"), "<u4").tobytes()
+    assert sent == []
+
+
+def test_a_cache_that_starts_anew_loses_nothing(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_UNITS", 5)
+    encoder = tokens.IdEncoder(BYTES)
+    texts = [f"a b{i}, c{i}. d\ne f{i % 3}! {TEXTS[i % len(TEXTS)]}" for i in range(60)]
+    for start in range(0, 60, 7):
+        part = texts[start : start + 7]
+        assert encoder.encode_all(part) == [np.array(ids(t), "<u4").tobytes() for t in part]

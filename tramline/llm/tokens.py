@@ -3,7 +3,8 @@
 A byte-level BPE of this family cuts a text before every single space that stands
 between two other characters, and around every single line break that does; no
 token crosses such a place. A text is therefore encoded unit by unit ("word" with
-its leading space), and equal units are encoded once per worker. Texts with other
+its leading space), and equal units are encoded once per worker. It also cuts between
+a letter and a mark such as a comma, so the marks at the end of a unit are encoded apart. Texts with other
 white space (runs of spaces, blank lines, tabs at a cut) are cut only where it is
 safe, by a slower expression. The ids equal those of encoding the whole text.
 """
@@ -15,6 +16,8 @@ import os
 import re
 import sys
 from functools import lru_cache
+from itertools import compress, repeat
+from operator import is_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +28,9 @@ CACHED_UNITS = 600_000
 #: Texts of an Arrow batch that are worked on together, so that a worker's memory stays small.
 SLICE_ROWS = 256
 
+#: Marks that are no part of a contraction; those of added tokens are not used.
+END_MARKS = ",.;:!?%$#*&"
+
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -60,6 +66,11 @@ def _safe(unit: str) -> bool:
     return bool(unit) and not unit[0].isspace() and not unit[-1].isspace()
 
 
+def _ends_in_letter(core: str) -> bool:
+    """Whether the pattern of the tokenizer certainly cuts between ``core`` and a mark behind it."""
+    return bool(core) and core[-1] < "\u0250" and core[-1].isalpha()
+
+
 class IdEncoder:
     """Whole texts to packed ids; exact for byte-level BPE files that cut as described above."""
 
@@ -70,6 +81,8 @@ class IdEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.spaced, self.bare = _Units(self.tokenizer, " "), _Units(self.tokenizer, "")
         self.line_break = self.whole("\n")
+        added = "".join(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.marks = "".join(m for m in END_MARKS if m not in added)
 
     def whole(self, text: str) -> bytes:
         return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -78,31 +91,56 @@ class IdEncoder:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text; units that are new are encoded together first."""
-        parts = [[line.split(" ") for line in text.split("\n")] for text in texts]
-        first = {units[0] for lines in parts for units in lines}
-        more = set().union(*[units[1:] for lines in parts for units in lines])
+        """Packed ids of each text; units that are new are encoded together."""
+        bare, spaced, first, more, open_lines, found = self.bare.get, self.spaced.get, set(), set(), [], []
+        for text in texts:
+            lines = []
+            for line in text.split("\n"):
+                units = line.split(" ")
+                ids = list(map(spaced, units))
+                ids[0] = bare(units[0])
+                new = list(compress(range(len(ids)), map(is_, ids, repeat(None))))
+                if new:
+                    if ids[0] is None:
+                        first.add(units[0])
+                        del new[0]
+                    more.update([units[i] for i in new])
+                    open_lines.append((units, ids, new))
+                lines.append(ids)
+            found.append(lines)
+        # what is known by now stays in ``found``, so a cache that starts anew loses nothing
         self._learn(self.bare, first)
         self._learn(self.spaced, more)
-        return [self._join(text, lines) for text, lines in zip(texts, parts, strict=True)]
+        for units, ids, new in open_lines:
+            if ids[0] is None:
+                ids[0] = bare(units[0])
+            for i in new:
+                ids[i] = spaced(units[i])
+        return [self._join(text, lines) for text, lines in zip(texts, found, strict=True)]
 
     def _learn(self, known: _Units, units: set[str]) -> None:
-        new = units.difference(known)
+        """Encode units that are not known yet; those that cannot stand alone stay unknown.
+
+        Marks at the end of a unit are cut off, so that a word is encoded once for all of them.
+        """
+        new = [u for u in units if u and u.strip() == u]
         if len(known) + len(new) > CACHED_UNITS:
             known.clear()
-            new = units
-        new = [u for u in new if _safe(u)]
-        found = self.tokenizer.encode_batch_fast([known.lead + u for u in new], add_special_tokens=False)
-        known.update(zip(new, [pack_ids(e.ids) for e in found], strict=True))
-
-    def _join(self, text: str, lines: list[list[str]]) -> bytes:
+        cut = [(u, core) for u in new if (core := u.rstrip(self.marks)) != u and _ends_in_letter(core)]
+        plain = set(new).difference([u for u, _ in cut]).union([core for _, core in cut])
+        plain = [u for u in plain if u not in known]
+        found = self.tokenizer.encode_batch_fast([known.lead + u for u in plain], add_special_tokens=False)
+        known.update(zip(plain, [pack_ids(e.ids) for e in found], strict=True))
+        tails = self.bare
+        known.update([(u, known[core] + tails[u[len(core) :]]) for u, core in cut])
+
+    def _join(self, text: str, lines: list[list[bytes | None]]) -> bytes:
         if not text:
             return b""
-        spaced, bare = self.spaced.__getitem__, self.bare
         try:
-            return self.line_break.join([bare[units[0]] + b"".join(map(spaced, units[1:])) for units in lines])
-        except _UnsafeCut:
-            out = []
+            return self.line_break.join(map(b"".join, lines))
+        except TypeError:  # an unknown unit
+            spaced, bare, out = self.spaced.__getitem__, self.bare, []
             for unit in _SAFE_CUT.split(text):
                 try:
                     out.append(spaced(unit[1:]) if unit[0] == " " else bare[unit])
