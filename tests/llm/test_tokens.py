@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -175,3 +176,31 @@ def test_a_cache_that_starts_anew_loses_nothing(monkeypatch):
     for start in range(0, 60, 7):
         part = texts[start : start + 7]
         assert encoder.encode_all(part) == [np.array(ids(t), "<u4").tobytes() for t in part]
+
+
+def test_plain_words_need_no_call_of_the_whole_library(monkeypatch):
+    """New words, with marks or line breaks around them, go to the model alone, and the ids stay those of the library."""
+    encoder = tokens.IdEncoder(BYTES)
+    encoder.encode("a, b.\nc!!")
+
+    class Nothing:
+        def __getattr__(self, name):
+            raise AssertionError(name)
+
+    monkeypatch.setattr(encoder, "tokenizer", Nothing())
+    text = "Neue Größe, blorfing naïveté.\nŽivot ontionerth!! ÿ"
+    assert encoder.encode(text) == np.array(ids(text), "<u4").tobytes()
+
+
+def test_columns_of_texts_with_any_white_space():
+    """Slices of Arrow columns with nulls, cut in their buffers, against the library."""
+    rng = np.random.default_rng(3)
+    parts = [*" \n\t\r\x0b\x1c\x85\xa0", *" ", " ", "　", " ", " ", "—", "、", *"aZéß×÷ÿı1²_-'.,!%#<", "'ll", "🙂", "é", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(4000)] + [None, "", None]
+    encoder, whole = tokens.IdEncoder(BYTES), pa.array(texts)
+    for start in range(0, len(texts), 600):
+        flat, counts = encoder.encode_column(whole.slice(start, 600))
+        expected = [ids(t or "") for t in texts[start : start + 600]]
+        assert counts.tolist() == list(map(len, expected))
+        assert flat.tolist() == [i for e in expected for i in e]
+    assert [a.tolist() for a in encoder.encode_column(pa.array([None, ""], pa.string()))] == [[], [0, 0]]

@@ -35,12 +35,12 @@ def write_token_files(
     """
 
     def encode(batches):
-        worker, end, before = tokens.encoder(tokenizer), tokens.pack_ids([end_id]), 0
+        worker, before = tokens.encoder(tokenizer), 0
         for batch in tokens.slices(batches):
-            packed = [ids + end for ids in worker.encode_all(tokens.texts_of(batch))]
-            counts = np.array([len(p) // 4 for p in packed], np.int64)
+            flat, counts = worker.encode_column(batch.column("text"))
+            flat = np.insert(flat, np.cumsum(counts), end_id).astype(np.int32, copy=False)
+            counts += 1
             ends = np.cumsum(counts)
-            flat = np.frombuffer(b"".join(packed), "<u4").astype(np.int32, copy=False)
             offsets = np.concatenate([[0], ends]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             first = pa.array(before + ends - counts)
