@@ -204,3 +204,29 @@ def test_columns_of_texts_with_any_white_space():
         assert counts.tolist() == list(map(len, expected))
         assert flat.tolist() == [i for e in expected for i in e]
     assert [a.tolist() for a in encoder.encode_column(pa.array([None, ""], pa.string()))] == [[], [0, 0]]
+
+
+def test_pieces_of_plain_words_need_no_call_of_the_whole_library(spark, monkeypatch):
+    """A batch of new plain words is cut and encoded as one column; pieces equal the library's ids."""
+    encoder = tokens.IdEncoder(BYTES)
+    encoder.encode("a. b")
+    monkeypatch.setattr(encoder, "tokenizer", None)
+    monkeypatch.setattr(tokens, "encoder", lambda path: encoder)
+
+    class Captured:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    texts = ["blorfing naïveté. Größe", None, "ontionerth " * 40 + "end"]
+    cut = packing.tokenize_pieces(Captured(), BYTES, capacity=64)
+    rows = [r for b in cut([pa.RecordBatch.from_pydict({"doc_id": pa.array([7, None, 9]), "text": pa.array(texts)})]) for r in b.to_pylist()]
+    expected = []
+    for doc_id, text in zip([7, None, 9], texts, strict=True):
+        whole, at = ids(text or "") + [0], 0
+        for piece, n in enumerate(packing.cut_lengths(len(whole), 64)):
+            expected.append((doc_id, piece, at, n, crc(whole[at : at + n])))
+            at += n
+    assert [tuple(r.values()) for r in rows] == expected

@@ -52,11 +52,14 @@ def tokenize_pieces(
     names = [field.split()[0] for field in schema.split(", ")]
 
     def cut(batches):
-        encode, end = tokens.encoder(tokenizer).encode_all, tokens.pack_ids([end_id])
+        worker = tokens.encoder(tokenizer)
         for batch in tokens.slices(batches):
             columns: list[list] = [[] for _ in names]
-            for doc_id, packed in zip(batch.column("doc_id").to_pylist(), encode(tokens.texts_of(batch)), strict=True):
-                ids, start = memoryview(packed + end), 0
+            flat, counts = worker.encode_column(batch.column("text"))
+            raw, at = memoryview(np.insert(flat, np.cumsum(counts), end_id).tobytes()), 0
+            for doc_id, n in zip(batch.column("doc_id").to_pylist(), (counts + 1).tolist(), strict=True):
+                ids, start = raw[4 * at : 4 * (at + n)], 0
+                at += n
                 for piece, length in enumerate(cut_lengths(len(ids) // 4, capacity)):
                     part = ids[4 * start : 4 * (start + length)]
                     row = (doc_id, piece, start, length, zlib.crc32(part), *([bytes(part)] * with_ids))
