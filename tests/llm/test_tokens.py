@@ -230,3 +230,14 @@ def test_pieces_of_plain_words_need_no_call_of_the_whole_library(spark, monkeypa
             expected.append((doc_id, piece, at, n, crc(whole[at : at + n])))
             at += n
     assert [tuple(r.values()) for r in rows] == expected
+
+
+def test_all_units_of_a_worker_are_bounded_together(monkeypatch):
+    """Words with and without a leading space share one bound, and what is used again stays known."""
+    monkeypatch.setattr(tokens, "CACHED_UNITS", 100)
+    encoder = tokens.IdEncoder(BYTES)
+    for i in range(0, 3000, 10):
+        encoder.encode("\n".join(f"kept a{j} b{j}" for j in range(i, i + 10)))
+        caches = [c for c in vars(encoder).values() if isinstance(c, dict)]
+        assert caches and sum(map(len, caches)) <= 100
+        assert any("kept" in c for c in caches)

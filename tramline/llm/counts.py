@@ -64,7 +64,7 @@ class _Misses(dict):
     tokenizer = None
 
     def __missing__(self, part: str) -> int:
-        if len(self) >= tokens.CACHED_UNITS:
+        if len(self) >= tokens.CACHED_WORDS:
             self.clear()
         self[part] = n = len(self.tokenizer.encode(part, add_special_tokens=False).ids)
         return n

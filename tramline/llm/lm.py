@@ -81,7 +81,7 @@ class WordIds(dict):
         self.encode = subwords(path).encode_ordinary
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= tokens.CACHED_UNITS:
+        if len(self) >= tokens.CACHED_WORDS:
             self.clear()
         self[word] = ids = tokens.pack_ids(self.encode(" " + word.decode()))
         return ids

@@ -23,8 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Units that a worker keeps.
+#: Units that a worker's encoder keeps, in both halves together.
 CACHED_UNITS = 300_000
+#: Words that a worker keeps in other caches.
+CACHED_WORDS = 600_000
 #: Texts of an Arrow batch that are worked on together, so that a worker's memory stays small.
 SLICE_ROWS = 256
 
