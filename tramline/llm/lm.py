@@ -25,7 +25,7 @@ import base64
 import math
 from collections import Counter
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import public_tokenizers
@@ -60,6 +60,29 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def distinct_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of all texts, which of them each word is, text by text, and how many words each text has.
+
+    Words are those of ``words_of``, cut in the texts' Arrow buffer; a null text has none.
+    """
+    texts = texts.cast(pa.string()).fill_null("")
+    _, edges, raw = texts.buffers()
+    edges = np.frombuffer(edges, np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    data = np.frombuffer(raw, np.uint8)[edges[0] : edges[-1]] if raw else np.zeros(0, np.uint8)
+    edges = edges - edges[0]
+    # unsigned differences: one comparison finds a range of bytes
+    inside = (data != 32) & (data - np.uint8(9) > 4)
+    opens = inside.copy()
+    opens[1:] &= ~inside[:-1]
+    first = edges[:-1][edges[:-1] < len(data)]
+    opens[first] = inside[first]
+    data = data[inside]
+    data += ((data - np.uint8(65)) < 26) * np.uint8(32)
+    bounds = np.append(np.flatnonzero(opens[inside]), len(data)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(), np.diff(np.searchsorted(np.flatnonzero(opens), edges))
+
+
 def remainder() -> Column:
     """crc32 of the id as text, modulo 7; a missing id counts as empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7
@@ -73,27 +96,58 @@ def subwords(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("subwords", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-class WordIds(dict):
-    """Packed subword ids of words with a leading space, kept per worker."""
-
-    def __init__(self, path: str):
-        super().__init__()
-        self.encode = subwords(path).encode_ordinary
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= tokens.CACHED_WORDS:
-            self.clear()
-        self[word] = ids = tokens.pack_ids(self.encode(" " + word.decode()))
-        return ids
-
+@lru_cache(maxsize=1)
+def _id_bytes(path: str) -> np.ndarray:
+    """How many bytes each id stands for."""
+    encoding = subwords(path)
+    sizes = np.zeros(encoding.n_vocab, np.int64)
+    for piece in encoding.token_byte_values():
+        sizes[encoding.encode_single_token(piece)] = len(piece)
+    return sizes
 
-_WORD_IDS: dict[str, WordIds] = {}
 
+def word_ids(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of words with a leading space, one word behind the other, and how many each has.
 
-def _word_ids(path: str) -> WordIds:
-    if path not in _WORD_IDS:
-        _WORD_IDS[path] = WordIds(path)
-    return _WORD_IDS[path]
+    No id crosses the space before a word, so words are encoded in one string, where the bytes that
+    ids stand for show the ends of words. Words that hold white space beyond ASCII are encoded alone.
+    """
+    encode, together, odd = subwords(path).encode_ordinary, words, {}
+    text = b" ".join([b"", *together]).decode()
+    if len(text.split()) != len(words):
+        texts = [" " + word.decode() for word in words]
+        odd = {i: np.array(encode(t), "<u4") for i, t in enumerate(texts) if len(t.split()) != 1}
+        together = [word for i, word in enumerate(words) if i not in odd]
+        text = b" ".join([b"", *together]).decode()
+    ids = np.array(encode(text), "<u4")
+    ends = np.cumsum(np.fromiter(map(len, together), np.int64, len(together)) + 1)
+    sizes = np.diff(np.searchsorted(np.cumsum(_id_bytes(path)[ids]), ends, "right"), prepend=0)
+    if odd:
+        rest = iter(np.split(ids, np.cumsum(sizes)[:-1]))
+        parts = [odd[i] if i in odd else next(rest) for i in range(len(words))]
+        ids, sizes = np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+    return ids, sizes
+
+
+#: Packed ids of words by tokenizer file, kept per worker.
+_WORD_IDS: dict[str, dict[bytes, bytes]] = {}
+
+
+def packed_ids(path: str, words: list[bytes]) -> list[bytes]:
+    """The ids of each of ``words``, which are distinct; new ones are encoded together and kept."""
+    known = _WORD_IDS.setdefault(path, {})
+    found = list(map(known.get, words))
+    missed = [i for i, ids in enumerate(found) if ids is None]
+    if missed:
+        new = [words[i] for i in missed]
+        ids, sizes = word_ids(path, new)
+        raw, ends = ids.tobytes(), (4 * np.cumsum(sizes)).tolist()
+        for i, a, b in zip(missed, [0, *ends], ends, strict=False):
+            found[i] = raw[a:b]
+        if len(known) + len(new) > tokens.CACHED_WORDS:
+            known.clear()
+        known.update(zip(new, map(found.__getitem__, missed), strict=True))
+    return found
 
 
 class Vocabulary:
@@ -113,15 +167,12 @@ class Vocabulary:
 
 def _by_row(where: np.ndarray, grads: list[np.ndarray], size: int) -> list[np.ndarray]:
     """Sums of the rows of each of ``grads`` by their place in a table of ``size`` rows."""
-    order = np.argsort(where.ravel().astype(np.int16), kind="stable")
-    rows = where.ravel()[order]
-    edges = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    out = []
-    for grad in grads:
-        table = np.zeros((size, grad.shape[-1]), grad.dtype)
-        table[rows[edges]] = np.add.reduceat(grad.reshape(-1, grad.shape[-1])[order], edges, axis=0)
-        out.append(table)
-    return out
+    width = grads[0].shape[-1]
+    place = np.arange(size * width).reshape(size, width).take(where.ravel(), 0).ravel()
+    tables = [np.zeros(size * width, grad.dtype) for grad in grads]
+    for table, grad in zip(tables, grads, strict=True):
+        np.add.at(table, place, grad.ravel())
+    return [table.reshape(size, width) for table in tables]
 
 
 class Attention:
@@ -143,90 +194,125 @@ class Attention:
         return np.concatenate([v.ravel() for v in self.p.values()]).astype(float)
 
     def load(self, flat: np.ndarray) -> Attention:
-        at = 0
+        """Takes the parameters from one vector, as views of it where it has their type."""
+        flat, at = np.asarray(flat, np.float32), 0
         for name, v in self.p.items():
-            self.p[name] = flat[at : at + v.size].reshape(v.shape).astype(np.float32)
+            self.p[name] = flat[at : at + v.size].reshape(v.shape)
             at += v.size
         return self
 
-    def states(self, x, opening):
-        """States at the scored positions of windows ``x``; an opening one has nothing before them."""
-        p, last = self.p, x[:, STRIDE:]
-        q, k, v = p["q"].take(last, 0), p["k"].take(x, 0), p["v"].take(x, 0)
-        weights = (q * q.dtype.type(1 / math.sqrt(WIDTH))) @ k.transpose(0, 2, 1)
+    def weights(self, x, opening):
+        """Attention weights of the scored positions of windows ``x``; an opening one has nothing before them.
+
+        They are not divided by their sums, which come second; scaled queries and keys follow.
+        """
+        p = self.p
+        q, k = p["q"].take(x[:, STRIDE:], 0), p["k"].take(x, 0)
+        q *= q.dtype.type(1 / math.sqrt(WIDTH))
+        weights = q @ k.transpose(0, 2, 1)
         weights += np.where(self.hidden, q.dtype.type(-1e9), p["near"])
         weights[opening, :, :STRIDE] = -1e9
-        self._softmax(weights)
-        state = weights @ v
-        state += p["r"].take(last, 0)
-        return np.tanh(state, out=state), weights, q, k, v
+        sums = self._exp(weights.reshape(-1, 2 * STRIDE))
+        return weights, sums.reshape(-1, STRIDE, 1), q, k
+
+    def states(self, x, weights, sums):
+        """States at the scored positions, one row each with a last column of ones, and what was attended, and values."""
+        v = self.p["v"].take(x, 0)
+        attended = weights @ v
+        attended /= sums
+        # tanh by way of exp, which takes less time; the limits keep it finite
+        tanh = attended + self.p["r"].take(x[:, STRIDE:], 0)
+        np.clip(tanh, -20, 20, out=tanh)
+        tanh *= 2
+        np.exp(tanh, out=tanh)
+        tanh += 1
+        np.divide(-2, tanh, out=tanh)
+        tanh += 1
+        state = np.ones((tanh.size // WIDTH, WIDTH + 1), tanh.dtype)
+        state[:, :WIDTH] = tanh.reshape(-1, WIDTH)
+        return state, attended, v
+
+    def _outputs(self):
+        """Weights of the first choice and of the members, the constants as their last rows."""
+        p = self.p
+        return np.concatenate([p["w"], p["b"][None]]), np.concatenate([p["u"], p["c"][:, None]], axis=1)
 
     def _by_group(self, target):
-        """Outcome of the first choice for every target, and the places and members of each group's targets."""
+        """Outcome of the first choice for every target; places of targets in groups, by group, its edges and the members."""
         single = self.groups * self.members
         outcome = np.where(target < single, target // self.members, target - single + self.groups)
-        order = np.argsort(outcome, kind="stable")
+        order = np.argsort(outcome.astype(np.int16), kind="stable")
         edges = np.searchsorted(outcome[order], np.arange(self.groups + 1))
-        places = [order[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-        return outcome, [(g, at, target[at] - g * self.members) for g, at in enumerate(places) if len(at)]
-
-    @staticmethod
-    def _softmax(scores):
-        """Over the last axis, in place; shifted only where large numbers ask for it."""
-        if scores.size and scores.max() > 40:
-            scores -= scores.max(-1, keepdims=True)
-        np.exp(scores, out=scores)
-        scores /= np.maximum(scores.sum(-1, keepdims=True), scores.dtype.type(1e-30))
+        places = order[: edges[-1]]
+        edges = [(g, slice(a, b)) for g, (a, b) in enumerate(pairwise(edges.tolist())) if a < b]
+        return outcome, places, edges, target[places] - outcome[places] * self.members
+
+    def _members(self, own, u, edges):
+        """Scores of the members at states ``own``, which are sorted by group."""
+        scores = np.empty((len(own), self.members), own.dtype)
+        for g, at in edges:
+            np.matmul(own[at], u[g], out=scores[at])
         return scores
 
     @staticmethod
-    def _chosen(scores, which):
-        """Softmax over the last axis at one place of each row."""
+    def _exp(scores, which=None):
+        """exp in place; its sum in each row, and with ``which`` the log of its share at one place of each row.
+
+        Rows are shifted only where large numbers ask for it.
+        """
         if scores.size and scores.max() > 40:
             scores -= scores.max(-1, keepdims=True)
+        chosen = 0 if which is None else scores[np.arange(len(which)), which]
         np.exp(scores, out=scores)
-        return scores[np.arange(len(which)), which] / np.maximum(scores.sum(-1), scores.dtype.type(1e-30))
+        sums = np.maximum(scores @ np.ones(scores.shape[-1], scores.dtype), scores.dtype.type(1e-30))
+        return sums if which is None else (sums, chosen - np.log(sums))
+
+    def _lean(self, scores, which, counts) -> float:
+        """Puts the gradient of the loss in place of the scores; ``counts`` are the weights of the rows."""
+        sums, logs = self._exp(scores, which)
+        scores *= (counts / sums)[:, None]
+        scores[np.arange(len(which)), which] -= counts
+        return -float(counts @ logs)
 
     def log10(self, x, opening, target):
         """log10 probability of the target class at every scored position."""
-        state, flat = self.states(x, opening)[0].reshape(-1, WIDTH), target.ravel()
-        outcome, groups = self._by_group(flat)
-        scores = state @ self.p["w"]
-        scores += self.p["b"]
-        p = self._chosen(scores, outcome)
-        for g, at, member in groups:
-            p[at] *= self._chosen(state.take(at, 0) @ self.p["u"][g] + self.p["c"][g], member)
-        return np.log10(np.maximum(p, np.float32(1e-30))).reshape(target.shape)
+        state, (w, u) = self.states(x, *self.weights(x, opening)[:2])[0], self._outputs()
+        outcome, places, edges, member = self._by_group(target.ravel())
+        logs = self._exp(state @ w, outcome)[1]
+        logs[places] += self._exp(self._members(state.take(places, 0), u, edges), member)[1]
+        return (logs / logs.dtype.type(math.log(10))).reshape(target.shape)
 
     def gradient(self, x, opening, target, inside):
         """Mean loss over the positions that count (``inside``) and its gradient."""
-        p, last, n = self.p, x[:, STRIDE:], max(1, int(inside.sum()))
-        state, weights, q, k, v = self.states(x, opening)
-        h, flat, counts = state.reshape(-1, WIDTH), target.ravel(), inside.reshape(-1, 1) / state.dtype.type(n)
-        outcome, groups = self._by_group(flat)
-        prob, rows = self._softmax(h @ p["w"] + p["b"]), np.arange(len(flat))
-        loss = -(np.log(prob[rows, outcome] + 1e-12) * counts[:, 0]).sum()
-        prob[rows, outcome] -= 1
-        prob *= counts
-        g = {"w": h.T @ prob, "b": prob.sum(0), "u": np.zeros_like(p["u"]), "c": np.zeros_like(p["c"])}
-        dh = prob @ p["w"].T
-        for i, at, member in groups:
-            own = self._softmax(h[at] @ p["u"][i] + p["c"][i])
-            loss -= (np.log(own[np.arange(len(at)), member] + 1e-12) * counts[at, 0]).sum()
-            own[np.arange(len(at)), member] -= 1
-            own *= counts[at]
-            g["u"][i], g["c"][i] = h[at].T @ own, own.sum(0)
-            dh[at] += own @ p["u"][i].T
-        ds = dh.reshape(state.shape)
-        ds *= 1 - state * state
-        dw = ds @ v.transpose(0, 2, 1)
-        dw -= np.einsum("bij,bij->bi", dw, weights)[:, :, None]
-        dw *= weights
-        g["near"] = np.where(self.hidden, 0, dw.sum(0))
-        scale = dw.dtype.type(1 / math.sqrt(WIDTH))
-        g["q"], g["r"] = _by_row(last, [dw @ k * scale, ds], len(p["q"]))
-        g["k"], g["v"] = _by_row(x, [dw.transpose(0, 2, 1) @ q * scale, weights.transpose(0, 2, 1) @ ds], len(p["k"]))
-        return float(loss), g
+        weights, sums, q, k = self.weights(x, opening)
+        state, attended, v = self.states(x, weights, sums)
+        w, u = self._outputs()
+        outcome, places, edges, member = self._by_group(target.ravel())
+        counts = inside.ravel().astype(state.dtype) / state.dtype.type(max(1, int(inside.sum())))
+        prob = state @ w
+        loss = self._lean(prob, outcome, counts)
+        dw, dh = state.T @ prob, prob @ w[:WIDTH].T
+        own = state.take(places, 0)
+        scores = self._members(own, u, edges)
+        loss += self._lean(scores, member, counts[places])
+        du, inner = np.zeros_like(u), np.empty((len(places), WIDTH), state.dtype)
+        for g, at in edges:
+            np.matmul(own[at].T, scores[at], out=du[g])
+            np.matmul(scores[at], u[g, :WIDTH].T, out=inner[at])
+        dh[places] += inner
+        h = state[:, :WIDTH]
+        dh *= 1 - h * h
+        ds = dh.reshape(attended.shape)
+        shared = ds / sums
+        lean = shared @ v.transpose(0, 2, 1)
+        lean -= np.einsum("bij,bij->bi", shared, attended)[:, :, None]
+        lean *= weights
+        g = {"w": dw[:WIDTH], "b": dw[WIDTH], "u": du[:, :WIDTH], "c": du[:, WIDTH], "near": lean.sum(0)}
+        size = len(self.p["q"])
+        g["q"], g["r"] = _by_row(x[:, STRIDE:], [lean @ k, ds], size)
+        g["q"] *= state.dtype.type(1 / math.sqrt(WIDTH))
+        g["k"], g["v"] = _by_row(x, [lean.transpose(0, 2, 1) @ q, weights.transpose(0, 2, 1) @ shared], size)
+        return loss, g
 
 
 def windows(sequences: list[np.ndarray], start: int):
@@ -258,14 +344,32 @@ class TextModel:
         #: Windows that the training has read.
         self.read = 0
 
-    def ids(self, words: list[bytes], end: int) -> np.ndarray:
-        packed = b"".join(map(_word_ids(self.path).__getitem__, words))
-        return np.append(np.frombuffer(packed, "<u4").astype(np.int64), end)
-
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, float]:
         """Classes of a text's subwords and the sum of their log10 probabilities inside the classes."""
-        ids = self.ids(words, len(self.vocabulary.of) - 1)
-        return self.vocabulary.of[ids].astype(np.int16), float(self.vocabulary.inside[ids].sum())
+        classes, _, inside = self.encode_all(words, np.arange(len(words)), np.array([len(words)]))
+        return classes, float(inside[0])
+
+    def encode_all(self, words: list[bytes], index: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``encode`` of texts with ``n`` words each, which are ``words`` at ``index``.
+
+        The classes lie one text behind the other, and come with their numbers in each text.
+        """
+        end = np.array([len(self.vocabulary.of) - 1], "<u4").tobytes()
+        packed = [*packed_ids(self.path, words), end]
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        first = np.cumsum(sizes) - sizes
+        inside = np.add.reduceat(self.vocabulary.inside[ids], first)
+        # behind its words each text has the end
+        ends = np.cumsum(n + 1) - 1
+        which = np.full(len(index) + len(n), len(words))
+        which[np.delete(np.arange(len(which)), ends)] = index
+        own = sizes[which]
+        behind = np.cumsum(own)
+        place = np.repeat(first[which] - (behind - own), own)
+        place += np.arange(len(place))
+        totals = np.bincount(np.repeat(np.arange(len(n)), n + 1), inside[which], len(n))
+        return self.vocabulary.of.astype("<i2")[ids][place], np.diff(behind[ends], prepend=0), totals
 
     def score(self, sequences: list[np.ndarray]) -> np.ndarray:
         """log10 probability of class sequences."""
@@ -284,17 +388,30 @@ class TextModel:
     def train(self, parts, rate: float) -> int:
         """Adam steps over all windows in ``parts``, again from the first if these make fewer than ``LEAST_STEPS``."""
         x, opening, target, inside = (np.concatenate(p) for p in zip(*parts, strict=True))
-        model, rng, order, moments = self.attention, np.random.default_rng(len(x)), np.zeros(0, int), {}
+        model, rng, order = self.attention, np.random.default_rng(len(x)), np.zeros(0, int)
+        flat = model.flat().astype(np.float32)
+        # the parameters are views of one vector, so a step on it moves them all
+        model.load(flat)
+        mean, square = np.zeros_like(flat), np.zeros_like(flat)
         for n in range(1, max(LEAST_STEPS, -(-len(x) // TOGETHER)) + 1):
             while len(order) < min(TOGETHER, len(x)):
                 order = np.concatenate([order, rng.permutation(len(x))])
             take, order = order[:TOGETHER], order[TOGETHER:]
-            _, grad = model.gradient(x[take].astype(np.int64), opening[take], target[take].astype(np.int64), inside[take])
-            for name, g in grad.items():
-                m, s = moments.get(name, (0.0, 0.0))
-                m, s = moments[name] = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
-                move = m / (1 - 0.9**n) / (np.sqrt(s / (1 - 0.99**n)) + 1e-8)
-                model.p[name] = (model.p[name] - rate * move).astype(np.float32)
+            _, grads = model.gradient(x[take].astype(np.int64), opening[take], target[take].astype(np.int64), inside[take])
+            grad = np.concatenate([grads[name].ravel() for name in model.p])
+            mean *= 0.9
+            mean += 0.1 * grad
+            grad *= grad
+            grad *= 0.01
+            square *= 0.99
+            square += grad
+            # both are divided by what their weights add up to
+            scale = math.sqrt(1 - 0.99**n)
+            root = np.sqrt(square, out=grad)
+            root += 1e-8 * scale
+            move = np.divide(mean, root, out=root)
+            move *= rate * scale / (1 - 0.9**n)
+            flat -= move
         return len(x)
 
 
@@ -308,8 +425,9 @@ def word_counts(train: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
         for batch in tokens.slices(batches):
-            for text in tokens.texts_of(batch):
-                seen.update(words_of(text))
+            words, index, _ = distinct_words(batch.column("text"))
+            for word, n in zip(words.to_pylist(), np.bincount(index, minlength=len(words)).tolist(), strict=True):
+                seen[word] += n
             if len(seen) > COUNTED:
                 yield rows()
                 seen.clear()
@@ -323,11 +441,10 @@ def subword_counts(counts: DataFrame, path: str, ends: int) -> np.ndarray:
     size = subwords(path).n_vocab + 1
 
     def count(batches):
-        total, encode = np.zeros(size), subwords(path).encode_ordinary
+        total = np.zeros(size)
         for batch in batches:
-            ids = [encode(" " + word.decode()) for word in batch.column("word").to_pylist()]
-            times = np.repeat(batch.column("n").to_numpy(), [len(i) for i in ids])
-            total += np.bincount(list(chain.from_iterable(ids)), times, size)
+            ids, sizes = word_ids(path, batch.column("word").to_pylist())
+            total += np.bincount(ids, np.repeat(batch.column("n").to_numpy(), sizes), size)
         some = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some].astype(np.int64))], ["id", "n"])
 
@@ -400,24 +517,24 @@ def score_documents(docs: DataFrame, tokenizer: str, rounds: int = ROUNDS, share
     def encode(batches):
         own, common, row = sent_model.value, sent_table.value.get, TaskContext.get().partitionId() << 40
         for batch in tokens.slices(batches):
-            texts = [words_of(text) for text in tokens.texts_of(batch)]
-            known, logs, rare, within, classes = [], [], [], [], []
-            for words in texts:
-                found = np.fromiter(map(common, words, repeat(0.0)), float, len(words))
-                known.append(int(np.count_nonzero(found)))
-                logs.append(float(found.sum()))
-                rare.append([words[i] for i in np.nonzero(found == 0)[0].tolist()])
-                sequence, inside = own.encode(words)
-                within.append(inside)
-                classes.append(sequence.astype("<i2").tobytes())
-            rows = np.arange(row, row + len(texts))
-            row += len(texts)
+            distinct, index, n = distinct_words(batch.column("text"))
+            words, texts = distinct.to_pylist(), len(n)
+            found = np.fromiter(map(common, words, repeat(0.0)), float, len(words))[index]
+            text = np.repeat(np.arange(texts), n)
+            known = np.bincount(text, found > 0, texts).astype(np.int64)
+            rare = np.append(0, np.cumsum(n - known)).astype(np.int32)
+            classes, sizes, within = own.encode_all(words, index, n)
+            bounds = np.append(0, 2 * np.cumsum(sizes)).astype(np.int32)
+            rows = np.arange(row, row + texts)
+            row += texts
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(rows), *(batch.column(c) for c in ("doc_id", "held_out", "share")),
-                    pa.array([len(words) + 1 for words in texts], pa.int64()), pa.array(known, pa.int64()),
-                    pa.array(logs, pa.float64()), pa.array(rare, pa.list_(pa.binary())),
-                    pa.array(within, pa.float64()), pa.array(classes, pa.binary()),
+                    pa.array(n + 1, pa.int64()), pa.array(known),
+                    pa.array(np.bincount(text, found, texts), pa.float64()),
+                    pa.ListArray.from_arrays(pa.array(rare), distinct.take(pa.array(index[found == 0]))),
+                    pa.array(within, pa.float64()),
+                    pa.Array.from_buffers(pa.binary(), texts, [None, pa.py_buffer(bounds), pa.py_buffer(classes)]),
                 ],
                 names,
             )
