@@ -161,3 +161,23 @@ def test_nearest_in_time(spark, limit):
         near = sorted((abs(u - t), u) for z, u in reads if z == s and abs(u - t) <= 60)
         assert got[i].matched == bool(near)
         assert got[i].reading_t == (near[0][1] if near else None)
+
+
+def stored_stops(spark, tmp_path):
+    """Stops as a small file, whose size would let the planner collect them."""
+    rows = spark.range(400).selectExpr("id AS stop_id", "46.5 + id % 20 / 1000 AS lat", "6.5 + id DIV 20 / 1000 AS lon")
+    rows.selectExpr("stop_id", "CAST(lat AS DOUBLE) AS lat", "CAST(lon AS DOUBLE) AS lon").write.parquet(f"{tmp_path}/stops")
+    return spark.read.parquet(f"{tmp_path}/stops")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_footpaths_send_no_copies_to_the_driver(spark, tmp_path):
+    stops = stored_stops(spark, tmp_path)
+    walks = footpaths(stops)
+    assert "Broadcast" not in plan(walks)
+    at = [(r.stop_id, (r.lat, r.lon)) for r in stops.collect()]
+    near = {(i, j) for i, p in at for j, q in at if i != j and dist(p, q) <= 500}
+    assert sorted((r.from_stop, r.to_stop) for r in walks.collect()) == sorted(near)

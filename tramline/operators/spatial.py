@@ -44,7 +44,9 @@ def pairs_within(a: DataFrame, b: DataFrame, metres: float) -> DataFrame:
         right = right.withColumn(c, copies)
     right = right.withColumnsRenamed({"lat": "_lat2", "lon": "_lon2"})
     dist = haversine("lat", "lon", "_lat2", "_lon2")
-    pairs = a.withColumns(_cells(size)).join(right, own).withColumn("metres", dist).where(F.col("metres") <= metres)
+    # the planner takes the copies for as small as ``b`` itself and would collect them for a broadcast
+    left = a.withColumns(_cells(size)).hint("merge")
+    pairs = left.join(right, own).withColumn("metres", dist).where(F.col("metres") <= metres)
     keep = [c for c in a.columns if c not in ("lat", "lon")] + [c for c in b.columns if c not in ("lat", "lon")]
     return pairs.select(*keep, "metres")
 
