@@ -181,3 +181,11 @@ def test_footpaths_send_no_copies_to_the_driver(spark, tmp_path):
     at = [(r.stop_id, (r.lat, r.lon)) for r in stops.collect()]
     near = {(i, j) for i, p in at for j, q in at if i != j and dist(p, q) <= 500}
     assert sorted((r.from_stop, r.to_stop) for r in walks.collect()) == sorted(near)
+
+
+def test_join_distance_with_a_small_side_sends_no_copies_to_the_driver(spark, tmp_path):
+    stops = stored_stops(spark, tmp_path)
+    a, b = (stops.withColumnRenamed("stop_id", c) for c in ("stop_a", "stop_b"))
+    pairs = spatial.pairs_within(a.where("stop_a < 50"), b, 500.0)
+    assert "Broadcast" not in plan(pairs)
+    assert pairs.where("stop_a = stop_b AND metres = 0").count() == 50
