@@ -281,3 +281,23 @@ def test_service_days_stay_in_the_window(spark):
     exceptions = spark.createDataFrame(rows, "service_id int, day string, exception_type int").withColumn("day", F.to_date("day"))
     got = sorted(str(r.day) for r in transit.service_days(calendar, exceptions, "2024-01-01", "2024-01-07").collect())
     assert got == ["2024-01-01", "2024-01-02", "2024-01-04", "2024-01-05", "2024-01-06"]
+
+
+def stored_stops(spark, path):
+    """Stops as a small file, whose size would let the planner collect them."""
+    rows = spark.range(400).selectExpr(
+        "id AS stop_id", "CAST(46.5 + id % 20 / 1000 AS DOUBLE) AS lat", "CAST(6.5 + id DIV 20 / 1000 AS DOUBLE) AS lon"
+    )
+    rows.write.parquet(f"{path}/stops")
+    return spark.read.parquet(f"{path}/stops")
+
+
+def test_network_stats_send_no_copies_of_stops_to_the_driver(spark, tmp_path):
+    from tramline.operators.transit import footpaths
+
+    walks = footpaths(stored_stops(spark, tmp_path))
+    conns = spark.createDataFrame([(1, 2), (2, 1), (1, 3), (1, 2)], "from_stop bigint, to_stop bigint")
+    got = journey.network_stats(conns, walks)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    found = {r.measure: r.value for r in got.collect()}
+    assert found == {"nodes": 400, "stop_pairs": 3, "connections": 4, "walks": walks.count(), "max_degree": 2}
