@@ -301,3 +301,14 @@ def test_network_stats_send_no_copies_of_stops_to_the_driver(spark, tmp_path):
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
     found = {r.measure: r.value for r in got.collect()}
     assert found == {"nodes": 400, "stop_pairs": 3, "connections": 4, "walks": walks.count(), "max_degree": 2}
+
+
+def test_transfer_time_sends_no_copies_of_stops_to_the_driver(spark, tmp_path):
+    from tramline.operators.transit import footpaths
+
+    walks = footpaths(stored_stops(spark, tmp_path))
+    explicit = spark.createDataFrame([(0, 399, 60)], "from_stop bigint, to_stop bigint, min_transfer_time int")
+    got = journey.transfer_seconds(explicit.unionByName(walks, allowMissingColumns=True), explicit, walks)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_c0" in plan and "BroadcastHashJoin [_c0" not in plan
+    assert got.count() == walks.count() + 1 and got.where("change_s = 60").count() == 1
