@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramline.functions.timefn import format_seconds
-from tramline.operators import ordered
+from tramline.operators import netsearch, ordered
 from tramline.operators.labels import LabelTable, route_patterns
 from tramline.operators.transit import CHANGE_SECONDS, MAX_WALK_METRES, WALK_METRES_PER_MINUTE
 from tramline.session import cut_lineage
@@ -144,13 +144,14 @@ class _Search:
         spark = queries.sparkSession
         self.ready, self.landed = (LabelTable(spark, ["query_id", "stop_id"]) for _ in range(2))
         self.boarded = LabelTable(spark, ["query_id", "pattern_id"])
-        origin = queries.select(
+        self.queries = queries
+
+    def run(self) -> _Search:
+        origin = self.queries.select(
             "query_id", F.col("source").alias("stop_id"), F.col("depart_at").alias("arrival"), "horizon"
         )
         first = origin.unionByName(_on_foot(origin, self.hops).drop("walk")).groupBy("query_id", "stop_id", "horizon")
         self.first = cut_lineage(first.agg(F.min("arrival").alias("arrival")))
-
-    def run(self) -> _Search:
         open_labels = self.ready.append(self.first.withColumnRenamed("arrival", "ready"))
         while True:
             landed = self.landed.append(self.landed.better(self._rides(self._boards(open_labels)), "arrival"))
@@ -269,6 +270,12 @@ class _Search:
             F.coalesce("ride_s", F.lit(0)).cast("bigint").alias("ride_s"),
         )
 
+    def beside(self, times: bool = False) -> DataFrame | None:
+        """``labels``, or their ``times``, by ``netsearch`` if the network is small enough to lie in every task."""
+        if netsearch.fits(self.queries, self.network, self.hops):
+            return netsearch.search(self.queries, self.network, self.hops, self.change_s, times)
+        return None
+
     def drop(self) -> None:
         for labels in (self.ready, self.landed, self.boarded):
             labels.drop()
@@ -290,12 +297,16 @@ def earliest_arrival(
     a pattern. What is found lies in bucketed label tables; a round boards, rides and walks
     from the labels that the round before improved, a boarding rides no further than the stop from
     which an earlier one serves the run, and rounds end when nothing improves, so the answer is
-    exact without a limit on rounds.
+    exact without a limit on rounds. Where a worker can hold the network, the rounds run on arrays
+    in tasks that have a copy of it each (``netsearch``).
     """
     asked = queries.withColumn("horizon", F.col("depart_at") + max_duration)
     search = _Search(asked, timetable, walks, change_s)
     try:
-        labels = search.run().labels()
+        found = search.beside(times)
+        if found is not None and times:
+            return found
+        labels = search.run().labels() if found is None else found
         if times:
             return cut_lineage(search.times(labels, queries))
         return labels.select("query_id", "stop_id", F.least("unridden", "ridden", "walked").alias("arrival"))
@@ -315,7 +326,8 @@ def isochrone(arrivals: DataFrame, queries: DataFrame, stops: DataFrame, minutes
 def _search_labels(queries: DataFrame, timetable: DataFrame, walks: DataFrame, change_s: int) -> DataFrame:
     search = _Search(queries, timetable, walks, change_s)
     try:
-        return search.run().labels()
+        found = search.beside()
+        return search.run().labels() if found is None else found
     finally:
         search.drop()
 
