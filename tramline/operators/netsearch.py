@@ -32,6 +32,8 @@ PARTS = {
     WALK: ["stop_id", "to_stop", "hop_s"],
     REQUEST: ["query_id", "source", "depart_at", "horizon"],
 }
+#: Any whole numbers; all other columns are 32 bits in a worker.
+IDS = {"pattern_id", "run_id", "stop_id", "to_stop"}
 SLOTS = [f"x{i}" for i in range(len(PARTS[CALL]))]
 LABEL_COLUMNS = {False: ["unridden", "ridden", "walked"], True: ["arrival", "walk_s", "ride_s"]}
 
@@ -91,18 +93,19 @@ def search(queries: DataFrame, network: DataFrame, hops: DataFrame, change_s: in
     columns = ["query_id", "stop_id", *LABEL_COLUMNS[times]]
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, network, held, asked = None, None, {CALL: [], WALK: []}, []
+        task, network, held, asked = None, None, _empty(), []
         for batch in batches:
             for kind, own in zip(batch.column(1).to_pylist(), _rows(batch)):
                 if own[0] != task:
                     if asked:
                         yield network.answer(asked, times, columns)
-                    task, network, held, asked = own[0], None, {CALL: [], WALK: []}, []
+                    task, network, held, asked = own[0], None, _empty(), []
                 if kind != REQUEST:
-                    held[kind].append([x.to_numpy() for x in own[1][: len(PARTS[kind])]])
+                    for values, x, c in zip(held[kind], own[1], PARTS[kind]):
+                        values.append(x.to_numpy().astype(np.int64 if c in IDS else np.int32))
                     continue
                 if network is None:
-                    network, held = _Network(held, change_s), {}
+                    network = _Network(held, change_s, times)
                 asked.append([x[0].as_py() for x in own[1][: len(PARTS[REQUEST])]])
                 if len(asked) >= network.width:
                     yield network.answer(asked, times, columns)
@@ -115,6 +118,10 @@ def search(queries: DataFrame, network: DataFrame, hops: DataFrame, change_s: in
     return cut_lineage(found.withColumns({c: F.col(c).cast(t) for c, t in kinds.items()}))
 
 
+def _empty() -> dict[int, list[list[np.ndarray]]]:
+    return {kind: [[] for _ in PARTS[kind]] for kind in (CALL, WALK)}
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, list[pa.Array]]]:
     tasks, columns = batch.column(0).to_pylist(), batch.columns[2:]
     for i, task in enumerate(tasks):
@@ -139,47 +146,57 @@ def _starts(*sorted_by: np.ndarray) -> np.ndarray:
 class _Network:
     """Runs, walks and indexes as arrays; stops are numbered in the order of their ids."""
 
-    def __init__(self, held: dict[int, list], change_s: int):
-        pattern, run_no, run_id, seq, stop, arr, dep = self._whole(held[CALL], CALL)
-        start, end, hop = self._whole(held[WALK], WALK)
-        held.clear()
+    def __init__(self, held: dict[int, list], change_s: int, times: bool):
+        """``held`` is emptied column by column, as memory is what bounds the network."""
+
+        def take(kind: int, column: str) -> np.ndarray:
+            parts = held[kind][PARTS[kind].index(column)]
+            whole = np.concatenate(parts) if parts else np.zeros(0, np.int64 if column in IDS else np.int32)
+            parts.clear()
+            return whole
+
         self.change_s = change_s
-        self.stops = np.unique(np.concatenate([stop, start, end]))
-        order = np.lexsort((seq, run_id))
-        pattern, run_no, run_id, seq = (x[order] for x in (pattern, run_no, run_id, seq))
-        self.arr, self.dep = arr[order].astype(np.int32), dep[order].astype(np.int32)
-        self.stop = np.searchsorted(self.stops, stop[order]).astype(np.int32)
+        stop, start, end = take(CALL, "stop_id"), take(WALK, "stop_id"), take(WALK, "to_stop")
+        self.stops = np.unique(np.concatenate([np.unique(x) for x in (stop, start, end)]))
+        stop, start, end = (np.searchsorted(self.stops, x).astype(np.int32) for x in (stop, start, end))
+        bounds = np.arange(len(self.stops) + 1)
+        # walks from a stop and, for times, to it
+        hop = take(WALK, "hop_s")
+        order = np.argsort(start, kind="stable").astype(np.int32)
+        self.out_stop, self.out_s, self.outs = end[order], hop[order], np.searchsorted(start[order], bounds)
+        if times:
+            order = np.lexsort((hop, start, end)).astype(np.int32)
+            self.in_stop, self.in_s, self.ins = start[order], hop[order], np.searchsorted(end[order], bounds)
+        del start, end, hop
+        run_id, seq = take(CALL, "run_id"), take(CALL, "seq")
+        order = np.lexsort((seq, run_id)).astype(np.int32)
+        run_id, seq, self.stop = run_id[order], seq[order], stop[order]
+        del stop
+        self.arr, self.dep = take(CALL, "arr_s")[order], take(CALL, "dep_s")[order]
+        pattern, run_no = take(CALL, "pattern_id")[order], take(CALL, "run_no")[order]
+        n = len(run_id)
         # runs, and their order by (first departure, id)
         self.run_start = _starts(run_id)
-        self.run_end = np.append(self.run_start, len(run_id))[1:]
+        self.run_end = np.append(self.run_start, n)[1:]
         self.run = np.repeat(np.arange(len(self.run_start), dtype=np.int32), self.run_end - self.run_start)
-        self.place = (np.arange(len(run_id)) - self.run_start[self.run]).astype(np.int32)
+        self.place = np.arange(n, dtype=np.int32) - self.run_start.astype(np.int32)[self.run]
+        self.by_rank = np.lexsort((run_id[self.run_start], self.dep[self.run_start]))
         self.rank = np.empty(len(self.run_start), np.int32)
-        self.rank[np.lexsort((run_id[self.run_start], self.dep[self.run_start]))] = np.arange(len(self.run_start))
-        self.by_rank = np.argsort(self.rank)
+        self.rank[self.by_rank] = np.arange(len(self.run_start))
+        del run_id
         # positions of patterns at stops, and the calls there by departure
-        self.board = np.lexsort((run_no, seq, pattern, self.stop))
-        keys = [x[self.board] for x in (self.stop, pattern, seq)]
-        self.pos_start = _starts(*keys)
-        self.pos_end = np.append(self.pos_start, len(run_id))[1:]
+        self.board = np.lexsort((run_no, seq, pattern, self.stop)).astype(np.int32)
+        at = _starts(*(x[self.board] for x in (self.stop, pattern, seq)))
+        self.pos_start, self.pos_end = at.astype(np.int32), np.append(at, n)[1:].astype(np.int32)
         self.board_dep = self.dep[self.board]
-        bounds = np.arange(len(self.stops) + 1)
-        self.stop_pos = np.searchsorted(keys[0][self.pos_start], bounds)
-        # calls by stop and arrival
-        self.calls = np.lexsort((self.arr, self.stop))
-        self.call_key = self._call_key(self.stop[self.calls], self.arr[self.calls])
-        # walks from and to a stop
-        start, end = (np.searchsorted(self.stops, x).astype(np.int32) for x in (start, end))
-        out = np.argsort(start, kind="stable")
-        self.out_stop, self.out_s, self.outs = end[out], hop[out].astype(np.int32), np.searchsorted(start[out], bounds)
-        back = np.lexsort((hop, start, end))
-        self.in_stop, self.in_s, self.ins = start[back], hop[back].astype(np.int32), np.searchsorted(end[back], bounds)
+        self.stop_pos = np.searchsorted(self.stop[self.board[at]], bounds)
+        del pattern, run_no, seq, order, at
+        if times:
+            # calls by stop and arrival
+            self.calls = np.lexsort((self.arr, self.stop)).astype(np.int32)
+            self.call_key = self._call_key(self.stop[self.calls], self.arr[self.calls])
         self.width = int(np.clip(LABELS // max(len(self.stops), len(self.run_start), 1), 1, 1024))
 
-    @staticmethod
-    def _whole(parts: list[list[np.ndarray]], kind: int) -> list[np.ndarray]:
-        return [np.concatenate(x) if len(x) else np.zeros(0, np.int64) for x in (list(zip(*parts)) or [[] for _ in PARTS[kind]])]
-
     @staticmethod
     def _call_key(stop: np.ndarray, time: np.ndarray) -> np.ndarray:
         return (stop.astype(np.int64) << 32) + (time.astype(np.int64) + LARGEST)
@@ -258,7 +275,7 @@ class _Network:
             late = self.board_dep[mid] < time[more]
             low[more], high[more] = np.where(late, mid + 1, low[more]), np.where(late, high[more], mid)
         there = np.flatnonzero(low < end)
-        query, call = opened[rows[there]] // stops, self.board[low[there]]
+        query, call = opened[rows[there]] // stops, self.board[low[there]].astype(np.int64)
         ok = self.dep[call] <= self.horizon[query]
         query, call = query[ok], call[ok]
         key, place = query * len(self.run_start) + self.run[call], self.place[call]
