@@ -76,3 +76,13 @@ def test_what_does_not_fit_is_left_to_label_tables(spark, monkeypatch):
     assert not netsearch.fits(q.selectExpr("query_id", "string(source) AS source", "depart_at", "horizon"), calls, hops)
     monkeypatch.setattr(netsearch, "MOST_ROWS", 100)
     assert not netsearch.fits(q, calls, hops)
+
+
+def test_large_ids_are_kept(spark):
+    """Columns are 32 bits wide in a worker where that is enough, and only there."""
+    big = 1 << 40
+    rows = [(0, big + 7, 1, 100, 100), (1, big + 7, big, 200, 210), (2, 7, big, 400, 400), (3, 7, 2, 500, 500)]
+    st = journey.number_stops(spark.createDataFrame(rows, CALL))
+    q = spark.createDataFrame([(big + 1, 1, 50)], "query_id bigint, source bigint, depart_at bigint")
+    got = journey.earliest_arrival(q, st, spark.createDataFrame([(2, big + 9, 60, 50.0)], WALK), 5000)
+    assert sorted((r.query_id - big, r.stop_id, r.arrival) for r in got.collect()) == [(1, 1, 50), (1, 2, 500), (1, big, 200), (1, big + 9, 560)]

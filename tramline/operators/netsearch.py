@@ -32,8 +32,6 @@ PARTS = {
     WALK: ["stop_id", "to_stop", "hop_s"],
     REQUEST: ["query_id", "source", "depart_at", "horizon"],
 }
-#: Any whole numbers; all other columns are 32 bits in a worker.
-IDS = {"pattern_id", "run_id", "stop_id", "to_stop"}
 SLOTS = [f"x{i}" for i in range(len(PARTS[CALL]))]
 LABEL_COLUMNS = {False: ["unridden", "ridden", "walked"], True: ["arrival", "walk_s", "ride_s"]}
 
@@ -101,8 +99,8 @@ def search(queries: DataFrame, network: DataFrame, hops: DataFrame, change_s: in
                         yield network.answer(asked, times, columns)
                     task, network, held, asked = own[0], None, _empty(), []
                 if kind != REQUEST:
-                    for values, x, c in zip(held[kind], own[1], PARTS[kind]):
-                        values.append(x.to_numpy().astype(np.int64 if c in IDS else np.int32))
+                    for values, x in zip(held[kind], own[1]):
+                        values.append(_narrow(x.to_numpy()))
                     continue
                 if network is None:
                     network = _Network(held, change_s, times)
@@ -122,6 +120,12 @@ def _empty() -> dict[int, list[list[np.ndarray]]]:
     return {kind: [[] for _ in PARTS[kind]] for kind in (CALL, WALK)}
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """A copy in 32 bits if the values allow it; parts of both kinds become 64 bits together."""
+    small = np.iinfo(np.int32)
+    return x.astype(np.int32 if not len(x) or (x.min() >= small.min and x.max() <= small.max) else np.int64)
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, list[pa.Array]]]:
     tasks, columns = batch.column(0).to_pylist(), batch.columns[2:]
     for i, task in enumerate(tasks):
@@ -151,13 +155,13 @@ class _Network:
 
         def take(kind: int, column: str) -> np.ndarray:
             parts = held[kind][PARTS[kind].index(column)]
-            whole = np.concatenate(parts) if parts else np.zeros(0, np.int64 if column in IDS else np.int32)
+            whole = np.concatenate(parts) if parts else np.zeros(0, np.int32)
             parts.clear()
             return whole
 
         self.change_s = change_s
         stop, start, end = take(CALL, "stop_id"), take(WALK, "stop_id"), take(WALK, "to_stop")
-        self.stops = np.unique(np.concatenate([np.unique(x) for x in (stop, start, end)]))
+        self.stops = np.unique(np.concatenate([np.unique(x) for x in (stop, start, end)])).astype(np.int64)
         stop, start, end = (np.searchsorted(self.stops, x).astype(np.int32) for x in (stop, start, end))
         bounds = np.arange(len(self.stops) + 1)
         # walks from a stop and, for times, to it
