@@ -86,3 +86,11 @@ def test_large_ids_are_kept(spark):
     q = spark.createDataFrame([(big + 1, 1, 50)], "query_id bigint, source bigint, depart_at bigint")
     got = journey.earliest_arrival(q, st, spark.createDataFrame([(2, big + 9, 60, 50.0)], WALK), 5000)
     assert sorted((r.query_id - big, r.stop_id, r.arrival) for r in got.collect()) == [(1, 1, 50), (1, 2, 500), (1, big, 200), (1, big + 9, 560)]
+
+
+def test_no_requests_send_no_network(spark, monkeypatch):
+    st, walks = network(spark, 4)
+    none = spark.createDataFrame([], "query_id bigint, target bigint, start bigint, limit bigint")
+    monkeypatch.setattr(netsearch, "_packed", lambda *_: pytest.fail("the network was sent"))
+    got = journey.latest_times(none, st, walks)
+    assert got.columns == ["query_id", "stop_id", "board_by", "leave_by"] and got.count() == 0

@@ -74,6 +74,11 @@ def search(queries: DataFrame, network: DataFrame, hops: DataFrame, change_s: in
     stop_id, to_stop, hop_s. All three ``fit``.
     """
     spark = queries.sparkSession
+    columns = ["query_id", "stop_id", *LABEL_COLUMNS[times]]
+    kinds = {"query_id": queries.schema["query_id"].dataType, "stop_id": network.schema["stop_id"].dataType}
+    if queries.isEmpty():
+        # no task needs the network
+        return spark.createDataFrame([], ", ".join(f"{c} {kinds[c].simpleString() if c in kinds else 'bigint'}" for c in columns))
     tasks = max(spark.sparkContext.defaultParallelism, 1)
     # a key for each partition, so that no task has the requests of two
     at = F.pmod(F.hash("id"), F.lit(tasks))
@@ -88,7 +93,6 @@ def search(queries: DataFrame, network: DataFrame, hops: DataFrame, change_s: in
     )
     # equal rows of a kind may come in any order: the worker sorts them
     sent = sent.repartition(tasks, "task").sortWithinPartitions("task", "kind").select("task", "kind", *SLOTS)
-    columns = ["query_id", "stop_id", *LABEL_COLUMNS[times]]
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, network, held, asked = None, None, _empty(), []
@@ -112,7 +116,6 @@ def search(queries: DataFrame, network: DataFrame, hops: DataFrame, change_s: in
             yield network.answer(asked, times, columns)
 
     found = sent.mapInArrow(answer, ", ".join(f"{c} bigint" for c in columns))
-    kinds = {"query_id": queries.schema["query_id"].dataType, "stop_id": network.schema["stop_id"].dataType}
     return cut_lineage(found.withColumns({c: F.col(c).cast(t) for c, t in kinds.items()}))
 
 
